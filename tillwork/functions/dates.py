@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,8 +20,23 @@ DAYS_PER_YEAR = 365
 
 
 def parse_date(value: str | Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """Text to date by the first format that fits; NULL if none does (never an error)."""
-    return F.coalesce(*[F.try_to_date(value, fmt) for fmt in formats])
+    """Text to date by the first format that fits; NULL if none does (never an error).
+
+    A failed parse costs several times a good one, so a format is tried only on text that has its
+    separators.
+    """
+    text = F.col(value) if isinstance(value, str) else value
+    return F.coalesce(*[_parse_if_plausible(text, fmt) for fmt in formats])
+
+
+def _parse_if_plausible(text: Column, fmt: str) -> Column:
+    parsed = F.try_to_date(text, fmt)
+    separators = {char for char in fmt if not char.isalpha()}
+    # Quotes, optional parts and padding would make the separators more than plain text.
+    if not separators or separators & set("'[]{}#"):
+        return parsed
+    present = [F.contains(text, F.lit(char)) for char in sorted(separators)]
+    return F.when(reduce(and_, present), parsed)
 
 
 def age_years(born: str | Column, as_of: str | datetime.date | Column | None = None) -> Column:

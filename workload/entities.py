@@ -80,9 +80,13 @@ PRODUCTS_SQL = """products AS (
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines with their order's date (as text) and customer."""
+    """Order lines with their order's date (as text) and customer.
+
+    Both tables grow with the data, so neither is broadcast; deduplication and grouping by order
+    reuse the shuffle on the order key.
+    """
     lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders")
+    orders = table(spark, sf_dir, "orders").hint("merge")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).selectExpr(
         "date_format(o_orderdate, 'M/d/yyyy') AS OrderDate",
         "date_format(l_shipdate, 'M/d/yyyy') AS StockDate",
