@@ -93,7 +93,7 @@ def test_table_is_foldered_and_complete(spark, tmp_path):
 def test_sorted_table_keeps_order_across_files(spark, tmp_path):
     df = spark.range(1000).orderBy(F.col("id").desc())
     path = tmp_path / "s"
-    write_table(df, str(path), keep_order=True)
+    write_table(df, str(path))
     ids = []
     for file in sorted(path.glob("part-*.parquet")):
         ids += [row[0] for row in spark.read.parquet(str(file)).collect()]

@@ -22,8 +22,6 @@ LABELS = {
     "highest_product_price": "Highest product price",
 }
 
-SORTED_PARTS = ("units_by_year_month", "lines_by_date", "products_by_name")
-
 
 def highest_priced(products: DataFrame, k: int = 1) -> DataFrame:
     """The k distinct products with the highest price; ties go to the lowest key."""
@@ -74,7 +72,4 @@ def write_report(
         "products_by_name": products_by_name(products),
         "customers_masked": customers_masked(customers, as_of),
     }
-    return {
-        name: write_table(part, f"{root}/{name}", mode, keep_order=name in SORTED_PARTS)
-        for name, part in parts.items()
-    }
+    return {name: write_table(part, f"{root}/{name}", mode) for name, part in parts.items()}

@@ -53,16 +53,15 @@ def write_table(
     path: str,
     mode: str = "errorifexists",
     partition_by: Sequence[str] = (),
-    keep_order: bool = False,
 ) -> DataFrame:
     """Land a DataFrame as Parquet and return it read back.
 
-    The rebalance hint lets adaptive execution split large and merge small partitions, so one year
-    holding a third of the rows is written by many tasks and a small one makes one file. It moves
-    rows between tasks; ``keep_order`` leaves it out, and the files of a sorted DataFrame then follow
-    its order.
+    With ``partition_by`` rows are first gathered by folder. The rebalance hint lets adaptive
+    execution split a large folder over many tasks and give a small one a single file; without it
+    every task would write a file into every folder. Otherwise the rows are written where they are,
+    and the files of a sorted DataFrame follow its order.
     """
-    if not keep_order:
+    if partition_by:
         df = df.hint("rebalance", *[F.col(name) for name in partition_by])
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.parquet(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tillwork.functions.dates import DATE_FORMATS, parse_date
 from tillwork.operators import metrics
 from tillwork.operators.activity import customer_avg_orders_per_day as activity
-from tillwork.operators.cleanse import date_audit, dedup
+from tillwork.operators.cleanse import date_audit
 from tillwork.operators.cleanse import distinct_values as distinct_of
 from tillwork.plans.layers import build_layers, land_sales, sales_cleansed
 from tillwork.plans.report import scalar_metrics, write_report
