@@ -94,21 +94,30 @@ def json_scan_schema(spark, sf_dir):
     return read_json(spark, path, PRODUCTS_DDL)
 
 
-@query(f"WITH {PRODUCTS_SQL} SELECT * REPLACE (CAST(ProductSubcategoryKey AS BIGINT) AS ProductSubcategoryKey) FROM products")
+@query(
+    f"""WITH {PRODUCTS_SQL} SELECT * REPLACE
+    (CAST(ProductSubcategoryKey AS BIGINT) AS ProductSubcategoryKey) FROM products"""
+)
 def json_scan_inferred(spark, sf_dir):
     path = scratch_path(spark, "products-arrays")
     write_json_arrays(products(spark, sf_dir), path)
     return read_json(spark, path)
 
 
-@query(f"""WITH {PRODUCTS_SQL} SELECT ProductKey, ProductName, CAST(NULL AS INTEGER) AS ProductSize FROM products""")
+@query(
+    f"""WITH {PRODUCTS_SQL}
+    SELECT ProductKey, ProductName, CAST(1 AS INTEGER) AS size_is_null FROM products"""
+)
 def json_scan_misfit(spark, sf_dir):
     """Sizes are text and so do not fit the integer declared here: NULL cells, no lost rows."""
     path = scratch_path(spark, "products-json")
     write_json(products(spark, sf_dir), path)
-    return read_json(
+    fitted = read_json(
         spark, path, "ProductKey BIGINT, ProductName STRING, ProductSize INT", multi_line=False
     )
+    return fitted.select(
+        "ProductKey", "ProductName", F.col("ProductSize").isNull().cast("int").alias("size_is_null")
+    )
 
 
 @query(EVENTS_SQL)
@@ -168,7 +177,7 @@ def stream_raw_sink(spark, sf_dir):
 
 @query(
     """SELECT CASE WHEN event_type <> 'error'
-      THEN CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS INTEGER) END AS k,
+      THEN regexp_extract(props, '"k": ([0-9]+)', 1) END AS k,
     CASE WHEN event_type = 'error' THEN substr(props, 1, length(props) - 1) END AS malformed_text,
     CAST(event_type = 'error' AS INTEGER) AS malformed FROM events"""
 )
@@ -191,7 +200,7 @@ def stream_quarantine(spark, sf_dir):
         "k INT, malformed_text STRING, malformed BOOLEAN",
         multi_line=False,
     )
-    return stored.select("k", "malformed_text", F.col("malformed").cast("int"))
+    return stored.select(F.col("k").cast("string"), "malformed_text", F.col("malformed").cast("int"))
 
 
 @query(TEXT_CUSTOMERS_SQL)

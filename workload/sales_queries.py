@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillwork.functions.dates import DATE_FORMATS, parse_date
 from tillwork.operators import metrics
 from tillwork.operators.activity import customer_avg_orders_per_day as activity
-from tillwork.operators.cleanse import date_audit
+from tillwork.operators.cleanse import date_audit, type_dates
 from tillwork.operators.cleanse import distinct_values as distinct_of
 from tillwork.plans.layers import build_layers, land_sales, sales_cleansed
 from tillwork.plans.report import scalar_metrics, write_report
@@ -67,34 +66,36 @@ def sales_dedup_copies(spark, sf_dir):
     return typed_iso(sales_cleansed(doubled))
 
 
+# Order dates as text in two known notations and an unknown one, some missing.
+MIXED_DATES = """CASE WHEN o_orderpriority = '5-LOW' THEN NULL
+    WHEN o_orderstatus = 'F' THEN date_format(o_orderdate, 'M/d/yyyy')
+    WHEN o_orderstatus = 'O' THEN date_format(o_orderdate, 'yyyy-MM-dd')
+    ELSE date_format(o_orderdate, 'dd MMM yyyy') END AS OrderDate"""
+
+
 @query(
-    "SELECT (SELECT count(*) FROM orders) AS parsed, CAST(0 AS BIGINT) AS missing, "
-    "CAST(0 AS BIGINT) AS unparsed"
+    """SELECT count(*) FILTER (WHERE o_orderpriority <> '5-LOW' AND o_orderstatus <> 'P') AS parsed,
+    count(*) FILTER (WHERE o_orderpriority = '5-LOW') AS missing,
+    count(*) FILTER (WHERE o_orderpriority <> '5-LOW' AND o_orderstatus = 'P') AS unparsed
+    FROM orders"""
 )
 def sales_date_audit(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
-    return date_audit(
-        orders.select(F.date_format("o_orderdate", "M/d/yyyy").alias("OrderDate")), "OrderDate"
-    )
+    return date_audit(table(spark, sf_dir, "orders").selectExpr(MIXED_DATES), "OrderDate")
 
 
 @query(
-    """SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN NULL
-    ELSE strftime(o_orderdate, '%Y-%m-%d') END AS OrderDate FROM orders"""
+    """SELECT o_orderkey, CASE WHEN o_orderpriority <> '5-LOW' AND o_orderstatus <> 'P'
+    THEN strftime(o_orderdate, '%Y-%m-%d') END AS OrderDate FROM orders"""
 )
 def date_two_formats(spark, sf_dir):
-    text = F.expr(
-        """CASE o_orderstatus WHEN 'F' THEN date_format(o_orderdate, 'M/d/yyyy')
-        WHEN 'O' THEN date_format(o_orderdate, 'yyyy-MM-dd')
-        ELSE date_format(o_orderdate, 'dd MMM yyyy') END"""
-    )
-    dates = table(spark, sf_dir, "orders").select(
-        "o_orderkey", parse_date(text, DATE_FORMATS).alias("OrderDate")
-    )
-    return dates.select("o_orderkey", iso("OrderDate"))
+    mixed = table(spark, sf_dir, "orders").selectExpr("o_orderkey", MIXED_DATES)
+    return type_dates(mixed, "OrderDate").select("o_orderkey", iso("OrderDate"))
 
 
-@query(f"WITH {SALES_SQL} SELECT count(*) AS orders_placed FROM (SELECT DISTINCT OrderNumber FROM sales)")
+@query(
+    f"""WITH {SALES_SQL} SELECT count(*) AS orders_placed
+    FROM (SELECT DISTINCT OrderNumber FROM sales)"""
+)
 def orders_placed(spark, sf_dir):
     return metrics.orders_placed(typed(spark, sf_dir))
 
