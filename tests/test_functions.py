@@ -73,6 +73,18 @@ def test_separator_guard_changes_no_result(spark):
     assert [guarded for guarded, _ in got] == [unguarded for _, unguarded in got]
 
 
+def test_every_day_is_read_back_from_both_notations(spark):
+    days = spark.sql("SELECT explode(sequence(DATE'1890-01-01', DATE'2110-12-31')) AS d")
+    texts = days.select(
+        "d",
+        F.date_format("d", SLASH_DATE).alias("slash"),
+        F.date_format("d", "MM/dd/yyyy").alias("padded"),
+        F.date_format("d", ISO_DATE).alias("iso"),
+    )
+    wrong = [~parse_date(name).eqNullSafe(F.col("d")) for name in ("slash", "padded", "iso")]
+    assert texts.filter(wrong[0] | wrong[1] | wrong[2]).count() == 0
+
+
 def test_age(spark):
     rows = [(date("2000-01-01"),), (None,), (date("2020-01-01"),)]
     got = values(spark, "d date", rows, age_years("d", "2020-01-01"))

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tillwork.functions.columns import as_column
+
 # Income bands, each below its bound, and the label from the last bound upwards.
 INCOME_BANDS = ((50000, "Low"), (100000, "Medium"))
 TOP_INCOME_BAND = "High"
@@ -22,15 +24,17 @@ def band(
     otherwise: str = TOP_INCOME_BAND,
     null_label: str | None = None,
 ) -> Column:
-    """Label of the first bound a *numeric* value lies below.
+    """Label of the first bound, in ascending order, that a *numeric* value lies below.
 
-    NULL compares with nothing and so gets ``otherwise``, unless ``null_label`` names another label.
+    NULL lies below no bound and so gets ``otherwise``, unless ``null_label`` names another label.
     """
-    number = F.col(value) if isinstance(value, str) else value
-    cases = F if null_label is None else F.when(number.isNull(), null_label)
-    for bound, label in bounds:
-        cases = cases.when(number < bound, label)
-    return cases.otherwise(otherwise)
+    number = as_column(value)
+    label = F.lit(otherwise)
+    for bound, name in reversed(bounds):
+        label = F.when(number < bound, name).otherwise(label)
+    if null_label is not None:
+        label = F.when(number.isNull(), null_label).otherwise(label)
+    return label
 
 
 def recode(
@@ -39,8 +43,6 @@ def recode(
     otherwise: str = OTHER_SIZE_CODE,
 ) -> Column:
     """Code of an exactly matching value; other values and NULL get ``otherwise``."""
-    text = F.col(value) if isinstance(value, str) else value
-    cases = F
-    for known, code in codes.items():
-        cases = cases.when(text == known, code)
-    return cases.otherwise(otherwise)
+    text = as_column(value)
+    known = [F.when(text == old, new) for old, new in codes.items()]
+    return F.coalesce(*known, F.lit(otherwise))

@@ -10,6 +10,8 @@ from operator import and_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tillwork.functions.columns import as_column
+
 # The two date notations of the sales and customer files.
 SLASH_DATE = "M/d/yyyy"
 ISO_DATE = "yyyy-MM-dd"
@@ -25,7 +27,7 @@ def parse_date(value: str | Column, formats: Sequence[str] = DATE_FORMATS) -> Co
     A failed parse costs several times a good one, so a format is tried only on text that has its
     separators.
     """
-    text = F.col(value) if isinstance(value, str) else value
+    text = as_column(value)
     return F.coalesce(*[_parse_if_plausible(text, fmt) for fmt in formats])
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tillwork.functions.columns import as_column
+
 # What may decorate an amount written as text.
 AMOUNT_DECORATION = "$€£¥, \t"
 
@@ -18,15 +20,15 @@ def to_int(value: str | Column) -> Column:
     Currency signs, thousands commas and blanks are ignored. NULL, any other text and numbers beyond
     32 bits give NULL (never an error).
     """
-    text = (F.col(value) if isinstance(value, str) else value).cast("string")
+    text = as_column(value).cast("string")
     return F.translate(text, AMOUNT_DECORATION, "").try_cast("double").try_cast("int")
 
 
 def discounted(price: str | Column, factor: float = DISCOUNT_FACTOR) -> Column:
     """Price after discount; NULL stays NULL."""
-    return (F.col(price) if isinstance(price, str) else price) * F.lit(factor)
+    return as_column(price) * F.lit(factor)
 
 
-def profit(price: str, cost: str) -> Column:
+def profit(price: str | Column, cost: str | Column) -> Column:
     """Price minus cost; NULL if either is."""
-    return F.col(price) - F.col(cost)
+    return as_column(price) - as_column(cost)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tillwork.functions.columns import as_column
+
 
 def sha256_hex(value: str | Column, salt: str | Column | None = None) -> Column:
     """SHA-256 of the value as text, 64 hex characters; NULL stays NULL.
@@ -13,7 +15,7 @@ def sha256_hex(value: str | Column, salt: str | Column | None = None) -> Column:
     per row; it is put in front of the value. Without a salt, guessable values such as phone numbers
     can be found again by hashing all candidates.
     """
-    text = _text(value)
+    text = as_column(value).cast("string")
     if salt is not None:
         text = F.concat(F.lit(salt) if isinstance(salt, str) else salt.cast("string"), text)
     return F.sha2(text, 256)
@@ -21,8 +23,5 @@ def sha256_hex(value: str | Column, salt: str | Column | None = None) -> Column:
 
 def stars(value: str | Column) -> Column:
     """One ``*`` per character of the value as text; NULL stays NULL."""
-    return F.repeat(F.lit("*"), F.length(_text(value)))
-
+    return F.repeat(F.lit("*"), F.length(as_column(value).cast("string")))
 
-def _text(value: str | Column) -> Column:
-    return (F.col(value) if isinstance(value, str) else value).cast("string")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tillwork.functions.columns import as_column
+
 
 def joined_name(*parts: str | Column, sep: str = " ") -> Column:
     """Join the parts that are present; NULL parts are skipped and the result is never NULL."""
@@ -13,18 +15,10 @@ def joined_name(*parts: str | Column, sep: str = " ") -> Column:
 
 def strict_name(*parts: str | Column, sep: str = " ") -> Column:
     """Join all parts; one NULL part makes the result NULL."""
-    pieces = []
-    for part in parts:
-        if pieces:
-            pieces.append(F.lit(sep))
-        pieces.append(_column(part))
-    return F.concat(*pieces)
+    first, *rest = map(as_column, parts)
+    return F.concat(first, *[piece for part in rest for piece in (F.lit(sep), part)])
 
 
 def text_length(value: str | Column) -> Column:
     """Number of characters; NULL stays NULL."""
-    return F.length(_column(value))
-
-
-def _column(value: str | Column) -> Column:
-    return F.col(value) if isinstance(value, str) else value
+    return F.length(as_column(value))
