@@ -100,6 +100,33 @@ def test_sorted_table_keeps_order_across_files(spark, tmp_path):
     assert ids == list(range(999, -1, -1))
 
 
+def test_sorted_folders_split_what_shares_a_sort_value(spark, tmp_path):
+    """Two thirds of the rows share folder and date; their files still take even shares, in order."""
+    settings = {
+        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        df = spark.range(0, 24000, numPartitions=4).selectExpr(
+            "if(id % 3 < 2, 2015, 2016 + id % 2) AS year",
+            "if(id % 3 < 2, DATE'2015-05-05', date_add(DATE'2016-01-01', cast(id % 300 AS int))) AS d",
+            "id",
+        )
+        back = write_table(df, str(tmp_path / "t"), partition_by=["year"], sort_by=["d"])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert back.count() == 24000 and back.select("id").distinct().count() == 24000
+    sizes = []
+    for file in (tmp_path / "t").glob("year=*/part-*.parquet"):
+        days = [row.d for row in spark.read.parquet(str(file)).collect()]
+        assert days == sorted(days)
+        sizes.append(len(days))
+    assert max(sizes) < 24000 * 0.2
+
+
 class ClusterSession:
     """Stands in for a session whose settings a test cannot change while it runs."""
 
