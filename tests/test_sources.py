@@ -90,6 +90,16 @@ def test_table_is_foldered_and_complete(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(year" in plan
 
 
+def test_table_keeps_the_types_of_its_folders(spark, tmp_path):
+    texts = spark.createDataFrame([(1, "01"), (2, "1")], "id int, code string")
+    back = write_table(texts, str(tmp_path / "text"), partition_by=["code"])
+    assert sorted(map(tuple, back.collect())) == [(1, "01"), (2, "1")]
+    no_year = spark.createDataFrame([(1, None)], "id int, year int")
+    back = write_table(no_year, str(tmp_path / "null"), partition_by=["year"])
+    assert back.dtypes == [("id", "int"), ("year", "int")]
+    assert [tuple(row) for row in back.collect()] == [(1, None)]
+
+
 def test_sorted_table_keeps_order_across_files(spark, tmp_path):
     df = spark.range(1000).orderBy(F.col("id").desc())
     path = tmp_path / "s"

@@ -1,6 +1,7 @@
 """Messages and the feed, over files in place of a broker."""
 
 import json
+import time
 
 import pytest
 
@@ -138,6 +139,24 @@ def test_endless_feed_runs_until_stopped(spark, feed):
     assert feed.stored() == [("1", "Ann"), ("2", "Lee")]
 
 
+def test_feed_resumes_after_it_was_stopped_midway(spark, feed):
+    expected = []
+    for number in range(6):
+        feed.publish((str(number), "Ann"))
+        expected.append((str(number), "Ann"))
+    stream = file_topic_stream(spark, feed.topic, max_files_per_trigger=1)
+    query = start_feed(stream, SCHEMA, feed.out, feed.checkpoint)
+    try:
+        deadline = time.time() + 60
+        while not query.recentProgress and time.time() < deadline:
+            time.sleep(0.05)
+    finally:
+        query.stop()
+    assert query.recentProgress
+    feed.drain()
+    assert feed.stored() == expected
+
+
 def test_kafka_options():
     """Only the options: there is no broker here, so the Kafka path itself is not exercised."""
     assert kafka_source_options("host:9092", "topic") == {

@@ -47,6 +47,11 @@ def products_sized(products: DataFrame) -> DataFrame:
     return with_size_category(with_discounted_price(products))
 
 
+def products_enriched(products: DataFrame) -> DataFrame:
+    """Products with all derived columns of the two views above."""
+    return products_sized(products_profiled(products))
+
+
 def customers_masked(
     customers: DataFrame, as_of: AsOf = None, drop_originals: bool = True
 ) -> DataFrame:

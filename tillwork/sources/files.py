@@ -33,7 +33,7 @@ def read_json(
     """JSON files; a cell that does not fit the schema is NULL and its row stays.
 
     ``multi_line=True`` reads one document or array of documents per file. Such a file cannot be
-    split, so its whole read is one task: supply many files, or JSON Lines with ``multi_line=False``.
+    split, so its whole read is one task: supply many files, or JSON Lines and ``multi_line=False``.
     The flag must match the data, since JSON Lines read as one document yield the first line only.
     Without ``schema`` the types come from an extra pass over the data, with columns sorted by name.
     """
@@ -67,7 +67,10 @@ def write_table(
     rows share a folder or a sort value, they are spread over as many tasks as their size asks for.
 
     With neither, rows are written where they are, and files of a sorted DataFrame follow its order.
+
+    The table is read back with the types written, so nothing is guessed from folder names.
     """
+    schema = df.schema
     if sort_by:
         lead = [*partition_by, *sort_by]
         ranges = lead + [name for name in df.columns if name not in lead]
@@ -75,4 +78,4 @@ def write_table(
     elif partition_by:
         df = df.hint("rebalance", *[F.col(name) for name in partition_by])
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)

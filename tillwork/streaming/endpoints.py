@@ -42,7 +42,8 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str, **options) -> Da
 def publish_to_kafka(df: DataFrame, servers: str, topic: str, key: str | None = None) -> None:
     """Send each row as one JSON message, straight from the executors.
 
-    Running it again sends every row again.
+    Delivery is at least once: running it again sends every row again, and a task repeated after a
+    lost executor sends its rows again.
     """
     messages = to_messages(df, key)
     messages.write.format("kafka").options(**kafka_sink_options(servers, topic)).save()

@@ -270,7 +270,19 @@ def product_sized(spark, sf_dir):
     return enrichment.products_sized(products(spark, sf_dir))
 
 
-@query(f"WITH {PRODUCTS_SQL} SELECT * FROM products ORDER BY ProductPrice DESC, ProductKey LIMIT 1")
+@query(
+    f"""WITH {PRODUCTS_SQL} SELECT *,
+    CAST(length(ProductDescription) AS INTEGER) AS ProductDescriptionLength,
+    ProductPrice - ProductCost AS ProductProfit, {DISCOUNT_SQL} AS DiscountedPrice,
+    {SIZE_SQL} AS ProductSizeCategory FROM products"""
+)
+def product_enriched(spark, sf_dir):
+    return enrichment.products_enriched(products(spark, sf_dir))
+
+
+@query(
+    f"WITH {PRODUCTS_SQL} SELECT * FROM products ORDER BY ProductPrice DESC, ProductKey LIMIT 1"
+)
 def highest_priced_product(spark, sf_dir):
     return report.highest_priced(products(spark, sf_dir))
 
