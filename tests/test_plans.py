@@ -93,30 +93,37 @@ def test_layers(customers, sales, tmp_path):
     assert build_layers(customers, sales, str(tmp_path), "overwrite")["sales"].count() == 4
 
 
-def test_enrichment(customers, products):
-    by_key = {row.CustomerKey: row for row in enrichment.customers_enriched(customers, "2020-01-01").collect()}
-    assert by_key[1].Age == 7305 / 365 and by_key[1].IncomeCategory == "Medium"
-    assert (by_key[2].FullName, by_key[2].Age, by_key[2].IncomeCategory) == ("Bo Lee", None, "High")
-    labelled = enrichment.customers_enriched(customers, null_label="Unknown")
-    assert labelled.filter("CustomerKey = 2").collect()[0].IncomeCategory == "Unknown"
-    curated = {row.CustomerKey: row for row in enrichment.customers_curated(customers).collect()}
+def by_key(df, key):
+    return {row[key]: row for row in df.collect()}
+
+
+def test_customer_enrichment(customers):
+    rows = by_key(enrichment.customers_enriched(customers, "2020-01-01"), "CustomerKey")
+    assert rows[1].Age == 7305 / 365 and rows[1].IncomeCategory == "Medium"
+    assert (rows[2].FullName, rows[2].Age, rows[2].IncomeCategory) == ("Bo Lee", None, "High")
+    labelled = by_key(enrichment.customers_enriched(customers, null_label="None"), "CustomerKey")
+    assert labelled[2].IncomeCategory == "None"
+    curated = by_key(enrichment.customers_curated(customers), "CustomerKey")
     assert (curated[1].AnnualIncome, curated[1].FullName) == (90000, "Ann Lee")
     assert (curated[2].EmailAddress, curated[2].AnnualIncome) == ("", None)
-    filled = {row.ProductKey: row for row in enrichment.products_curated(products).collect()}
+
+
+def test_product_enrichment(products):
+    filled = by_key(enrichment.products_curated(products), "ProductKey")
     assert (filled[1].ProductColor, filled[2].ProductSize) == ("", "")
     assert filled[1].DiscountedPrice == 9.0
-    profiled = {row.ProductKey: row for row in enrichment.products_profiled(products).collect()}
-    assert (profiled[1].ProductDescriptionLength, profiled[1].ProductProfit) == (5, 6.0)
-    assert (profiled[2].ProductDescriptionLength, profiled[2].ProductProfit) == (None, None)
-    sizes = {row.ProductKey: row.ProductSizeCategory for row in enrichment.products_sized(products).collect()}
+    rows = by_key(enrichment.products_enriched(products), "ProductKey")
+    assert (rows[1].ProductDescriptionLength, rows[1].ProductProfit) == (5, 6.0)
+    assert (rows[2].ProductDescriptionLength, rows[2].ProductProfit) == (None, None)
+    sizes = {key: row.ProductSizeCategory for key, row in rows.items()}
     assert sizes == {1: "S", 2: "Unknown", 3: "Unknown"}
 
 
 def test_masked_customers(customers):
-    by_key = {row.CustomerKey: row for row in enrichment.customers_masked(customers).collect()}
-    assert (by_key[1].masked_name, by_key[1].masked_phone) == ("*" * 10, "*" * 8)
-    assert by_key[2].masked_phone is None and by_key[2].masked_email is None
-    assert "PhoneNumber" not in by_key[1].asDict()
+    rows = by_key(enrichment.customers_masked(customers), "CustomerKey")
+    assert (rows[1].masked_name, rows[1].masked_phone) == ("*" * 10, "*" * 8)
+    assert rows[2].masked_phone is None and rows[2].masked_email is None
+    assert "PhoneNumber" not in rows[1].asDict()
     clear = enrichment.customers_masked(customers, drop_originals=False)
     assert {"PhoneNumber", "masked_phone"} <= set(clear.columns)
 

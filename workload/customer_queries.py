@@ -39,6 +39,10 @@ BAND_SQL = (
     "ELSE 'High' END"
 )
 NAME_SQL = "concat_ws(' ', Prefix, FirstName, LastName)"
+MASK_SQL = f"""repeat('*', length({NAME_SQL})) AS masked_name,
+    repeat('*', length(EmailAddress)) AS masked_email,
+    repeat('*', length(Address)) AS masked_address,
+    repeat('*', length(PhoneNumber)) AS masked_phone"""
 SIZE_SQL = (
     "CASE ProductSize WHEN 'Small' THEN 'S' WHEN 'Medium' THEN 'M' WHEN 'Large' THEN 'L' "
     "ELSE 'Unknown' END"
@@ -59,7 +63,10 @@ def products_drop_nulls(spark, sf_dir):
     return drop_nulls(products(spark, sf_dir))
 
 
-@query(f"WITH {CUSTOMERS_SQL} SELECT * REPLACE (coalesce(EmailAddress, '') AS EmailAddress) FROM customers")
+@query(
+    f"""WITH {CUSTOMERS_SQL}
+    SELECT * REPLACE (coalesce(EmailAddress, '') AS EmailAddress) FROM customers"""
+)
 def customers_fill_nulls(spark, sf_dir):
     return fill_nulls(customers(spark, sf_dir), {"EmailAddress": ""})
 
@@ -129,9 +136,7 @@ def hash_document_text(spark, sf_dir):
 
 
 @query(
-    f"""WITH {CUSTOMERS_SQL} SELECT CustomerKey, repeat('*', length({NAME_SQL})) AS masked_name,
-    repeat('*', length(EmailAddress)) AS masked_email, repeat('*', length(Address)) AS masked_address,
-    repeat('*', length(PhoneNumber)) AS masked_phone FROM customers"""
+    f"""WITH {CUSTOMERS_SQL} SELECT CustomerKey, {MASK_SQL} FROM customers"""
 )
 def mask_customer_pii(spark, sf_dir):
     masked = mask_columns(enrich.with_full_name(customers(spark, sf_dir)))
@@ -140,9 +145,7 @@ def mask_customer_pii(spark, sf_dir):
     )
 
 
-@query(
-    """SELECT turn, role, repeat('*', length(text)) AS masked_text FROM conversations"""
-)
+@query("SELECT turn, role, repeat('*', length(text)) AS masked_text FROM conversations")
 def mask_conversation_text(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select(
         "turn", "role", stars("text").alias("masked_text")
@@ -151,7 +154,8 @@ def mask_conversation_text(spark, sf_dir):
 
 @query("SELECT doc_id, CAST(length(text) AS INTEGER) AS num_chars FROM documents")
 def document_length(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", text_length("text").alias("num_chars"))
+    documents = table(spark, sf_dir, "documents")
+    return documents.select("doc_id", text_length("text").alias("num_chars"))
 
 
 @query(
@@ -190,7 +194,10 @@ def product_discount(spark, sf_dir):
     )
 
 
-@query(f"WITH {PRODUCTS_SQL} SELECT ProductKey, ProductPrice - ProductCost AS ProductProfit FROM products")
+@query(
+    f"""WITH {PRODUCTS_SQL}
+    SELECT ProductKey, ProductPrice - ProductCost AS ProductProfit FROM products"""
+)
 def product_profit(spark, sf_dir):
     return enrich.with_profit(products(spark, sf_dir)).select("ProductKey", "ProductProfit")
 
@@ -218,9 +225,7 @@ def customer_enriched(spark, sf_dir):
 
 @query(
     f"""WITH {CUSTOMERS_SQL} SELECT * EXCLUDE (EmailAddress, Address, PhoneNumber),
-    {AGE_SQL} AS Age, repeat('*', length({NAME_SQL})) AS masked_name,
-    repeat('*', length(EmailAddress)) AS masked_email, repeat('*', length(Address)) AS masked_address,
-    repeat('*', length(PhoneNumber)) AS masked_phone FROM customers"""
+    {AGE_SQL} AS Age, {MASK_SQL} FROM customers"""
 )
 def customer_masked(spark, sf_dir):
     return enrichment.customers_masked(customers(spark, sf_dir), AS_OF)
@@ -228,9 +233,7 @@ def customer_masked(spark, sf_dir):
 
 @query(
     f"""WITH {CUSTOMERS_SQL} SELECT *, {NAME_SQL} AS FullName,
-    {AGE_SQL} AS Age, repeat('*', length({NAME_SQL})) AS masked_name,
-    repeat('*', length(EmailAddress)) AS masked_email, repeat('*', length(Address)) AS masked_address,
-    repeat('*', length(PhoneNumber)) AS masked_phone FROM customers"""
+    {AGE_SQL} AS Age, {MASK_SQL} FROM customers"""
 )
 def customer_masked_with_originals(spark, sf_dir):
     return enrichment.customers_masked(customers(spark, sf_dir), AS_OF, drop_originals=False)
@@ -287,7 +290,9 @@ def highest_priced_product(spark, sf_dir):
     return report.highest_priced(products(spark, sf_dir))
 
 
-@query(f"WITH {PRODUCTS_SQL} SELECT * FROM products ORDER BY ProductPrice DESC, ProductKey LIMIT 10")
+@query(
+    f"WITH {PRODUCTS_SQL} SELECT * FROM products ORDER BY ProductPrice DESC, ProductKey LIMIT 10"
+)
 def top_k_products(spark, sf_dir):
     return report.highest_priced(products(spark, sf_dir), 10)
 
