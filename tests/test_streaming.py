@@ -4,6 +4,7 @@ import json
 import time
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from tillwork.plans.feed import drain_feed, start_feed
 from tillwork.schemas import all_strings
@@ -12,9 +13,16 @@ from tillwork.streaming.endpoints import (
     file_topic_stream,
     kafka_sink_options,
     kafka_source_options,
+    kafka_stream,
     publish_to_files,
+    publish_to_kafka,
+)
+from tillwork.streaming.messages import (
+    parse_messages,
+    parse_or_quarantine,
+    raw_messages,
+    to_messages,
 )
-from tillwork.streaming.messages import parse_messages, parse_or_quarantine, raw_messages, to_messages
 
 SCHEMA = all_strings(["id", "name"])
 MESSAGES = [
@@ -170,3 +178,39 @@ def test_kafka_options():
         "kafka.bootstrap.servers": "host:9092",
         "topic": "topic",
     }
+
+
+class Recorder:
+    """Takes any chain of calls and keeps each with its arguments."""
+
+    def __init__(self):
+        self.calls = []
+
+    def __getattr__(self, name):
+        def call(*args, **kwargs):
+            self.calls.append((name, args, kwargs))
+            return self
+
+        return call
+
+
+class RecordingSession:
+    def __init__(self):
+        self.readStream = Recorder()
+
+
+def test_kafka_stream_asks_for_the_topic():
+    session = RecordingSession()
+    kafka_stream(session, "host:9092", "topic", max_per_trigger=5)
+    assert session.readStream.calls == [
+        ("format", ("kafka",), {}),
+        ("options", (), kafka_source_options("host:9092", "topic", max_per_trigger=5)),
+        ("load", (), {}),
+    ]
+
+
+def test_publishing_reaches_the_kafka_sink(spark):
+    """Without the connector Spark refuses the format, and nothing goes through the driver."""
+    rows = spark.createDataFrame([("1",)], "id string")
+    with pytest.raises(AnalysisException, match="kafka"):
+        publish_to_kafka(rows, "host:9092", "topic", key="id")
