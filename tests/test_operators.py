@@ -18,7 +18,7 @@ from tillwork.operators.cleanse import (
     type_dates,
     type_ints,
 )
-from tillwork.operators.ordering import sorted_by, top_k
+from tillwork.operators.ordering import sorted_by, top_k, top_k_distinct
 from tillwork.operators.protect import hash_columns, mask_columns
 
 SALES_DDL = "OrderDate date, OrderNumber string, CustomerKey int, OrderQuantity int"
@@ -149,6 +149,24 @@ def test_top_k(spark):
     assert [row.k for row in top_k(df, "p", 4, tie_breakers=["k"]).collect()] == [3, 9, 2, 1]
 
 
+@pytest.mark.parametrize("k", [1, 2, 3, 5, 8, 60])
+def test_top_k_distinct_equals_top_k_after_dedup(spark, k):
+    rng = random.Random(k)
+    prices = [None, 1.0, 2.0, 2.0, 3.0, 9.0, float("nan")][: 3 + k % 5]
+    rows = [(rng.randrange(12), rng.choice(prices), rng.choice("ab")) for _ in range(120)]
+    df = spark.createDataFrame(rows, "key int, price double, tag string")
+    ties = ["key", "tag"]
+    got = [repr(tuple(row)) for row in top_k_distinct(df, "price", k, ties).collect()]
+    assert got == [repr(tuple(row)) for row in top_k(dedup(df), "price", k, ties).collect()]
+    assert got and len(got) <= k
+
+
+def test_top_k_distinct_of_nothing_and_of_nulls(spark):
+    nulls = spark.createDataFrame([(1, None), (1, None), (2, None)], "key int, price double")
+    assert [row.key for row in top_k_distinct(nulls, "price", 5, ["key"]).collect()] == [1, 2]
+    assert top_k_distinct(nulls.limit(0), "price").count() == 0
+
+
 def test_order_counts(sales, sales_rows):
     assert metrics.orders_placed(sales).collect()[0][0] == len({row[1] for row in sales_rows})
     orders = defaultdict(set)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillwork.operators.cleanse import dedup
+
 
 def sorted_by(df: DataFrame, *columns: str, tie_breakers: Sequence[str] = ()) -> DataFrame:
     """Global ascending sort, NULLs first.
@@ -23,3 +25,19 @@ def top_k(df: DataFrame, column: str, k: int = 1, tie_breakers: Sequence[str] =
     Each task keeps its own k best rows, so only k rows per task are moved.
     """
     return df.orderBy(F.col(column).desc(), *tie_breakers).limit(k)
+
+
+def top_k_distinct(
+    df: DataFrame, column: str, k: int = 1, tie_breakers: Sequence[str] = ()
+) -> DataFrame:
+    """The top k of the distinct full rows, exactly ``top_k(dedup(df), ...)``.
+
+    None of those rows lies below the k-th highest distinct value, which one column suffices to find.
+    So only rows from there upwards are deduplicated, not the whole table; with fewer than k distinct
+    values all rows are.
+    """
+    known = df.select(column).filter(F.col(column).isNotNull()).distinct()
+    lowest = F.when(F.count("*") == k, F.min(column)).alias("lowest")
+    bound = top_k(known, column, k).agg(lowest).scalar()
+    candidates = df.filter(bound.isNull() | (F.col(column) >= bound))
+    return top_k(dedup(candidates), column, k, tie_breakers)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillwork.operators.cleanse import dedup
 from tillwork.operators.enrich import AsOf
 from tillwork.operators.metrics import lines_by_date, sales_summary, units_by_year_month
-from tillwork.operators.ordering import sorted_by, top_k
+from tillwork.operators.ordering import sorted_by, top_k_distinct
 from tillwork.plans.enrichment import customers_masked
 from tillwork.sources.files import write_table
 
@@ -25,7 +25,7 @@ LABELS = {
 
 def highest_priced(products: DataFrame, k: int = 1) -> DataFrame:
     """The k distinct products with the highest price; ties go to the lowest key."""
-    return top_k(dedup(products), "ProductPrice", k, tie_breakers=["ProductKey"])
+    return top_k_distinct(products, "ProductPrice", k, tie_breakers=["ProductKey"])
 
 
 def products_by_name(products: DataFrame) -> DataFrame:
