@@ -27,7 +27,7 @@ def customer_avg_orders_per_day(sales: DataFrame, colocate: bool = False) -> Dat
 
     ``colocate`` gathers the orders of ordinary customers by customer, which saves them an exchange;
     customers above ``HOT_SHARE`` of all orders, NULL included, still go the default way. It reads
-    the sales again to find them and for each side, and was slower than the default where measured.
+    the sales again to find them and for each side, which cost more than it saved where measured warm.
     """
     if not colocate:
         return _with_customer_mean(sales)
