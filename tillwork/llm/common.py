@@ -19,6 +19,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def words_of(text: Column) -> Column:
+    """The words of a text as an array; none for null.
+
+    One replacement per kind of white space and a split at a single character run several times
+    faster than a split at a character class.
+    """
+    spaced = F.coalesce(text, F.lit(""))
+    for space in "\t\n\x0b\x0c\r":
+        spaced = F.replace(spaced, F.lit(space), F.lit(" "))
+    return F.filter(F.split(spaced, " "), lambda word: word != "")
+
+
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` computed once per row, though ``use`` may name it often.
 

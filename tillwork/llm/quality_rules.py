@@ -15,11 +15,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.llm.common import SPACE, WORD, bound
+from tillwork.llm.common import SPACE, WORD, bound, read_table, words_of
 from tillwork.llm.registry import query
-from tillwork.llm.common import read_table
 
-SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 
 #: Wording of page furniture, looked for in short lines.
@@ -39,7 +37,7 @@ class LineRules:
     exclaim_least: int = 3  # ... where there are so many
     separators_percent: int = 30  # menu separators per word ...
     separators_least: int = 2  # ... where there are so many
-    boilerplate_words: int = 15  # only lines up to this length are held against the wording list
+    boilerplate_chars: int = 120  # only lines up to this length are held against the wording list
     lost_percent: int = 30  # words in failing lines, of all words
 
 
@@ -88,26 +86,23 @@ def _repeated_window_words(words: Column) -> Column:
     return F.when(size >= WINDOW, bound(windows(), covered)).otherwise(0)
 
 
-def _line(line: Column, rules: LineRules) -> Column:
-    """A line with its number of words and whether a rule fails it. A line without words stays."""
-    words = F.regexp_count(line, F.lit(WORD))
+def _fails(line: Column, rules: LineRules) -> Column:
+    """Whether a rule fails the line. Marks and words are counted only where a mark occurs."""
 
-    def judge(n: Column) -> Column:
-        symbols = _without(line, "#*$%&|<>")
-        exclaims = _without(line, "!?")
-        separators = _without(line, "|»›·")
-        fails = (
+    def judge(words: Column) -> Column:
+        symbols, exclaims, separators = (_without(line, x) for x in ("#*$%&|<>", "!?", "|»›·"))
+        return (
             (symbols * 100 > rules.symbol_percent * F.char_length(line))
-            | ((exclaims >= rules.exclaim_least) & (exclaims * 100 > rules.exclaim_percent * n))
+            | ((exclaims >= rules.exclaim_least) & (exclaims * 100 > rules.exclaim_percent * words))
             | (
                 (separators >= rules.separators_least)
-                & (separators * 100 > rules.separators_percent * n)
+                & (separators * 100 > rules.separators_percent * words)
             )
-            | ((n <= rules.boilerplate_words) & F.lower(line).rlike(BOILERPLATE))
         )
-        return F.struct(line.alias("line"), n.alias("n"), ((n > 0) & fails).alias("fails"))
 
-    return bound(words, judge)
+    marked = F.when(line.rlike("[#*$%&|<>!?»›·]"), bound(F.regexp_count(line, F.lit(WORD)), judge))
+    furniture = (F.char_length(line) <= rules.boilerplate_chars) & F.lower(line).rlike(BOILERPLATE)
+    return line.rlike(WORD) & (F.coalesce(marked, F.lit(False)) | furniture)
 
 
 def judge_documents(docs: DataFrame, rules: LineRules = RULES, text: str = "text") -> DataFrame:
@@ -122,22 +117,25 @@ def judge_documents(docs: DataFrame, rules: LineRules = RULES, text: str = "text
         )
 
     def lines_of(lines: Column) -> Column:
-        worded = F.transform(F.filter(lines, lambda x: x["n"] > 0), lambda x: x["line"])
-        stay = F.transform(F.filter(lines, lambda x: ~x["fails"]), lambda x: x["line"])
-        lost = F.aggregate(
-            lines, F.lit(0), lambda total, x: total + F.when(x["fails"], x["n"]).otherwise(0)
+        worded = F.filter(lines, lambda x: x.rlike(WORD))
+        return F.struct(
+            (F.size(worded) - F.size(F.array_distinct(worded))).cast("long").alias("n_dup_lines"),
+            bound(F.transform(lines, lambda x: _fails(x, rules)), lambda f: clean(lines, f)).alias(
+                "clean"
+            ),
         )
+
+    def clean(lines: Column, fails: Column) -> Column:
+        failed = F.filter(lines, lambda x, i: F.get(fails, i))
+        lost = F.aggregate(failed, F.lit(0), lambda n, x: n + F.regexp_count(x, F.lit(WORD)))
         return F.struct(
-            bound(worded, lambda w: F.size(w) - F.size(F.array_distinct(w)))
-            .cast("long")
-            .alias("n_dup_lines"),
-            F.size(F.filter(lines, lambda x: x["fails"])).cast("long").alias("n_failed_lines"),
-            lost.cast("long").alias("n_lost_words"),
-            F.array_join(stay, "\n").alias("clean"),
+            F.size(failed).cast("long").alias("n"),
+            lost.cast("long").alias("lost"),
+            F.array_join(F.filter(lines, lambda x, i: ~F.get(fails, i)), "\n").alias("text"),
         )
 
-    words = F.filter(F.split(body, SPACE), lambda w: w != "")
-    lines = F.transform(F.split(body, "\n"), lambda line: _line(line, rules))
+    words = words_of(body)
+    lines = F.split(body, "\n")
     base_failed = (F.col("n_words") < 10) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * 20
     )
@@ -150,9 +148,9 @@ def judge_documents(docs: DataFrame, rules: LineRules = RULES, text: str = "text
                 "n_symbols": _without(body, "#*$%&|<>").cast("long"),
                 "n_dup_lines": F.col("_l.n_dup_lines"),
                 "n_repeat_words": F.col("_w.n_repeat_words"),
-                "n_failed_lines": F.col("_l.n_failed_lines"),
-                "n_lost_words": F.col("_l.n_lost_words"),
-                "clean_text": F.when(F.col(text).isNotNull(), F.col("_l.clean")),
+                "n_failed_lines": F.col("_l.clean.n"),
+                "n_lost_words": F.col("_l.clean.lost"),
+                "clean_text": F.when(F.col(text).isNotNull(), F.col("_l.clean.text")),
             }
         )
         .drop("_w", "_l")
@@ -195,7 +193,7 @@ judged AS (
       x.sym * 100 > {RULES.symbol_percent} * x.c
       OR (x.exc >= {RULES.exclaim_least} AND x.exc * 100 > {RULES.exclaim_percent} * x.n)
       OR (x.sep >= {RULES.separators_least} AND x.sep * 100 > {RULES.separators_percent} * x.n)
-      OR (x.n <= {RULES.boilerplate_words} AND x.boil))) AS failed,
+      OR (x.c <= {RULES.boilerplate_chars} AND x.boil))) AS failed,
     list_transform(list_filter(ls, lambda x: x.n > 0), lambda x: x.line) AS worded
   FROM counted
 ),
