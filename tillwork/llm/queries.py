@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillwork.llm import quality_rules  # noqa: F401
+from tillwork.llm import exact_dedup, mixing, quality_rules  # noqa: F401
 from tillwork.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
