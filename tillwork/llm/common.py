@@ -49,13 +49,17 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the batches that Python gets, in bytes as well as rows: texts can be very long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+
+
 def map_batches(
     df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str
 ) -> DataFrame:
-    """``mapInArrow`` with batches bounded in bytes as well as rows: texts can be very long."""
-    conf = df.sparkSession.conf
-    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    """``mapInArrow`` over bounded batches."""
+    bounded_batches(df.sparkSession)
     return df.mapInArrow(work, schema)
 
 
