@@ -40,6 +40,8 @@ CHUNK_CHARS = 1 << 18
 #: Entries after which a cache is emptied: bounds a worker's memory, not what is encoded.
 CACHED_PIECES = 1 << 18
 CACHED_STEPS = 1 << 19
+#: Above every rank.
+NEVER = 1 << 62
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -47,18 +49,6 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
     return {b64decode(token): int(rank) for token, rank in map(bytes.split, data.splitlines()) if token}
 
 
-def merge(ranks: dict[bytes, int], data: bytes) -> list[int]:
-    """The ids that merging the pair of lowest rank, again and again, makes of a few bytes."""
-    parts = [data[i : i + 1] for i in range(len(data))]
-    while True:
-        joined = [ranks.get(a + b) for a, b in zip(parts, parts[1:], strict=False)]
-        best = min((r for r in joined if r is not None), default=None)
-        if best is None:
-            return [ranks[p] for p in parts]
-        i = joined.index(best)
-        parts[i : i + 2] = [parts[i] + parts[i + 1]]
-
-
 class Transducer:
     """Turns the bytes of one piece of text into ids, a byte at a time."""
 
@@ -76,8 +66,8 @@ class Transducer:
                     self._token.append(-1)
                 node = self._child[edge]
             self._token[node] = rank
-        self._formed: dict[int, bool] = {}
-        self._follows: dict[tuple[int, int], bool] = {}
+        self._built: dict[int, tuple[list, list] | None] = {}
+        self._follows: dict[int, bool] = {}
         self._forget()
 
     def _forget(self) -> None:
@@ -86,20 +76,64 @@ class Transducer:
         self._ids = {start: 0}
         self._steps: dict[int, tuple[int, tuple[int, ...]]] = {}
 
+    def _edges(self, token: int) -> tuple[list, list] | None:
+        """What the token's first and last part are while merging builds it: (bytes, rank of the
+        merge that ends the part) from a single byte up to the token; None if merging never does."""
+        known = self._built.get(token, self)
+        if known is not self:
+            return known
+        parts = [self._bytes[token][i : i + 1] for i in range(len(self._bytes[token]))]
+        first, last = [parts[0]], [parts[-1]]
+        while len(parts) > 1:
+            best, i = min(
+                ((self._ranks.get(a + b, NEVER), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))),
+            )
+            if best == NEVER:
+                break
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            if i == 0:
+                first.append(parts[0])
+            if i == len(parts) - 1:
+                last.append(parts[-1])
+        spines = None
+        if len(parts) == 1:
+            spines = tuple(
+                list(zip(spine, [self._ranks[p] for p in spine[1:]] + [NEVER])) for spine in (first, last)
+            )
+        self._built[token] = spines
+        return spines
+
     def _may_follow(self, last: int, token: int) -> bool:
-        """Whether merging keeps the boundary between the two, and makes the second at all."""
-        formed = self._formed.get(token)
-        if formed is None:
-            formed = self._formed[token] = merge(self._ranks, self._bytes[token]) == [token]
-        if last < 0 or not formed:
-            return formed
-        pair = (last, token)
-        follows = self._follows.get(pair)
+        """Whether merging makes ``token`` at all and never merges across its border with ``last``.
+
+        Merges come in order of rank, on both sides of the border at once; one across it wins if its
+        rank is below that of the next merge on the left, and not above that of the next on the right.
+        """
+        ours = self._edges(token)
+        if last < 0 or ours is None:
+            return ours is not None
+        key = last << 32 | token
+        follows = self._follows.get(key)
         if follows is None:
             if len(self._follows) >= CACHED_STEPS:
                 self._follows.clear()
-            merged = merge(self._ranks, self._bytes[last] + self._bytes[token])
-            follows = self._follows[pair] = merged == [last, token]
+            left, right = self._edges(last)[1], ours[0]
+            i = j = 0
+            while True:
+                (x, end_x), (y, end_y) = left[i], right[j]
+                across = self._ranks.get(x + y, NEVER)
+                if across < end_x and across <= end_y and across != NEVER:
+                    follows = False
+                elif end_x == end_y == NEVER:
+                    follows = True
+                elif end_x <= end_y:
+                    i += 1
+                    continue
+                else:
+                    j += 1
+                    continue
+                break
+            self._follows[key] = follows
         return follows
 
     def _advance(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
@@ -113,16 +147,25 @@ class Transducer:
             token = self._token[node]
             if token >= 0 and self._may_follow(last, token):
                 ahead.append((0, (*pending, token), token))
-        # Pending tokens that all share are decided. The shortest list bounds them.
-        shortest, longest = min(h[1] for h in ahead), max(h[1] for h in ahead)
-        n = 0
-        while n < min(len(shortest), len(longest)) and shortest[n] == longest[n]:
-            n += 1
-        key = tuple((node, pending[n:], last) for node, pending, last in ahead)
-        if key not in self._ids:
-            self._ids[key] = len(self._states)
+        # Pending tokens that all share are decided: a prefix of the least and the greatest is one of all.
+        out = ()
+        if len(ahead) == 1:
+            ((node, out, last),) = ahead
+            key = ((node, (), last),)
+        elif all(pending for _, pending, _ in ahead):
+            pendings = [pending for _, pending, _ in ahead]
+            least, most = min(pendings), max(pendings)
+            n = 0
+            while n < len(least) and least[n] == most[n]:
+                n += 1
+            out = least[:n]
+            key = tuple((node, pending[n:], last) for node, pending, last in ahead)
+        else:
+            key = tuple(ahead)
+        number = self._ids.setdefault(key, len(self._states))
+        if number == len(self._states):
             self._states.append(key)
-        return self._ids[key], shortest[:n]
+        return number, out
 
     def encode(self, data: bytes) -> list[int]:
         if len(self._steps) >= CACHED_STEPS:
