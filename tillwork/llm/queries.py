@@ -2,7 +2,16 @@
 
 from __future__ import annotations
 
-from tillwork.llm import bpe, exact_dedup, mixing, near_dedup, quality_model, quality_rules, warc  # noqa: F401
+from tillwork.llm import (  # noqa: F401
+    bpe,
+    exact_dedup,
+    mixing,
+    near_dedup,
+    quality_model,
+    quality_rules,
+    substring_dedup,
+    warc,
+)
 from tillwork.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
