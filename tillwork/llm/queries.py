@@ -10,6 +10,7 @@ from tillwork.llm import (  # noqa: F401
     quality_model,
     quality_rules,
     substring_dedup,
+    suffix_dedup,
     warc,
 )
 from tillwork.llm.registry import ORACLES, QUERIES
