@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline  # noqa: F401
 from tillwork.llm import (  # noqa: F401
     bpe,
     exact_dedup,
+    license_scan,
     mixing,
     near_dedup,
     quality_model,
