@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -50,7 +51,16 @@ def landed(df: DataFrame, name: str) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Bound the batches that Python gets, in bytes as well as rows: texts can be very long."""
+    """Bound the batches that Python gets, in bytes as well as rows: texts can be very long.
+
+    Workers also look for the package where the driver has it, whatever folder the launcher ran in;
+    where executors have no such folder, ship the package with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        known = [path for path in paths if path]
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *known])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
