@@ -17,11 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.llm.common import map_batches, record_batch
-from tillwork.llm.hashing import Runs, mix, winnowed
+from tillwork.llm.hashing import Runs, mix, run_hashes, winnowed
 
 #: Units whose hashes are held at once; longer texts are gone through in overlapping parts.
 PART = 1 << 20
-OTHER_BASE = 0xC2B2AE3D27D4EB4F
 
 ROW = "_id long, _row long"
 
@@ -63,11 +62,7 @@ class Winnowing:
         n = len(units)
         starts = np.unique((at[:, None] - np.arange(self.reach + 1)[None, :]).ravel())
         starts = starts[(starts >= 0) & (starts + self.least <= n)]
-        out = []
-        for base in (OTHER_BASE, OTHER_BASE ^ 0x5DEECE66C):
-            runs = Runs(units, base)
-            out.append(runs.hashes(starts, starts + self.least).view(np.int64))
-        return starts, *out
+        return starts, *run_hashes(units, starts, self.least)
 
 
 def keyed(docs: DataFrame) -> DataFrame:

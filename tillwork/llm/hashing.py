@@ -48,6 +48,12 @@ class Runs:
             return mix((self._sums[ends] - self._sums[starts]) * self._back[starts])
 
 
+def run_hashes(units: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes, 128 bits together, of the runs of that length."""
+    bases = (0xC2B2AE3D27D4EB4F, 0x27D4EB2F165667C5)
+    return tuple(Runs(units, b).hashes(starts, starts + length).view(np.int64) for b in bases)
+
+
 def sliding(values: np.ndarray, width: int, best) -> np.ndarray:
     """``best`` (np.minimum or np.maximum) of every ``width`` neighbours, by doubling."""
     reach, out = 1, values

@@ -8,8 +8,9 @@ prefixes of neighbours with a stack: that walks the tree of common-prefix interv
 suffixes are preceded by different bytes cannot be extended to the left: it is a maximal repeat, with
 all its occurrences.
 
-An anchor with more than CROWD different frames (a passage in very many places) is not gathered: each
-of its runs of LEAST bytes is hashed and counted instead, which finds the same bytes.
+An anchor with more than CROWD different frames (a passage in very many places) is dealt in parts, by
+document. Each part is sorted like others and also reports its runs of LEAST bytes by hash, one row for
+those that it found repeated; counting them finds what occurs once in several parts.
 
 Defined cases: a null text is empty. Identifiers play no part in what is removed; rows that repeat
 identifier and text are different places. Texts shorter than LEAST bytes keep everything; an empty
@@ -28,13 +29,13 @@ from pyspark.sql import functions as F
 
 from tillwork.llm.anchors import ROW, Winnowing, anchor_rows, covered, keyed, same_row, with_spans
 from tillwork.llm.common import landed, map_batches, read_table, record_batch
-from tillwork.llm.hashing import mix
+from tillwork.llm.hashing import mix, run_hashes
 from tillwork.llm.registry import query
 
 LEAST = 200
 WINNOWING = Winnowing(least=LEAST, gram=40)
 #: Different frames of one anchor that are sorted together.
-CROWD = 2048
+CROWD = 4096
 #: Bytes of frames of several anchors that are sorted together; bounds memory only.
 TOGETHER = 1 << 20
 
@@ -45,34 +46,65 @@ def _units(text: str) -> np.ndarray:
     return _BYTE[np.frombuffer(text.encode(), np.uint8)]
 
 
-def suffix_array(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The suffixes in order, and how much each shares with the one before it."""
+def suffix_array(symbols: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes in order, and how much each shares with the one before it, where that is at
+    least ``least`` (else 0).
+
+    Prefixes double in length; only suffixes that are not told apart yet are sorted again. A rank is
+    the place of the first suffix of equal prefix, so ranks of the others stay.
+    """
     n = len(symbols)
-    ranks = [np.unique(symbols, return_inverse=True)[1].astype(np.int64)]
-    step = 1
+    ranks, step = [], 1
+    if n >= 4 and (dense := np.unique(symbols, return_inverse=True)[1]).max() < 1 << 16:
+        # Four symbols at once.
+        wide = np.concatenate([dense.astype(np.uint64) + np.uint64(1), np.zeros(3, np.uint64)])
+        key = wide[:n]
+        for k in range(1, 4):
+            key = key << np.uint64(16) | wide[k : n + k]
+        step = 4
+    else:
+        key = symbols
+    rank, active = np.zeros(n, np.int32), np.arange(n)
     while True:
-        later = np.zeros(n, np.int64)
-        later[: n - step] = ranks[-1][step:] + 1
-        key = ranks[-1] * (n + 1) + later
-        order = np.argsort(key)
-        ordered = key[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
-        if rank.max() == n - 1:
-            break
+        by_key = np.argsort(key)
+        active, key = active[by_key], key[by_key]
+        at = np.arange(len(active))
+        group = rank[active]
+        new_group = np.concatenate([[True], group[1:] != group[:-1]])
+        new = np.concatenate([[True], key[1:] != key[:-1]]) | new_group
+        first = np.maximum.accumulate(np.where(new, at, 0))
+        rank = rank.copy()
+        rank[active] = group + first - np.maximum.accumulate(np.where(new_group, at, 0))
         ranks.append(rank)
-        step *= 2
-        if step >= n:
+        alone = new & np.concatenate([new[1:], [True]])
+        active = np.sort(active[~alone])
+        if not len(active):
             break
+        later = np.zeros(len(active), np.int64)
+        inside = active + step < n
+        later[inside] = rank[active[inside] + step] + 1
+        key = rank[active].astype(np.int64) * (n + 1) + later
+        step *= 2
+    order = np.empty(n, np.int64)
+    order[rank] = np.arange(n)
+
+    first_step = step >> (len(ranks) - 1)
+    level = max((i for i in range(len(ranks)) if first_step << i <= least), default=0)
     shared = np.zeros(n, np.int64)
-    a, b = order[:-1].copy(), order[1:].copy()
-    for level in range(len(ranks) - 1, -1, -1):
+    pairs = np.arange(1, n)
+    if first_step <= least:
+        pairs = pairs[ranks[level][order[:-1]] == ranks[level][order[1:]]]
+    a, b = order[pairs - 1], order[pairs]
+    begin = a.copy()
+    for i in [*range(len(ranks) - 1, -1, -1), *([-1] * (first_step - 1))]:
         inside = (a < n) & (b < n)
-        same = np.zeros(n - 1, bool)
-        same[inside] = ranks[level][a[inside]] == ranks[level][b[inside]]
-        shared[1:][same] += 1 << level
-        a[same] += 1 << level
-        b[same] += 1 << level
+        look = symbols if i < 0 else ranks[i]
+        same = np.zeros(len(a), bool)
+        same[inside] = look[a[inside]] == look[b[inside]]
+        reach = 1 if i < 0 else first_step << i
+        a, b = a + same * reach, b + same * reach
+    length = a - begin
+    shared[pairs] = np.where(length >= least, length, 0)
     return order, shared
 
 
@@ -134,35 +166,60 @@ def stretches(frames: list[tuple]) -> tuple[np.ndarray, np.ndarray, list, np.nda
 
 
 def _suffix_sorted(least: int):
-    schema = pa.schema([(name, pa.int64()) for name in ("_id", "_row", "start", "end", "members")])
+    schema = pa.schema([(name, pa.int64()) for name in ("_id", "_row", "start", "end", "h1", "h2")])
 
-    def repeats(frames: list[tuple]) -> pa.RecordBatch:
+    def repeats(frames: list[tuple], split: bool) -> Iterator[pa.RecordBatch]:
         symbols, before, owners, number, place = stretches(frames)
-        order, shared = suffix_array(symbols)
-        reach = np.zeros(len(symbols), np.int64)
-        members = np.zeros(len(symbols), np.int64)
+        n = len(symbols)
+        order, shared = suffix_array(symbols, least)
+        reach = np.zeros(n, np.int64)
         for length, places in maximal_repeats(order, shared, before, least):
-            longer = places[reach[places] < length]
-            reach[longer] = length
-            members[longer] = len(places)
+            reach[places] = np.maximum(reach[places], length)
+
+        def rows(at, start, end, h1, h2) -> pa.RecordBatch:
+            ids = pa.array([owners[i][0] for i in number[at].tolist()], pa.int64())
+            return record_batch(schema, ids, [owners[i][1] for i in number[at].tolist()], start, end, h1, h2)
+
+        # Repeats that overlap are one span.
+        ends = np.maximum.accumulate(np.arange(n) + reach)
         at = np.flatnonzero(reach)
-        ids = [owners[i][0] for i in number[at]]
-        rows = [owners[i][1] for i in number[at]]
-        return record_batch(schema, ids, rows, place[at], place[at] + reach[at], members[at])
+        if len(at):
+            fresh = np.concatenate([[True], at[1:] > ends[at[:-1]]])
+            first = at[fresh]
+            last = np.concatenate([np.flatnonzero(fresh)[1:] - 1, [len(at) - 1]])
+            stop = ends[at[last]]
+            none = pa.nulls(len(first), pa.int64())
+            yield rows(first, place[first], place[first] + stop - first, none, none)
+        if split:
+            # Others of this anchor are elsewhere: every run is reported, known repeats once (with
+            # an end); those that were met once may still be met there.
+            room = np.flatnonzero(symbols > 255)[np.cumsum(symbols > 255) - (symbols > 255)] - np.arange(n)
+            starts = np.flatnonzero(room >= least)
+            h1, h2 = run_hashes(_BYTE[np.minimum(symbols, 255)], starts, least)
+            known = ends[starts] - starts >= least
+            _, one = np.unique(h1[known], return_index=True)
+            keep = np.sort(np.concatenate([np.flatnonzero(~known), np.flatnonzero(known)[one]]))
+            at, known = starts[keep], known[keep]
+            yield rows(at, place[at], pa.array(place[at] + least, mask=~known), h1[keep], h2[keep])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frames, size, last = [], 0, None
         for batch in batches:
-            for row in batch.to_pylist():
-                # Rows come sorted by anchor; those of one anchor stay together.
-                if size >= TOGETHER and row["gram"] != last:
-                    yield repeats(frames)
+            columns = ("_id", "_row", "start", "bytes", "gram", "part", "parts")
+            for id_, row, start, data, gram, part, parts in zip(
+                *(batch.column(c).to_pylist() for c in columns)
+            ):
+                # Rows come sorted by anchor and part, and those of one meet here. Split anchors are
+                # sorted by themselves, others together.
+                key = (gram, part, parts > 1)
+                if frames and key != last and (size >= TOGETHER or key[2] or last[2]):
+                    yield from repeats(frames, last[2])
                     frames, size = [], 0
-                last = row["gram"]
-                frames.append(((row["_id"], row["_row"]), row["start"], row["bytes"]))
-                size += len(row["bytes"])
+                last = key
+                frames.append(((id_, row), start, data))
+                size += len(data)
         if frames:
-            yield repeats(frames)
+            yield from repeats(frames, last[2])
 
     return work
 
@@ -170,7 +227,7 @@ def _suffix_sorted(least: int):
 def _cut_out(winnowing: Winnowing):
     schema = pa.schema(
         [
-            ("_id", pa.int64()), ("_row", pa.int64()), ("gram", pa.int64()), ("crowded", pa.bool_()),
+            ("_id", pa.int64()), ("_row", pa.int64()), ("gram", pa.int64()), ("parts", pa.int64()),
             ("start", pa.int64()), ("bytes", pa.binary()),
         ]
     )
@@ -178,34 +235,19 @@ def _cut_out(winnowing: Winnowing):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for row in batch.to_pylist():
-                data = row["_text"].encode()
-                for spot in row["_at"]:
+            columns = ("_id", "_row", "_text", "_at")
+            for id_, row, text, spots in zip(*(batch.column(c).to_pylist() for c in columns)):
+                data = text.encode()
+                for spot in spots:
                     start = max(0, spot["at"] - winnowing.reach)
                     frame = data[start : spot["at"] + winnowing.least]
-                    out.append((row["_id"], row["_row"], spot["gram"], spot["crowded"], start, frame))
+                    out.append((id_, row, spot["gram"], spot["parts"], start, frame))
             if out:
                 yield record_batch(schema, *zip(*out))
 
     return work
 
 
-def _counted(winnowing: Winnowing):
-    schema = pa.schema([(name, pa.int64()) for name in ("_id", "_row", "start", "h1", "h2")])
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                units = _BYTE[np.frombuffer(row["bytes"], np.uint8)]
-                anchor = min(winnowing.reach, max(0, len(units) - winnowing.least))
-                starts, h1, h2 = winnowing.runs_through(units, np.array([anchor]))
-                n = len(starts)
-                ids = pa.array([row["_id"]] * n, pa.int64())
-                yield record_batch(schema, ids, np.full(n, row["_row"]), starts + row["start"], h1, h2)
-
-    return work
-
-
 def repeated_spans(rows: DataFrame, winnowing: Winnowing = WINNOWING, crowd: int = CROWD) -> DataFrame:
     """Spans of bytes (_id, _row, start, end) that also start elsewhere."""
     anchors = anchor_rows(rows, winnowing, _units)
@@ -220,29 +262,27 @@ def repeated_spans(rows: DataFrame, winnowing: Winnowing = WINNOWING, crowd: int
 
     several = frames.groupBy("gram").agg(F.count("*").alias("frames")).where("frames > 1")
     ones = frames.join(several, "gram").select(
-        "one.*", "gram", (F.col("frames") > crowd).alias("crowded")
+        "one.*", "gram", F.ceil(F.col("frames") / crowd).alias("parts")
     )
-    spots = ones.groupBy("_id", "_row").agg(F.collect_list(F.struct("at", "gram", "crowded")).alias("_at"))
+    spots = ones.groupBy("_id", "_row").agg(F.collect_list(F.struct("at", "gram", "parts")).alias("_at"))
     found = rows.alias("d").join(spots.alias("p"), same_row("d", "p")).select("d.*", "p._at")
-    schema = f"{ROW}, gram long, crowded boolean, start long, bytes binary"
+    schema = f"{ROW}, gram long, parts long, start long, bytes binary"
     cut = landed(map_batches(found, _cut_out(winnowing), schema), "suffix-frames")
 
-    sorted_ = cut.where("NOT crowded").repartition("gram").sortWithinPartitions("gram")
-    repeats = map_batches(
-        sorted_.select("_id", "_row", "gram", "start", "bytes"),
-        _suffix_sorted(winnowing.least),
-        f"{ROW}, start long, end long, members long",
-    ).select("_id", "_row", "start", "end")
+    part = F.pmod(F.xxhash64("_id", "_row"), F.col("parts"))
+    dealt = cut.withColumn("part", part).repartition("gram", "part").sortWithinPartitions("gram", "part")
+    schema = f"{ROW}, start long, end long, h1 long, h2 long"
+    scanned = landed(map_batches(dealt, _suffix_sorted(winnowing.least), schema), "suffix-repeats")
+    repeats = scanned.where("h1 IS NULL").select("_id", "_row", "start", "end")
 
-    runs = map_batches(
-        cut.where("crowded"), _counted(winnowing), f"{ROW}, start long, h1 long, h2 long"
-    )
-    runs = landed(runs.distinct(), "suffix-runs")
+    # Parts of several anchors may report one place.
+    runs = scanned.where("h1 IS NOT NULL").groupBy("_id", "_row", "start", "h1", "h2")
+    runs = runs.agg(F.max("end").alias("end"))
     twice = runs.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
-    crowded = runs.join(twice, ["h1", "h2"]).select(
+    across = runs.where("end IS NULL").join(twice, ["h1", "h2"]).select(
         "_id", "_row", "start", (F.col("start") + winnowing.least).alias("end")
     )
-    return whole.union(repeats).union(crowded)
+    return whole.union(repeats).union(across)
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
