@@ -38,8 +38,8 @@ from tillwork.llm.registry import query
 
 CHUNK_CHARS = 1 << 18
 #: Entries after which a cache is emptied: bounds a worker's memory, not what is encoded.
-CACHED_PIECES = 1 << 18
-CACHED_STEPS = 1 << 19
+CACHED_PIECES = 1 << 17
+CACHED_STEPS = 1 << 18
 #: Above every rank.
 NEVER = 1 << 62
 
