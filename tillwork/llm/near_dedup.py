@@ -7,10 +7,12 @@ arrival is later than the latest winner, so only some n + m log m arrivals are m
 m places. Two texts agree on a place with the probability Jaccard similarity of their weights. Places
 form BANDS bands of ROWS; texts that agree on a whole band are compared exactly.
 
-Equal texts are one node. In a bucket all nodes are compared with one centre, in two rounds with
-different centres, and only nodes that are still in another class than others of their bucket are
-then compared one by one. So a large group of copies costs comparisons in proportion to its size, and
-no link between different classes is lost.
+Equal texts are one node. In a bucket all nodes are compared with one centre, the node with the most
+company in all its buckets, so a large group of copies of one text costs comparisons in proportion to
+its size. Only buckets that then still hold several classes are looked at again, in blocks of at most
+BLOCK nodes: signatures are compared as arrays, and texts only where they may be similar, are of
+different classes, and share no earlier bucket. So no link between classes is lost, and what comes out
+is links, not pairs.
 
 Defined cases: a text of fewer than five words has one shingle, all its words; one without words has
 none and is like equal texts only. A null text counts as empty. Rows of equal text share a class;
@@ -41,6 +43,15 @@ COMPONENTS = BANDS * ROWS
 #: Shingles whose arrivals are made together; bounds memory, not what is compared.
 TOGETHER = 1 << 19
 
+#: Nodes of one bucket that are compared with each other in one place; larger buckets are dealt in
+#: pairs of blocks.
+BLOCK = 512
+#: Places (of COMPONENTS) that two texts must agree on to be compared: five standard deviations below
+#: what texts of the least similarity agree on.
+def _agreeing(least: float) -> int:
+    return int(COMPONENTS * least - 5 * (COMPONENTS * least * (1 - least)) ** 0.5)
+
+
 _STEP = 0x9E3779B97F4A7C15
 
 
@@ -107,9 +118,10 @@ def signatures(
     return winner.reshape(owners, m)
 
 
-def band_keys(texts: list[str | None]) -> list[list[int]]:
-    """The keys of each text's bands; none for a text without words."""
+def band_keys(texts: list[str | None]) -> tuple[list[list[int]], list[bytes]]:
+    """The keys of each text's bands, none for a text without words, and a byte for each place."""
     keys: list[list[int]] = [[] for _ in texts]
+    sketches = [b"" for _ in texts]
     batch: list[tuple[int, np.ndarray, np.ndarray]] = []
 
     def flush() -> None:
@@ -127,8 +139,9 @@ def band_keys(texts: list[str | None]) -> list[list[int]]:
             key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (len(batch), BANDS)).copy()
             for row in range(ROWS):
                 key = mix(key * np.uint64(_STEP) + winners[:, :, row])
-        for (i, _, _), found in zip(batch, key.view(np.int64).tolist(), strict=True):
-            keys[i] = found
+        sketch = winners.reshape(len(batch), COMPONENTS).astype(np.uint8)
+        for row, (i, _, _) in enumerate(batch):
+            keys[i], sketches[i] = key[row].view(np.int64).tolist(), sketch[row].tobytes()
         batch.clear()
 
     together = 0
@@ -141,14 +154,19 @@ def band_keys(texts: list[str | None]) -> list[list[int]]:
             flush()
             together = 0
     flush()
-    return keys
+    return keys, sketches
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("_id", pa.int64()), ("_node", pa.binary()), ("_bands", pa.list_(pa.int64()))])
+    schema = pa.schema(
+        [
+            ("_id", pa.int64()), ("_node", pa.binary()), ("_bands", pa.list_(pa.int64())),
+            ("_sketch", pa.binary()),
+        ]
+    )
     for batch in batches:
-        texts = batch.column("_text").to_pylist()
-        yield record_batch(schema, batch.column("_id"), batch.column("_node"), band_keys(texts))
+        found = band_keys(batch.column("_text").to_pylist())
+        yield record_batch(schema, batch.column("_id"), batch.column("_node"), *found)
 
 
 @lru_cache(maxsize=64)
@@ -182,76 +200,121 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return map_batches(rows, _verify, schema).where(F.col("similarity") >= least - 1e-9)
 
 
+def _apart(least: float):
+    """Links between the classes of a bucket's block or pair of blocks."""
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("similarity", pa.float64())])
+    agreeing = _agreeing(least)
+
+    def links(key: int, i: int, j: int, rows: list[tuple]) -> list[tuple]:
+        nodes, classes, centre, blocks, bands, sketches, texts = zip(*rows)
+        band = np.array(bands)
+        sketch = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(rows), COMPONENTS)
+        here = int(np.flatnonzero(band[0] == key)[0])
+        block = np.array(blocks)
+        centre = np.array([n == c for n, c in zip(nodes, centre)])
+        parent = {c: c for c in classes}
+
+        def root(c: bytes) -> bytes:
+            while parent[c] != c:
+                parent[c] = c = parent[parent[c]]
+            return c
+
+        found = []
+        for x in range(len(rows) - 1):
+            if centre[x] or not np.any(block[x + 1 :] != block[x]) and i != j:
+                continue
+            agree = (sketch[x + 1 :] == sketch[x]).sum(axis=1)
+            other = (agree >= agreeing) & ~centre[x + 1 :]
+            if i != j:
+                other &= block[x + 1 :] != block[x]
+            ys = np.flatnonzero(other)
+            # A pair belongs to the first bucket that it shares.
+            ys = ys[(band[x + 1 + ys] == band[x]).argmax(axis=1) == here]
+            for y in (ys[np.argsort(-agree[ys], kind="stable")] + x + 1).tolist():
+                p, q = root(classes[x]), root(classes[y])
+                if p != q:
+                    similarity = probability_jaccard(_remembered(texts[x]), _remembered(texts[y]))
+                    if similarity >= least - 1e-9:
+                        parent[p] = q
+                        found.append((min(nodes[x], nodes[y]), max(nodes[x], nodes[y]), similarity))
+        return found
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows = None, []
+        columns = ("_key", "_i", "_j")
+        others = ("_node", "_class", "_centre", "_block", "_bands", "_sketch", "_text")
+        for batch in batches:
+            out = []
+            keys = zip(*(batch.column(c).to_pylist() for c in columns))
+            for at, row in zip(keys, zip(*(batch.column(c).to_pylist() for c in others))):
+                if at != key:
+                    out += links(*key, rows) if len(rows) > 1 else []
+                    key, rows = at, []
+                rows.append(row)
+            if out:
+                yield record_batch(schema, *zip(*out))
+        if len(rows) > 1 and (out := links(*key, rows)):
+            yield record_batch(schema, *zip(*out))
+
+    return work
+
+
 def similar_links(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """Every (_id, _node), and verified links (a, b) that connect all nodes found similar."""
-    schema = "_id long, _node binary, _bands array<long>"
+    schema = "_id long, _node binary, _bands array<long>, _sketch binary"
     signed = landed(map_batches(_keyed(docs), _sign, schema), "signatures")
     nodes = signed.groupBy("_node").agg(
         F.min(F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("id")))["id"].alias("_id"),
         F.first("_bands").alias("_bands"),
+        F.first("_sketch").alias("_sketch"),
     )
     banded = nodes.select("_node", F.explode("_bands").alias("_key"))
-    shared = banded.groupBy("_key").agg(F.count("*").alias("_n")).where("_n > 1").select("_key")
+    shared = banded.groupBy("_key").agg(F.count("*").alias("_n")).where("_n > 1")
     buckets = landed(banded.join(shared, "_key"), "buckets")
-    wanted = buckets.select("_node").distinct().join(nodes.select("_node", "_id"), "_node")
+    company = buckets.groupBy("_node").agg(F.sum("_n").alias("_company"))
+    wanted = company.join(nodes, "_node").select("_node", "_id", "_bands", "_sketch", "_company")
     found = _keyed(docs).alias("d").join(
         wanted.alias("w"),
         (F.col("d._node") == F.col("w._node")) & F.col("d._id").eqNullSafe(F.col("w._id")),
-        "left_semi",
     )
-    texts = landed(found.dropDuplicates(["_node"]).select("_node", "_text"), "texts")
-
-    links = None
-    classes = None
-    for turn in range(2):
-        # The centre is another node in each round, the same in all buckets a group shares.
-        rank = F.struct(F.xxhash64("_node", F.lit(turn)).alias("rank"), F.col("_node").alias("node"))
-        if classes is None:
-            rows = buckets.withColumn("_class", F.col("_node"))
-        else:
-            rows = _classed(buckets, classes)
-        centres = rows.groupBy("_key").agg(
-            F.min(F.struct(rank.alias("rank"), F.col("_class").alias("class"))).alias("c"),
-        )
-        pairs = (
-            rows.join(centres, "_key")
-            .where(F.col("_class") != F.col("c.class"))
-            .select(
-                F.least("_node", F.col("c.rank.node")).alias("a"),
-                F.greatest("_node", F.col("c.rank.node")).alias("b"),
-            )
-            .distinct()
-        )
-        found = landed(_verified(pairs, texts, least), "links").select("a", "b")
-        links = found if links is None else links.union(found)
-        classes = components(links)
-
-    # What is still apart within a bucket is compared one by one, across classes only.
-    rows = _classed(buckets, classes)
-    mixed = rows.groupBy("_key").agg(F.min("_class").alias("lo"), F.max("_class").alias("hi"))
-    mixed = mixed.where("lo != hi").select("_key")
-    rows = landed(rows.join(mixed, "_key"), "apart")
-    home = rows.groupBy("_key", "_class").agg(F.count("*").alias("n"))
-    home = home.groupBy("_key").agg(F.max(F.struct("n", "_class"))["_class"].alias("_home"))
-    away = rows.join(home, "_key").where("_class != _home")
+    found = found.select("d._node", "d._text", "w._bands", "w._sketch", "w._company")
+    texts = landed(found.dropDuplicates(["_node"]), "texts")
+
+    rows = buckets.join(texts.select("_node", "_company"), "_node")
+    centres = rows.groupBy("_key").agg(F.max(F.struct("_company", "_node"))["_node"].alias("_centre"))
     pairs = (
-        away.alias("x")
-        .join(rows.alias("y"), "_key")
-        .where("x._class != y._class")
-        .select(
-            F.least("x._node", "y._node").alias("a"), F.greatest("x._node", "y._node").alias("b")
-        )
+        buckets.join(centres, "_key")
+        .where("_node != _centre")
+        .select(F.least("_node", "_centre").alias("a"), F.greatest("_node", "_centre").alias("b"))
         .distinct()
     )
-    links = links.union(landed(_verified(pairs, texts, least), "links").select("a", "b"))
-    return signed.select("_id", "_node"), links
-
-
-def _classed(buckets: DataFrame, classes: DataFrame) -> DataFrame:
-    label = classes.select(F.col("node").alias("_node"), F.col("label").alias("_label"))
-    return buckets.join(label, "_node", "left").select(
-        "_key", "_node", F.coalesce("_label", "_node").alias("_class")
+    links = landed(_verified(pairs, texts, least), "links").select("a", "b")
+
+    # What is still apart within a bucket of three or more.
+    label = components(links).select(F.col("node").alias("_node"), F.col("label").alias("_label"))
+    classed = (
+        buckets.where("_n > 2")
+        .join(label, "_node", "left")
+        .select("_key", "_n", "_node", F.coalesce("_label", "_node").alias("_class"))
     )
+    several = classed.groupBy("_key").agg(F.min("_class").alias("lo"), F.max("_class").alias("hi"))
+    several = several.where("lo != hi").select("_key").join(centres, "_key")
+    blocks = F.ceil(F.col("_n") / BLOCK)
+    block = F.pmod(F.xxhash64("_node"), blocks)
+    rows = (
+        classed.join(several, "_key")
+        .withColumn("_block", block)
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        .select(
+            "_key", "_node", "_class", "_centre", "_block",
+            F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j"),
+        )
+        .join(texts.select("_node", "_bands", "_sketch", "_text"), "_node")
+    )
+    dealt = rows.repartition("_key", "_i", "_j").sortWithinPartitions("_key", "_i", "_j")
+    schema = "a binary, b binary, similarity double"
+    more = landed(map_batches(dealt, _apart(least), schema), "links").select("a", "b")
+    return signed.select("_id", "_node"), links.union(more)
 
 
 def near_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
