@@ -4,9 +4,9 @@ Merging pairs by rank has an equivalent left-to-right form: a sequence of tokens
 its bytes exactly if each token is what merging makes of its own bytes, and each neighbouring pair is
 what merging makes of the pair's bytes. That makes a nondeterministic transducer: a hypothesis is the
 place in the trie of tokens where the current token has got to, behind the tokens before it. The
-subset construction runs while text is read and keeps the states and transitions it has met. Each
-step emits the tokens that all hypotheses share; as two hypotheses differ by less than a longest
-token of input, that lookahead is bounded.
+subset construction runs while text is read and keeps the states and transitions it has met twice (a
+rare ending is followed without new states). Each step emits the tokens that all hypotheses share; as
+two hypotheses differ by less than a longest token of input, that lookahead is bounded.
 
 Encoding runs per row; nothing is shuffled. Only the vocabulary file is broadcast, which has a fixed
 size.
@@ -38,8 +38,10 @@ from tillwork.llm.registry import query
 
 CHUNK_CHARS = 1 << 18
 #: Entries after which a cache is emptied: bounds a worker's memory, not what is encoded.
-CACHED_PIECES = 1 << 17
-CACHED_STEPS = 1 << 18
+CACHED_PIECES = 1 << 18
+CACHED_STEPS = 1 << 19
+#: Pieces from so many bytes on are determinised at once: the tokens pending stay few.
+FAR = 64
 #: Above every rank.
 NEVER = 1 << 62
 
@@ -66,6 +68,7 @@ class Transducer:
                     self._token.append(-1)
                 node = self._child[edge]
             self._token[node] = rank
+        self._inner = {edge >> 8 for edge in self._child}
         self._built: dict[int, tuple[list, list] | None] = {}
         self._follows: dict[int, bool] = {}
         self._forget()
@@ -74,7 +77,9 @@ class Transducer:
         start = ((0, (), -1),)
         self._states = [start]
         self._ids = {start: 0}
-        self._steps: dict[int, tuple[int, tuple[int, ...]]] = {}
+        self._steps: dict[int, int] = {}  # (state << 8 | byte) -> state
+        self._emits: dict[int, tuple[int, ...]] = {}  # of steps that decide tokens
+        self._met: set[int] = set()  # steps seen once
 
     def _edges(self, token: int) -> tuple[list, list] | None:
         """What the token's first and last part are while merging builds it: (bytes, rank of the
@@ -136,53 +141,84 @@ class Transducer:
             self._follows[key] = follows
         return follows
 
-    def _advance(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """The next state and what all its hypotheses agree on."""
-        ahead = []
-        for node, pending, last in self._states[state]:
-            node = self._child.get(node << 8 | byte)
+    def _next(self, hypotheses, byte: int) -> list[tuple[int, tuple[int, ...], int]]:
+        """The hypotheses after one more byte. One of them ends there, and comes last."""
+        ahead, whole = [], None
+        child, tokens, inner, follows = self._child, self._token, self._inner, self._follows
+        for node, pending, last in hypotheses:
+            node = child.get(node << 8 | byte)
             if node is None:
                 continue
-            ahead.append((node, pending, last))
-            token = self._token[node]
-            if token >= 0 and self._may_follow(last, token):
-                ahead.append((0, (*pending, token), token))
-        # Pending tokens that all share are decided: a prefix of the least and the greatest is one of all.
-        out = ()
-        if len(ahead) == 1:
-            ((node, out, last),) = ahead
-            key = ((node, (), last),)
-        elif all(pending for _, pending, _ in ahead):
-            pendings = [pending for _, pending, _ in ahead]
-            least, most = min(pendings), max(pendings)
-            n = 0
-            while n < len(least) and least[n] == most[n]:
-                n += 1
-            out = least[:n]
-            key = tuple((node, pending[n:], last) for node, pending, last in ahead)
-        else:
-            key = tuple(ahead)
-        number = self._ids.setdefault(key, len(self._states))
-        if number == len(self._states):
+            if node in inner:
+                ahead.append((node, pending, last))
+            token = tokens[node]
+            if token >= 0:
+                follow = follows.get(last << 32 | token)
+                if self._may_follow(last, token) if follow is None else follow:
+                    whole = (0, (*pending, token), token)
+        ahead.append(whole)
+        return ahead
+
+    def _determinise(self, edge: int) -> int:
+        """The state that a state reaches with a byte; tokens that all hypotheses share are emitted."""
+        ahead = self._next(self._states[edge >> 8], edge & 255)
+        first = ahead[0][1]
+        if first:
+            n = len(first)
+            for _, pending, _ in ahead:
+                while first[:n] != pending[:n]:
+                    n -= 1
+            if n:
+                self._emits[edge] = first[:n]
+                ahead = [(node, pending[n:], last) for node, pending, last in ahead]
+        key = tuple(ahead)
+        state = self._ids.setdefault(key, len(self._states))
+        if state == len(self._states):
             self._states.append(key)
-        return number, out
+        self._steps[edge] = state
+        return state
+
+    def _follow(self, data: bytes) -> list[int]:
+        """The way of the one hypothesis that lasts, through a short piece, without states: the token
+        that ends at each place, from those that end before."""
+        child, tokens, follows = self._child, self._token, self._follows
+        size = len(data)
+        ends = [-1] * (size + 1)
+        for begin in range(size):
+            last, node = ends[begin], 0
+            for end in range(begin, size):
+                node = child.get(node << 8 | data[end])
+                if node is None:
+                    break
+                token = tokens[node]
+                if token >= 0 and ends[end + 1] < 0:
+                    follow = follows.get(last << 32 | token)
+                    if self._may_follow(last, token) if follow is None else follow:
+                        ends[end + 1] = token
+        ids = []
+        while size:
+            ids.append(ends[size])
+            size -= len(self._bytes[ends[size]])
+        return ids[::-1]
 
     def encode(self, data: bytes) -> list[int]:
-        if len(self._steps) >= CACHED_STEPS:
+        if len(self._steps) >= CACHED_STEPS or len(self._met) >= 2 * CACHED_STEPS:
             self._forget()
+        steps, emits, met = self._steps, self._emits, self._met
         ids: list[int] = []
-        state, steps = 0, self._steps
-        for byte in data:
+        state = 0
+        for at, byte in enumerate(data):
             edge = state << 8 | byte
-            step = steps.get(edge)
-            if step is None:
-                step = steps[edge] = self._advance(state, byte)
-            state, out = step
-            ids += out
-        # The one hypothesis that ends between tokens is the encoding.
-        for node, pending, _ in self._states[state]:
-            if node == 0:
-                ids += pending
+            state = steps.get(edge)
+            if state is None:
+                # A step is determinised when it is met again, and in long pieces at once.
+                if edge not in met and len(data) < FAR:
+                    met.add(edge)
+                    return self._follow(data)
+                state = self._determinise(edge)
+            if edge in emits:
+                ids += emits[edge]
+        ids += self._states[state][-1][1]
         return ids
 
 
