@@ -80,7 +80,6 @@ def main() -> None:
         report(
             f"customer activity, {name}",
             spread=best(lambda t=table: drain(customer_avg_orders_per_day(t))),
-            colocated=best(lambda t=table: drain(customer_avg_orders_per_day(t, True))),
             all_in_one_exchange=best(
                 lambda t=table: drain(customer_avg_orders_per_day(t.repartition("CustomerKey")))
             ),
@@ -124,7 +123,7 @@ def main() -> None:
     report(
         "scan of all customer columns",
         rows=many.count(),
-        one_multi_line_document=best(lambda: drain(read_json(spark, document, schema))),
+        one_multi_line_document=best(lambda: drain(read_json(spark, document, schema, multi_line=True))),
         json_lines=best(lambda: drain(read_json(spark, lines, schema, multi_line=False))),
         parquet=best(lambda: drain(spark.read.parquet(parquet))),
     )

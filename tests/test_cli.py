@@ -48,7 +48,7 @@ def arguments(folder, *names):
 
 def test_layers(spark, inputs):
     out = str(inputs / "out")
-    main(["layers", *arguments(inputs, "customers", "sales"), "--out", out])
+    main(["layers", *arguments(inputs, "customers", "sales"), "--json-documents", "--out", out])
     activity = spark.read.parquet(f"{out}/curated/customer_activity").collect()
     assert [(row.CustomerKey, row.NumOrders, row.AvgOrdersPerDay) for row in activity] == [(1, 1, 1.0)]
     assert len(spark.read.parquet(f"{out}/cleansed/customers").collect()[0].FullName) == 64
@@ -56,7 +56,7 @@ def test_layers(spark, inputs):
 
 def test_report(spark, inputs, capfd):
     out = str(inputs / "out")
-    main(["report", *arguments(inputs, "customers", "sales", "products"), "--out", out])
+    main(["report", *arguments(inputs, "customers", "sales", "products"), "--json-documents", "--out", out])
     metrics = {r.metric: r.value for r in spark.read.parquet(f"{out}/parts/metrics").collect()}
     assert (metrics["orders_placed"], metrics["avg_units_per_order"]) == (1.0, 2.0)
     assert "Orders placed: 1.00" in capfd.readouterr().out

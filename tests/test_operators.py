@@ -229,8 +229,7 @@ def test_metrics_of_no_sales(spark):
     assert customer_avg_orders_per_day(empty).count() == 0
 
 
-@pytest.mark.parametrize("colocate", [False, True])
-def test_customer_activity(sales, sales_rows, colocate):
+def test_customer_activity(sales, sales_rows):
     orders = defaultdict(set)
     for row in sales_rows:
         orders[row[2], row[0]] |= {row[1]} - {None}
@@ -241,7 +240,7 @@ def test_customer_activity(sales, sales_rows, colocate):
         (customer, date, len(numbers), mean(counts[customer]))
         for (customer, date), numbers in orders.items()
     )
-    result = customer_avg_orders_per_day(sales, colocate)
+    result = customer_avg_orders_per_day(sales)
     assert as_sets(result) == expected
     # The mean times the active dates is the number of orders.
     for row in (

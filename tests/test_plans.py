@@ -9,11 +9,7 @@ from pyspark.sql import functions as F
 
 from tillwork import schemas
 from tillwork.operators import metrics
-from tillwork.operators.activity import (
-    HOT_SHARE,
-    _hot_customers,
-    customer_avg_orders_per_day,
-)
+from tillwork.operators.activity import customer_avg_orders_per_day
 from tillwork.operators.cleanse import dedup, drop_nulls
 from tillwork.operators.ordering import sorted_by, top_k
 from tillwork.plans import enrichment
@@ -120,7 +116,9 @@ def test_product_enrichment(products):
 
 
 def test_masked_customers(customers):
-    rows = by_key(enrichment.customers_masked(customers), "CustomerKey")
+    masked = enrichment.customers_masked(customers)
+    assert not {"Prefix", "FirstName", "LastName", "FullName", "EmailAddress"} & set(masked.columns)
+    rows = by_key(masked, "CustomerKey")
     assert (rows[1].masked_name, rows[1].masked_phone) == ("*" * 10, "*" * 8)
     assert rows[2].masked_phone is None and rows[2].masked_email is None
     assert "PhoneNumber" not in rows[1].asDict()
@@ -230,25 +228,6 @@ def test_hot_customer_is_counted_by_many_tasks(uncoalesced, tmp_path):
     assert hot.agg(F.sum("NumOrders")).collect()[0][0] == 20000
 
 
-def test_colocation_leaves_hot_customers_spread(uncoalesced, tmp_path):
-    """Only ordinary customers are gathered by customer; a hot one and NULL are not among them."""
-    path = str(tmp_path / "s")
-    uncoalesced.range(0, 30000, numPartitions=4).selectExpr(
-        "CASE id % 3 WHEN 0 THEN cast(id AS int) WHEN 1 THEN -1 END AS CustomerKey",
-        "date_add(DATE'2015-01-01', cast(id % 90 AS int)) AS OrderDate",
-        "id AS OrderNumber",
-    ).write.parquet(path)
-    sales = uncoalesced.read.parquet(path)
-    hot = _hot_customers(sales)
-    assert Counter(row.HotKey for row in hot.collect()) == Counter([-1, None])
-    assert hot.count() <= 1 / HOT_SHARE
-    colocated = customer_avg_orders_per_day(sales, colocate=True)
-    spread = customer_avg_orders_per_day(sales)
-    assert colocated.exceptAll(spread).isEmpty() and spread.exceptAll(colocated).isEmpty()
-    plan = plan_of(colocated)
-    assert "LeftAnti" in plan and "LeftSemi" in plan and "CartesianProduct" not in plan
-
-
 def test_hot_join_key_is_split_though_a_grouping_follows(uncoalesced):
     """The session settings let adaptive execution split a hot order before a grouping on it."""
     spark = uncoalesced

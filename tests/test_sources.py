@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tillwork import schemas
 from tillwork.session import scratch_path
+from tillwork.streaming.messages import parse_messages, to_messages
 from tillwork.sources.files import read_csv, read_json, write_json, write_table
 
 CUSTOMER = {
@@ -47,7 +48,7 @@ def test_csv_with_another_header_fails(spark, tmp_path):
 
 def test_json_document_with_schema(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps([CUSTOMER, {"CustomerKey": 2}], indent=2))
-    rows = read_json(spark, str(tmp_path), schemas.CUSTOMERS).orderBy("CustomerKey").collect()
+    rows = read_json(spark, str(tmp_path), schemas.CUSTOMERS, multi_line=True).orderBy("CustomerKey").collect()
     assert [row.CustomerKey for row in rows] == [1, 2]
     # A cell that does not fit is NULL; the row and its other cells stay.
     assert (rows[0].TotalChildren, rows[0].PhoneNumber) == (None, "555-1234")
@@ -56,7 +57,7 @@ def test_json_document_with_schema(spark, tmp_path):
 
 def test_json_document_inferred(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps([CUSTOMER, {"CustomerKey": 2}]))
-    df = read_json(spark, str(tmp_path))
+    df = read_json(spark, str(tmp_path), multi_line=True)
     assert df.columns == sorted(CUSTOMER)
     assert dict(df.dtypes)["CustomerKey"] == "bigint"
     assert df.count() == 2
@@ -157,3 +158,25 @@ def test_no_machine_local_folder_on_a_cluster():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_path(ClusterSession("yarn", {}), "x")
     assert scratch_path(ClusterSession("local[2]", {}), "x")
+
+
+def test_reordered_headers_fail(spark, tmp_path):
+    for name, text in (("a", "id,name\n1,Ann\n"), ("b", "name,id\nLee,3\n")):
+        (tmp_path / f"{name}.csv").write_text(text)
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(tmp_path)).collect()
+
+
+def test_json_layout_has_no_default(spark, tmp_path):
+    with pytest.raises(TypeError):
+        read_json(spark, str(tmp_path))
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_json_keeps_microseconds(spark, tmp_path, kind):
+    texts = ["2024-01-02 03:04:05.123456", "2024-01-02 03:04:05", "1969-12-31 23:59:59.000001"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr(f"cast(t AS {kind}) AS t")
+    write_json(rows, str(tmp_path / "j"))
+    back = read_json(spark, str(tmp_path / "j"), rows.schema, multi_line=False)
+    assert sorted(back.collect()) == sorted(rows.collect())
+    assert sorted(parse_messages(to_messages(rows), rows.schema).collect()) == sorted(rows.collect())

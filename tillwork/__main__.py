@@ -1,7 +1,7 @@
-"""Command line: ``spark-submit ... -m`` style entry to the end-to-end jobs.
+"""Command line to the end-to-end jobs.
 
-    python -m tillwork layers  --customers C.json --sales S.json --out ROOT
-    python -m tillwork report  --customers C.json --products P.json --sales S.json --out ROOT
+    python -m tillwork layers  --customers C --sales S --json-lines --out ROOT
+    python -m tillwork report  --customers C --products P --sales S --json-documents --out ROOT
     python -m tillwork publish --csv C.csv --servers HOST:PORT --topic T
     python -m tillwork feed    --columns id,name --servers HOST:PORT --topic T --out O --checkpoint K
 
@@ -39,7 +39,9 @@ def parser() -> argparse.ArgumentParser:
         job.add_argument("--customers", required=True)
         job.add_argument("--sales", required=True)
         job.add_argument("--out", required=True)
-        job.add_argument("--json-lines", action="store_true", help="one object per line")
+        layout = job.add_mutually_exclusive_group(required=True)
+        layout.add_argument("--json-lines", action="store_true", help="one object per line")
+        layout.add_argument("--json-documents", action="store_true", help="one document per file")
         job.add_argument("--mode", default="errorifexists", choices=["errorifexists", "overwrite"])
     layers.add_argument("--salt")
     report.add_argument("--products", required=True)
@@ -66,13 +68,13 @@ def parser() -> argparse.ArgumentParser:
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     apply_runtime_conf(spark)
     if args.job in ("layers", "report"):
-        lines = not args.json_lines
-        customers = read_json(spark, args.customers, schemas.CUSTOMERS, lines)
-        sales = read_json(spark, args.sales, schemas.SALES, lines)
+        documents = args.json_documents
+        customers = read_json(spark, args.customers, schemas.CUSTOMERS, multi_line=documents)
+        sales = read_json(spark, args.sales, schemas.SALES, multi_line=documents)
     if args.job == "layers":
         build_layers(customers, sales, args.out, args.mode, args.salt)
     elif args.job == "report":
-        products = read_json(spark, args.products, schemas.PRODUCTS, lines)
+        products = read_json(spark, args.products, schemas.PRODUCTS, multi_line=documents)
         landed = land_sales(sales, f"{args.out}/sales", args.mode)
         parts = write_report(
             landed, products, customers, f"{args.out}/parts", args.mode, args.as_of
@@ -107,6 +109,8 @@ def main(argv: list[str] | None = None) -> None:
     args = root.parse_args(argv)
     if args.job in ("publish", "feed") and not (args.topic_dir or (args.servers and args.topic)):
         root.error("name --servers and --topic, or --topic-dir")
+    if args.job == "publish" and args.topic_dir and args.key:
+        root.error("messages in a folder have no --key")
     run(SparkSession.builder.appName(f"tillwork-{args.job}").getOrCreate(), args)
 
 

@@ -14,14 +14,24 @@ AMOUNT_DECORATION = "$€£¥, \t"
 DISCOUNT_FACTOR = 0.9
 
 
-def to_int(value: str | Column) -> Column:
-    """Amount text such as ``$90,000`` to a 32-bit int; fractions are cut off.
+# Fixed value: an amount without its decoration. Exponents, hexadecimal and type suffixes, which a
+# cast to double takes, are no amounts.
+PLAIN_AMOUNT = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)$"
+
+
+def to_amount(value: str | Column) -> Column:
+    """Amount text such as ``$90,000`` to a decimal.
 
-    Currency signs, thousands commas and blanks are ignored. NULL, any other text and numbers beyond
-    32 bits give NULL (never an error).
+    Currency signs, thousands commas and blanks are ignored. NULL, any other text and numbers of more
+    than 28 digits before the point give NULL (never an error).
     """
-    text = as_column(value).cast("string")
-    return F.translate(text, AMOUNT_DECORATION, "").try_cast("double").try_cast("int")
+    text = F.translate(as_column(value).cast("string"), AMOUNT_DECORATION, "")
+    return F.when(text.rlike(PLAIN_AMOUNT), text).try_cast("decimal(38,10)")
+
+
+def to_int(value: str | Column) -> Column:
+    """Like ``to_amount``, to a 32-bit int: fractions are cut off, numbers beyond it give NULL."""
+    return to_amount(value).try_cast("int")
 
 
 def discounted(price: str | Column, factor: float = DISCOUNT_FACTOR) -> Column:

@@ -5,11 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwork.operators.cleanse import distinct_values
-
-# A customer above this share of all orders is never gathered in one task.
-HOT_SHARE = 0.001
-
 
 def orders_per_customer_day(sales: DataFrame) -> DataFrame:
     """Distinct orders per customer and date; NULL customers and dates are groups of their own."""
@@ -18,37 +13,14 @@ def orders_per_customer_day(sales: DataFrame) -> DataFrame:
     )
 
 
-def customer_avg_orders_per_day(sales: DataFrame, colocate: bool = False) -> DataFrame:
+def customer_avg_orders_per_day(sales: DataFrame) -> DataFrame:
     """Orders per customer and active date, beside that customer's mean over active dates.
 
-    By default sales are spread by (customer, date, order) and copies collapse before each shuffle,
-    so a customer holding a third of all sales is counted by many tasks. Only one row per customer
-    and date reaches the window, which the calendar bounds.
-
-    ``colocate`` gathers the orders of ordinary customers by customer, which saves them an exchange;
-    customers above ``HOT_SHARE`` of all orders, NULL included, still go the default way. It reads
-    the sales again to find them and for each side, which cost more than it saved where measured warm.
+    Sales are spread by (customer, date, order) and copies collapse before each shuffle, so a customer
+    holding a third of all sales is counted by many tasks. Only one row per customer and date reaches
+    the window, which the calendar bounds.
     """
-    if not colocate:
-        return _with_customer_mean(sales)
-    orders = distinct_values(sales, "CustomerKey", "OrderDate", "OrderNumber")
-    hot = F.broadcast(_hot_customers(orders))
-    same = orders["CustomerKey"].eqNullSafe(hot["HotKey"])
-    ordinary = orders.join(hot, same, "left_anti").repartition("CustomerKey")
-    return _with_customer_mean(ordinary).unionAll(
-        _with_customer_mean(orders.join(hot, same, "left_semi"))
-    )
-
-
-def _with_customer_mean(sales: DataFrame) -> DataFrame:
     per_customer = Window.partitionBy("CustomerKey")
     return orders_per_customer_day(sales).withColumn(
         "AvgOrdersPerDay", F.avg("NumOrders").over(per_customer)
     )
-
-
-def _hot_customers(orders: DataFrame) -> DataFrame:
-    """Customers above ``HOT_SHARE`` of all rows; there are never more than 1 / HOT_SHARE."""
-    sizes = orders.groupBy(F.col("CustomerKey").alias("HotKey")).agg(F.count("*").alias("n"))
-    limit = sizes.agg((F.sum("n") * HOT_SHARE).alias("n")).scalar()
-    return sizes.filter(F.col("n") > limit).select("HotKey")

@@ -8,6 +8,7 @@ from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from tillwork.functions.dates import DATE_FORMATS, parse_date
 from tillwork.functions.numbers import to_int
@@ -54,8 +55,18 @@ def type_dates(
 
 
 def type_ints(df: DataFrame, *columns: str) -> DataFrame:
-    """Replace text columns by 32-bit ints; text that is no amount becomes NULL."""
-    return df.withColumns({name: to_int(name) for name in columns})
+    """Replace columns by 32-bit ints; text that is no amount becomes NULL.
+
+    Columns that are numbers are cast as they are, and those that are ints stay.
+    """
+    kinds = {name: df.schema[name].dataType for name in columns}
+    return df.withColumns(
+        {
+            name: F.col(name).try_cast("int") if isinstance(kind, NumericType) else to_int(name)
+            for name, kind in kinds.items()
+            if kind.typeName() != "integer"
+        }
+    )
 
 
 def date_audit(

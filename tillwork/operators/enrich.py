@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 
 from tillwork.functions.categories import band, recode
 from tillwork.functions.dates import SLASH_DATE, age_years, parse_date
-from tillwork.functions.numbers import discounted, profit, to_int
+from tillwork.functions.numbers import discounted, profit, to_amount
 from tillwork.functions.text import joined_name, strict_name, text_length
 
 AsOf = str | datetime.date | Column | None
@@ -31,7 +31,7 @@ def with_age(df: DataFrame, as_of: AsOf = None) -> DataFrame:
 
 def with_income_category(df: DataFrame, null_label: str | None = None) -> DataFrame:
     """Add ``IncomeCategory`` of the amount in ``AnnualIncome``; no amount counts as the top band."""
-    return df.withColumn("IncomeCategory", band(to_int("AnnualIncome"), null_label=null_label))
+    return df.withColumn("IncomeCategory", band(to_amount("AnnualIncome"), null_label=null_label))
 
 
 def with_description_length(df: DataFrame) -> DataFrame:

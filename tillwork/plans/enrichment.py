@@ -18,16 +18,21 @@ from tillwork.operators.enrich import (
 )
 from tillwork.operators.protect import mask_columns
 
+# The columns a full name is made of, and what stands for a missing value.
+NAME_PARTS = ("Prefix", "FirstName", "LastName")
+CUSTOMER_FILL = {"EmailAddress": ""}
+PRODUCT_FILL = {"ProductColor": "", "ProductSize": ""}
+
 
 def customers_curated(customers: DataFrame) -> DataFrame:
     """Customers with no NULL e-mail address, numeric income and children, and a strict full name."""
-    filled = fill_nulls(customers, {"EmailAddress": ""})
+    filled = fill_nulls(customers, CUSTOMER_FILL)
     return with_strict_full_name(type_ints(filled, "AnnualIncome", "TotalChildren"))
 
 
 def products_curated(products: DataFrame) -> DataFrame:
     """Products with no NULL color or size, and the discounted price."""
-    return with_discounted_price(fill_nulls(products, {"ProductColor": "", "ProductSize": ""}))
+    return with_discounted_price(fill_nulls(products, PRODUCT_FILL))
 
 
 def customers_enriched(
@@ -55,7 +60,11 @@ def products_enriched(products: DataFrame) -> DataFrame:
 def customers_masked(
     customers: DataFrame, as_of: AsOf = None, drop_originals: bool = True
 ) -> DataFrame:
-    """Customers with full name, age, and starred personal data in place of the clear text."""
-    return mask_columns(
-        with_age(with_full_name(customers), as_of), drop_originals=drop_originals
-    )
+    """Customers with age, and starred personal data in place of the clear text.
+
+    The full name is starred, and its parts go with the other clear text. The birth date and the other
+    columns stay.
+    """
+    named = with_age(with_full_name(customers), as_of)
+    masked = mask_columns(named, drop_originals=drop_originals)
+    return masked.drop(*NAME_PARTS) if drop_originals else masked

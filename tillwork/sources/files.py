@@ -12,15 +12,22 @@ from tillwork.schemas import all_strings
 
 Paths = str | list[str]
 
+#: JSON writers cut times to milliseconds by default; readers take up to nine digits as they come.
+EXACT_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+}
+
 
 def read_csv(spark: SparkSession, path: Paths, columns: list[str] | None = None) -> DataFrame:
     """CSV with a header row; every column is a string and an empty cell is NULL.
 
-    With ``columns`` no job runs to look at the header, and files whose header differs fail.
+    Files whose header differs from the others, or from ``columns``, fail. With ``columns`` no job
+    runs to look at the header.
     """
-    reader = spark.read.option("header", "true")
+    reader = spark.read.option("header", "true").option("enforceSchema", "false")
     if columns is not None:
-        reader = reader.schema(all_strings(columns)).option("enforceSchema", "false")
+        reader = reader.schema(all_strings(columns))
     return reader.csv(path)
 
 
@@ -28,13 +35,15 @@ def read_json(
     spark: SparkSession,
     path: Paths,
     schema: StructType | str | None = None,
-    multi_line: bool = True,
+    *,
+    multi_line: bool,
 ) -> DataFrame:
     """JSON files; a cell that does not fit the schema is NULL and its row stays.
 
     ``multi_line=True`` reads one document or array of documents per file. Such a file cannot be
     split, so its whole read is one task: supply many files, or JSON Lines and ``multi_line=False``.
-    The flag must match the data, since JSON Lines read as one document yield the first line only.
+    The flag has no default: it must match the data, since JSON Lines read as one document yield the
+    first line only.
     Without ``schema`` the types come from an extra pass over the data, with columns sorted by name.
     """
     reader = spark.read.option("multiLine", multi_line)
@@ -44,8 +53,9 @@ def read_json(
 
 
 def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """JSON Lines files; NULL fields are left out. The default mode refuses an existing path."""
-    df.write.mode(mode).json(path)
+    """JSON Lines files; NULL fields are left out, times keep their microseconds. The default mode
+    refuses an existing path."""
+    df.write.mode(mode).options(**EXACT_TIMES).json(path)
 
 
 def write_table(

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tillwork.sources.files import EXACT_TIMES
+
 # Where ``from_json`` leaves a bad text, and the name it is stored under: a stored
 # ``_corrupt_record`` would be taken for the reader's own column when the files are read back.
 CORRUPT_COLUMN = "_corrupt_record"
@@ -13,12 +15,12 @@ MALFORMED_TEXT = "malformed_text"
 
 
 def to_messages(df: DataFrame, key: str | None = None) -> DataFrame:
-    """One JSON object per row in ``value``; NULL fields are left out of the object.
+    """One JSON object per row in ``value``; NULL fields are left out, times keep their microseconds.
 
     ``key`` also emits that column as the message key. Without it messages spread evenly over the
     topic's partitions, whatever the data.
     """
-    value = F.to_json(F.struct("*")).alias("value")
+    value = F.to_json(F.struct("*"), EXACT_TIMES).alias("value")
     if key is None:
         return df.select(value)
     return df.select(F.col(key).cast("string").alias("key"), value)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from tillwork.sources.files import EXACT_TIMES
+
 
 def start_json_sink(
     stream: DataFrame,
@@ -25,6 +27,7 @@ def start_json_sink(
     writer = (
         stream.writeStream.outputMode("append")
         .format("json")
+        .options(**EXACT_TIMES)
         .option("path", path)
         .option("checkpointLocation", checkpoint)
     )

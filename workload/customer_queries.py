@@ -145,10 +145,10 @@ def mask_customer_pii(spark, sf_dir):
     )
 
 
-@query("SELECT turn, role, repeat('*', length(text)) AS masked_text FROM conversations")
+@query("SELECT conv_id, turn, role, repeat('*', length(text)) AS masked_text FROM conversations")
 def mask_conversation_text(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select(
-        "turn", "role", stars("text").alias("masked_text")
+        "conv_id", "turn", "role", stars("text").alias("masked_text")
     )
 
 
@@ -224,7 +224,8 @@ def customer_enriched(spark, sf_dir):
 
 
 @query(
-    f"""WITH {CUSTOMERS_SQL} SELECT * EXCLUDE (EmailAddress, Address, PhoneNumber),
+    f"""WITH {CUSTOMERS_SQL} SELECT * EXCLUDE (EmailAddress, Address, PhoneNumber,
+    Prefix, FirstName, LastName),
     {AGE_SQL} AS Age, {MASK_SQL} FROM customers"""
 )
 def customer_masked(spark, sf_dir):

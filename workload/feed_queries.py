@@ -24,8 +24,7 @@ TEXT_CUSTOMERS_SQL = (
     f"WITH {CUSTOMERS_SQL} SELECT * REPLACE (CAST(CustomerKey AS VARCHAR) AS CustomerKey, "
     "CAST(TotalChildren AS VARCHAR) AS TotalChildren) FROM customers"
 )
-EVENTS_DDL = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
-EVENTS_SQL = "SELECT event_id, user_id, event_type, value, props FROM events"
+EVENTS_SQL = "SELECT * REPLACE (strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS ts) FROM events"
 
 
 def customer_csv(spark, sf_dir):
@@ -37,19 +36,18 @@ def customer_csv(spark, sf_dir):
 
 
 def events(spark, sf_dir):
-    return table(spark, sf_dir, "events").select(
-        "event_id", "user_id", "event_type", "value", "props"
-    )
+    return table(spark, sf_dir, "events")
+
+
+def exact_time(rows):
+    """The time as text to the microsecond, which compares everywhere."""
+    return rows.withColumn("ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
 
 
 def event_stream(spark, sf_dir):
     """The events table as a stream, whether it is one file or a folder of files."""
     schema = table(spark, sf_dir, "events").schema
-    return (
-        spark.readStream.schema(schema)
-        .parquet(f"{sf_dir}/event[s].parquet")
-        .select("event_id", "user_id", "event_type", "value", "props")
-    )
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet")
 
 
 def write_json_arrays(rows, path):
@@ -91,7 +89,7 @@ def json_write(spark, sf_dir):
 def json_scan_schema(spark, sf_dir):
     path = scratch_path(spark, "products-arrays")
     write_json_arrays(products(spark, sf_dir), path)
-    return read_json(spark, path, PRODUCTS_DDL)
+    return read_json(spark, path, PRODUCTS_DDL, multi_line=True)
 
 
 @query(
@@ -101,7 +99,7 @@ def json_scan_schema(spark, sf_dir):
 def json_scan_inferred(spark, sf_dir):
     path = scratch_path(spark, "products-arrays")
     write_json_arrays(products(spark, sf_dir), path)
-    return read_json(spark, path)
+    return read_json(spark, path, multi_line=True)
 
 
 @query(
@@ -123,7 +121,7 @@ def json_scan_misfit(spark, sf_dir):
 @query(EVENTS_SQL)
 def json_roundtrip(spark, sf_dir):
     rows = events(spark, sf_dir)
-    return parse_messages(to_messages(rows), rows.schema)
+    return exact_time(parse_messages(to_messages(rows), rows.schema))
 
 
 @query(
@@ -144,7 +142,7 @@ def stream_json_sink(spark, sf_dir):
     drain_feed(
         to_messages(event_stream(spark, sf_dir)), schema, f"{root}/out", f"{root}/checkpoint"
     )
-    return read_json(spark, f"{root}/out", schema, multi_line=False)
+    return exact_time(read_json(spark, f"{root}/out", schema, multi_line=False))
 
 
 @query(EVENTS_SQL)
@@ -156,7 +154,7 @@ def stream_rerun_same_checkpoint(spark, sf_dir):
         drain_feed(
             to_messages(event_stream(spark, sf_dir)), schema, f"{root}/out", f"{root}/checkpoint"
         )
-    return read_json(spark, f"{root}/out", schema, multi_line=False)
+    return exact_time(read_json(spark, f"{root}/out", schema, multi_line=False))
 
 
 @query(EVENTS_SQL)
@@ -172,13 +170,14 @@ def stream_raw_sink(spark, sf_dir):
         parse=False,
     )
     stored = read_json(spark, f"{root}/out", "value STRING", multi_line=False)
-    return parse_messages(raw_messages(stored), schema)
+    return exact_time(parse_messages(raw_messages(stored), schema))
 
 
 @query(
-    """SELECT CASE WHEN event_type <> 'error'
-      THEN regexp_extract(props, '"k": ([0-9]+)', 1) END AS k,
-    CASE WHEN event_type = 'error' THEN substr(props, 1, length(props) - 1) END AS malformed_text,
+    """SELECT CASE WHEN event_type <> 'error' THEN event_id END AS event_id,
+    CASE WHEN event_type <> 'error' THEN regexp_extract(props, '"k": ([0-9]+)', 1) END AS k,
+    CASE WHEN event_type = 'error'
+      THEN '{"event_id": ' || event_id || ', ' || substr(props, 2, length(props) - 2) END AS malformed_text,
     CAST(event_type = 'error' AS INTEGER) AS malformed FROM events"""
 )
 def stream_quarantine(spark, sf_dir):
@@ -188,19 +187,21 @@ def stream_quarantine(spark, sf_dir):
         spark.readStream.schema(table(spark, sf_dir, "events").schema)
         .parquet(f"{sf_dir}/event[s].parquet")
         .selectExpr(
-            "CASE WHEN event_type = 'error' THEN substr(props, 1, length(props) - 1)"
-            " ELSE props END AS value"
+            """concat('{"event_id": ', event_id, ', ', CASE WHEN event_type = 'error'
+              THEN substr(props, 2, length(props) - 2) ELSE substr(props, 2) END) AS value"""
         )
     )
-    schema = spark.createDataFrame([], "k INT").schema
+    schema = spark.createDataFrame([], "event_id BIGINT, k INT").schema
     drain_feed(stream, schema, f"{root}/out", f"{root}/checkpoint", quarantine=True)
     stored = read_json(
         spark,
         f"{root}/out",
-        "k INT, malformed_text STRING, malformed BOOLEAN",
+        "event_id BIGINT, k INT, malformed_text STRING, malformed BOOLEAN",
         multi_line=False,
     )
-    return stored.select(F.col("k").cast("string"), "malformed_text", F.col("malformed").cast("int"))
+    identified = F.when(~F.col("malformed"), F.col("event_id")).alias("event_id")
+    intact = F.when(~F.col("malformed"), F.col("k").cast("string")).alias("k")
+    return stored.select(identified, intact, "malformed_text", F.col("malformed").cast("int"))
 
 
 @query(TEXT_CUSTOMERS_SQL)

@@ -239,11 +239,6 @@ def customer_avg_orders_per_day(spark, sf_dir):
     return activity_iso(activity(typed(spark, sf_dir)))
 
 
-@query(ACTIVITY_SQL)
-def customer_avg_orders_per_day_colocated(spark, sf_dir):
-    return activity_iso(activity(typed(spark, sf_dir), colocate=True))
-
-
 @query(ACTIVITY_SQL)
 def layers_customer_activity(spark, sf_dir):
     """The curated table of the layered job, read back."""
