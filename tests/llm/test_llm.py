@@ -248,7 +248,7 @@ def test_streaming_decoder_waits_for_whole_characters():
 
 
 def test_token_digests(docs, none, vocabulary):
-    from tillwork.llm.bpe import token_digests
+    from tillwork.llm.bpe import decode_documents, encode_documents, token_digests
 
     library, _ = reference_encoding()
     want = []
@@ -256,6 +256,10 @@ def test_token_digests(docs, none, vocabulary):
         ids = library.encode_ordinary(t or "")
         want.append((i, len(ids), sha(np.array(ids, "<u4").tobytes()), sha(t or ""), len(t or "")))
     assert counted(token_digests(docs, vocabulary).collect()) == counted(want)
+    coded = decode_documents(encode_documents(docs, vocabulary), vocabulary)
+    assert coded.columns == [*docs.columns, "token_ids", "decoded", "decoded_chars"]
+    got = coded.select("doc_id", F.sha2("token_ids", 256), F.sha2("decoded", 256), "decoded_chars")
+    assert counted(got.collect()) == counted((i, *rest) for i, _, *rest in want)
     assert token_digests(none, vocabulary).count() == 0
 
 

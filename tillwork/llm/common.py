@@ -15,6 +15,13 @@ from tillwork.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
+GIVE_BACK = {
+    "MALLOC_ARENA_MAX": "2",
+    "MALLOC_TRIM_THRESHOLD_": str(1 << 20),
+    "MALLOC_MMAP_THRESHOLD_": str(1 << 20),
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+}
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -61,8 +68,10 @@ def bounded_batches(spark: SparkSession) -> None:
     if root not in paths:
         known = [path for path in paths if path]
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *known])
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    # Workers stay for later stages: what they free must go back to the machine.
+    spark.sparkContext.environment.update(GIVE_BACK)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def map_batches(
