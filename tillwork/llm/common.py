@@ -50,7 +50,9 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def landed(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read back: cuts lineage, and tells the planner
-    how large the table really is, so that it broadcasts only what is small."""
+    how large the table really is, so that it broadcasts only what is small. A landed side also lets
+    adaptive execution split a hot key of the other side of a join, which it does not do where an
+    aggregate feeds the join directly."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)

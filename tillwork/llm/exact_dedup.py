@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.llm.common import read_table
+from tillwork.llm.common import landed, read_table
 from tillwork.llm.registry import query
 
 RUNS = 64
@@ -63,7 +63,8 @@ def copy_groups(
 ) -> DataFrame:
     """Every document, dropped ones too, with the identifier that stays and its group's size."""
     members = _members(docs, doc_id, text)
-    together = members.join(merge_runs(members, keep), list(KEY))
+    # Landed, so that a hot text is split over tasks on the members' side of the join.
+    together = members.join(landed(merge_runs(members, keep), "merged-runs"), list(KEY))
     copy = F.explode(F.sequence(F.lit(1), F.col("_rows").cast("int")))
     return together.withColumn("_copy", copy).select(
         F.col("_id").alias(doc_id),

@@ -270,7 +270,7 @@ def similar_links(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame
     )
     banded = nodes.select("_node", F.explode("_bands").alias("_key"))
     shared = banded.groupBy("_key").agg(F.count("*").alias("_n")).where("_n > 1")
-    buckets = landed(banded.join(shared, "_key"), "buckets")
+    buckets = landed(banded.join(landed(shared, "shared-keys"), "_key"), "buckets")
     company = buckets.groupBy("_node").agg(F.sum("_n").alias("_company"))
     wanted = company.join(nodes, "_node").select("_node", "_id", "_bands", "_sketch", "_company")
     found = _keyed(docs).alias("d").join(
@@ -282,6 +282,7 @@ def similar_links(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame
 
     rows = buckets.join(texts.select("_node", "_company"), "_node")
     centres = rows.groupBy("_key").agg(F.max(F.struct("_company", "_node"))["_node"].alias("_centre"))
+    centres = landed(centres, "centres")
     pairs = (
         buckets.join(centres, "_key")
         .where("_node != _centre")
@@ -325,7 +326,7 @@ def near_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     rows = members.join(label, "_node", "left").withColumn("label", F.coalesce("label", "_node"))
     first = F.min(F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("id"), F.col("_node").alias("node")))
     heads = rows.groupBy("label").agg(first.alias("head"), F.count("*").alias("class_size"))
-    return rows.join(heads, "label").select(
+    return rows.join(landed(heads, "heads"), "label").select(
         F.col("_id").alias("doc_id"),
         F.col("_node").alias("node"),
         F.col("head.id").alias("class_id"),

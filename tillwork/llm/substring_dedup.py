@@ -42,9 +42,10 @@ def repeated_spans(rows: DataFrame, winnowing: Winnowing = WINNOWING) -> DataFra
     owned = rows.where("_id IS NOT NULL")
     anchors = anchor_rows(owned, winnowing, _units)
     shared = anchors.groupBy("gram").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi"))
-    seeds = landed(anchors.join(shared.where("lo < hi").select("gram"), "gram"), "seeds")
+    shared = landed(shared.where("lo < hi").select("gram"), "shared-seeds")
+    seeds = landed(anchors.join(shared, "gram"), "seeds")
 
-    frames = seeds.groupBy("gram", "frame").agg(F.min("_id").alias("first"))
+    frames = landed(seeds.groupBy("gram", "frame").agg(F.min("_id").alias("first")), "frames")
     several = frames.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
     known = seeds.join(frames, ["gram", "frame"])
     whole = known.where("_id > first").select(
@@ -59,7 +60,7 @@ def repeated_spans(rows: DataFrame, winnowing: Winnowing = WINNOWING) -> DataFra
     )
     found = owned.alias("d").join(places.alias("p"), same_row("d", "p")).select("d.*", "p._at")
     runs = landed(map_batches(found, _extended(winnowing), f"{ROW}, start long, h1 long, h2 long"), "runs")
-    first = runs.groupBy("h1", "h2").agg(F.min("_id").alias("first"))
+    first = landed(runs.groupBy("h1", "h2").agg(F.min("_id").alias("first")), "first-runs")
     extended = runs.join(first, ["h1", "h2"]).where("_id > first").select(
         "_id", "_row", "start", (F.col("start") + winnowing.least).alias("end")
     )

@@ -252,10 +252,11 @@ def repeated_spans(rows: DataFrame, winnowing: Winnowing = WINNOWING, crowd: int
     """Spans of bytes (_id, _row, start, end) that also start elsewhere."""
     anchors = anchor_rows(rows, winnowing, _units)
     shared = anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
-    seeds = landed(anchors.join(shared, "gram"), "suffix-seeds")
+    seeds = landed(anchors.join(landed(shared, "suffix-shared"), "gram"), "suffix-seeds")
 
     place = F.struct("_id", "_row", "at")
     frames = seeds.groupBy("gram", "frame").agg(F.count("*").alias("n"), F.min(place).alias("one"))
+    frames = landed(frames, "suffix-frames-counted")
     whole = seeds.join(frames.where("n > 1").select("gram", "frame"), ["gram", "frame"]).select(
         "_id", "_row", (F.col("at") - winnowing.reach).alias("start"), (F.col("at") + winnowing.least).alias("end")
     )

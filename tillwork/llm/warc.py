@@ -147,7 +147,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataF
     rows = rows.withColumn("sha", F.unhex(F.sha1("payload")))
     first = F.min(F.struct(F.col("page_id").isNull().alias("n"), F.col("page_id").alias("id")))
     heads = rows.groupBy("sha").agg(first.alias("first")).select("sha", F.col("first.id").alias("head"))
-    together = rows.join(heads, "sha").withColumn(
+    together = rows.join(landed(heads, "warc-heads"), "sha").withColumn(
         "revisit",
         (F.octet_length("payload") >= least_bytes) & ~F.col("page_id").eqNullSafe(F.col("head")),
     )
