@@ -25,7 +25,7 @@ from tillwork.operators.enrich import with_full_name  # noqa: E402
 from tillwork.operators.protect import MASKED_NAMES  # noqa: E402
 from tillwork.plans.feed import drain_feed  # noqa: E402
 from tillwork.plans.layers import customers_cleansed, land_sales, sales_cleansed  # noqa: E402
-from tillwork.session import apply_runtime_conf, scratch_path  # noqa: E402
+from tillwork.session import apply_runtime_conf, remove_scratch, scratch_path  # noqa: E402
 from tillwork.sources.files import read_json, write_json  # noqa: E402
 from tillwork.streaming.messages import to_messages  # noqa: E402
 from workload.entities import customers, sales  # noqa: E402
@@ -140,6 +140,7 @@ def main() -> None:
     count = events(spark, sf_dir).count()
     seconds = best(feed)
     report("feed to JSON files", rows=count, seconds=seconds, rows_per_second=round(count / seconds))
+    remove_scratch(spark)
     spark.stop()
 
 

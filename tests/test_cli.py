@@ -4,6 +4,7 @@ import json
 
 import pytest
 
+from tillwork import schemas
 from tillwork.__main__ import main
 from tillwork.sources.files import read_json
 
@@ -32,7 +33,16 @@ SALE = {
     "OrderLineItem": 1,
     "OrderQuantity": 2,
 }
-PRODUCT = {"ProductKey": 1, "ProductName": "cap", "ProductCost": 4.0, "ProductPrice": 10.0}
+PRODUCT = {
+    "ProductKey": 1,
+    "ProductName": "cap",
+    "ProductDescription": "a cap",
+    "ProductColor": None,
+    "ProductSize": "Small",
+    "ProductCost": 4.0,
+    "ProductPrice": 10.0,
+}
+VIEWS = "customers_curated customers_enriched products products_curated products_enriched".split()
 
 
 @pytest.fixture
@@ -62,6 +72,34 @@ def test_report(spark, inputs, capfd):
     assert "Orders placed: 1.00" in capfd.readouterr().out
 
 
+def test_enrich_and_export(spark, inputs):
+    out, export = str(inputs / "out"), str(inputs / "export")
+    main(
+        ["enrich", *arguments(inputs, "customers", "products"), "--json-documents", "--infer-schema"]
+        + ["--out", out, "--as-of", "2020-01-01", "--export-json", export]
+    )
+    read = {name: spark.read.parquet(f"{out}/{name}").collect() for name in VIEWS}
+    assert {len(rows) for rows in read.values()} == {2}
+    assert (read["customers_curated"][0].AnnualIncome, read["customers_curated"][0].FullName) == (90000, "Ann Lee")
+    assert read["customers_enriched"][0].Age == 7305 / 365
+    assert read["products_curated"][0].DiscountedPrice == 9.0
+    assert read["products_enriched"][0].ProductProfit == 6.0
+    exported = read_json(spark, export, schemas.PRODUCTS, multi_line=False).collect()
+    assert [(row.ProductKey, row.ProductPrice, row.ProductSize) for row in exported] == [(1, 10.0, "Small")] * 2
+
+
+def test_salt_comes_from_a_file(spark, inputs):
+    (inputs / "salt").write_text("s\n")
+    files = [*arguments(inputs, "customers", "sales"), "--json-documents"]
+    main(["layers", *files, "--out", str(inputs / "plain")])
+    main(["layers", *files, "--out", str(inputs / "salted"), "--salt-file", str(inputs / "salt")])
+    plain, salted = (
+        spark.read.parquet(f"{inputs}/{name}/cleansed/customers").collect()[0].FullName
+        for name in ("plain", "salted")
+    )
+    assert plain != salted
+
+
 @pytest.mark.parametrize("raw", [False, True])
 def test_publish_and_feed(spark, tmp_path, raw):
     (tmp_path / "c.csv").write_text("id,name\n1,Ann\n2,\n")

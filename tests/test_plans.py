@@ -11,10 +11,11 @@ from tillwork import schemas
 from tillwork.operators import metrics
 from tillwork.operators.activity import customer_avg_orders_per_day
 from tillwork.operators.cleanse import dedup, drop_nulls
-from tillwork.operators.ordering import sorted_by, top_k
+from tillwork.operators.ordering import sorted_by, top_k, top_k_distinct
 from tillwork.plans import enrichment
 from tillwork.plans.layers import build_layers, customers_cleansed, customers_raw, sales_cleansed
 from tillwork.plans.report import scalar_metrics, text_lines, write_report
+from tillwork.sources.files import write_table
 
 CUSTOMER = (1, "Mr", "Ann", "Lee", "1/1/2000", "M", "F", "a@x", "$90,000 ", 2, "BSc", "Cook", "Y")
 CUSTOMERS = [
@@ -164,6 +165,46 @@ def test_top_k_moves_k_rows_per_task(products):
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
 
 
+def test_bound_of_the_top_products_reaches_the_scan(spark, products, tmp_path):
+    path = str(tmp_path / "p")
+    products.write.parquet(path)
+    top = top_k_distinct(spark.read.parquet(path), "ProductPrice", 2, ["ProductKey"])
+    assert [row.ProductKey for row in top.collect()] == [2, 3]
+    assert "GreaterThanOrEqual(ProductPrice" in plan_of(top)
+
+
+def test_report_reads_raw_products_once(spark, sales, products, customers, tmp_path):
+    """Only the table in name order reads the given products; the other parts read that table."""
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(len(batch))
+            yield batch
+
+    watched = products.mapInPandas(counted, products.schema)
+    write_report(sales_cleansed(sales), watched, customers, str(tmp_path / "r"), as_of="2020-01-01")
+    assert reads.value == len(PRODUCTS)
+
+
+def test_landing_computes_its_rows_once(spark, sales, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(len(batch))
+            yield batch
+
+    watched = sales_cleansed(sales).mapInPandas(counted, sales_cleansed(sales).schema)
+    back = write_table(watched, str(tmp_path / "s"), partition_by=["CustomerKey"], sort_by=["OrderDate"])
+    assert back.count() == reads.value == 4
+
+
+def test_children_that_are_ints_are_not_cast(customers):
+    plan = plan_of(enrichment.customers_curated(customers))
+    assert not re.search(r"cast\(TotalChildren", plan)
+
+
 def test_metrics_read_only_their_columns(spark, sales, tmp_path):
     path = str(tmp_path / "s")
     sales_cleansed(sales).write.parquet(path)

@@ -1,12 +1,13 @@
 """Files in and out."""
 
 import json
+import os
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from tillwork import schemas
+from tillwork import schemas, session
 from tillwork.session import scratch_path
 from tillwork.streaming.messages import parse_messages, to_messages
 from tillwork.sources.files import read_csv, read_json, write_json, write_table
@@ -160,6 +161,21 @@ def test_no_machine_local_folder_on_a_cluster():
     assert scratch_path(ClusterSession("local[2]", {}), "x")
 
 
+def test_scratch_is_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "_handed_out", [])
+    monkeypatch.setattr(session, "_local_root", [])
+    path, other = scratch_path(spark, "x"), scratch_path(spark, "y")
+    spark.range(3).write.parquet(path)
+    spark.range(3).write.parquet(other)
+    session.remove_scratch(spark, other)
+    assert os.path.isdir(path) and not os.path.exists(other)
+    folder = session._local_root[0] if session._local_root else path
+    assert os.path.isdir(folder)
+    session.remove_scratch(spark)
+    assert not os.path.exists(folder)
+    session.remove_scratch(spark)
+
+
 def test_reordered_headers_fail(spark, tmp_path):
     for name, text in (("a", "id,name\n1,Ann\n"), ("b", "name,id\nLee,3\n")):
         (tmp_path / f"{name}.csv").write_text(text)

@@ -2,6 +2,7 @@
 
     python -m tillwork layers  --customers C --sales S --json-lines --out ROOT
     python -m tillwork report  --customers C --products P --sales S --json-documents --out ROOT
+    python -m tillwork enrich  --customers C --products P --json-lines --out ROOT --export-json J
     python -m tillwork publish --csv C.csv --servers HOST:PORT --topic T
     python -m tillwork feed    --columns id,name --servers HOST:PORT --topic T --out O --checkpoint K
 
@@ -12,10 +13,12 @@ The session comes from the launcher's settings. With ``--topic-dir`` in place of
 from __future__ import annotations
 
 import argparse
+from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tillwork import schemas
+from tillwork.plans.enrichment import write_views
 from tillwork.plans.feed import start_feed
 from tillwork.plans.layers import build_layers, land_sales
 from tillwork.plans.report import text_lines, write_report
@@ -35,17 +38,22 @@ def parser() -> argparse.ArgumentParser:
 
     layers = jobs.add_parser("layers", help="write the cleansed and curated tables")
     report = jobs.add_parser("report", help="land the sales and write every part of the report")
-    for job in (layers, report):
+    enrich = jobs.add_parser("enrich", help="write the curated and enriched views")
+    for job in (layers, report, enrich):
         job.add_argument("--customers", required=True)
-        job.add_argument("--sales", required=True)
         job.add_argument("--out", required=True)
         layout = job.add_mutually_exclusive_group(required=True)
         layout.add_argument("--json-lines", action="store_true", help="one object per line")
         layout.add_argument("--json-documents", action="store_true", help="one document per file")
+        job.add_argument("--infer-schema", action="store_true", help="types from a pass over the data")
         job.add_argument("--mode", default="errorifexists", choices=["errorifexists", "overwrite"])
-    layers.add_argument("--salt")
-    report.add_argument("--products", required=True)
-    report.add_argument("--as-of", help="ISO date the ages refer to, by default today")
+    for job in (layers, report):
+        job.add_argument("--sales", required=True)
+    for job in (report, enrich):
+        job.add_argument("--products", required=True)
+        job.add_argument("--as-of", help="ISO date the ages refer to, by default today")
+    layers.add_argument("--salt-file", help="file whose text, without line ends, salts the hashes")
+    enrich.add_argument("--export-json", help="folder for the products as JSON Lines")
 
     publish = jobs.add_parser("publish", help="send each CSV row as a JSON message")
     publish.add_argument("--csv", required=True)
@@ -67,19 +75,24 @@ def parser() -> argparse.ArgumentParser:
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     apply_runtime_conf(spark)
-    if args.job in ("layers", "report"):
-        documents = args.json_documents
-        customers = read_json(spark, args.customers, schemas.CUSTOMERS, multi_line=documents)
-        sales = read_json(spark, args.sales, schemas.SALES, multi_line=documents)
+
+    def entity(name: str) -> DataFrame:
+        schema = None if args.infer_schema else getattr(schemas, name.upper())
+        return read_json(spark, getattr(args, name), schema, multi_line=args.json_documents)
+
     if args.job == "layers":
-        build_layers(customers, sales, args.out, args.mode, args.salt)
+        salt = Path(args.salt_file).read_text().rstrip("\r\n") if args.salt_file else None
+        build_layers(entity("customers"), entity("sales"), args.out, args.mode, salt)
     elif args.job == "report":
-        products = read_json(spark, args.products, schemas.PRODUCTS, multi_line=documents)
-        landed = land_sales(sales, f"{args.out}/sales", args.mode)
+        landed = land_sales(entity("sales"), f"{args.out}/sales", args.mode)
         parts = write_report(
-            landed, products, customers, f"{args.out}/parts", args.mode, args.as_of
+            landed, entity("products"), entity("customers"), f"{args.out}/parts", args.mode, args.as_of
         )
         text_lines(parts["metrics"]).show(truncate=False)
+    elif args.job == "enrich":
+        write_views(
+            entity("customers"), entity("products"), args.out, args.mode, args.as_of, args.export_json
+        )
     elif args.job == "publish":
         rows = read_csv(spark, args.csv)
         if args.topic_dir:

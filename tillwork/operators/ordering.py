@@ -22,7 +22,8 @@ def sorted_by(df: DataFrame, *columns: str, tie_breakers: Sequence[str] = ()) ->
 def top_k(df: DataFrame, column: str, k: int = 1, tie_breakers: Sequence[str] = ()) -> DataFrame:
     """The k rows with the highest value, NULLs last; ties go to the lowest tie-breaker.
 
-    Each task keeps its own k best rows, so only k rows per task are moved.
+    Each task keeps its own k best rows, so only k rows per task are moved. One task merges them: keep
+    k times the number of tasks within what it can hold, or sort and write instead.
     """
     return df.orderBy(F.col(column).desc(), *tie_breakers).limit(k)
 
@@ -33,11 +34,15 @@ def top_k_distinct(
     """The top k of the distinct full rows, exactly ``top_k(dedup(df), ...)``.
 
     None of those rows lies below the k-th highest distinct value, which one column suffices to find.
-    So only rows from there upwards are deduplicated, not the whole table; with fewer than k distinct
-    values all rows are.
+    So only rows from there upwards are deduplicated, not the whole table; the comparison stands alone
+    in its filter, so that it reaches the scan. With fewer than k distinct values the bound is the
+    lowest, and rows without a value are candidates too.
     """
     known = df.select(column).filter(F.col(column).isNotNull()).distinct()
-    lowest = F.when(F.count("*") == k, F.min(column)).alias("lowest")
-    bound = top_k(known, column, k).agg(lowest).scalar()
-    candidates = df.filter(bound.isNull() | (F.col(column) >= bound))
+    highest = top_k(known, column, k)
+    bound = highest.agg(F.min(column)).scalar()
+    too_few = highest.agg(F.count("*") < k).scalar()
+    candidates = df.filter(F.col(column) >= bound).unionAll(
+        df.filter(F.col(column).isNull() & too_few)
+    )
     return top_k(dedup(candidates), column, k, tie_breakers)

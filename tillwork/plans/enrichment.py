@@ -17,6 +17,7 @@ from tillwork.operators.enrich import (
     with_strict_full_name,
 )
 from tillwork.operators.protect import mask_columns
+from tillwork.sources.files import write_json, write_table
 
 # The columns a full name is made of, and what stands for a missing value.
 NAME_PARTS = ("Prefix", "FirstName", "LastName")
@@ -68,3 +69,28 @@ def customers_masked(
     named = with_age(with_full_name(customers), as_of)
     masked = mask_columns(named, drop_originals=drop_originals)
     return masked.drop(*NAME_PARTS) if drop_originals else masked
+
+
+def write_views(
+    customers: DataFrame,
+    products: DataFrame,
+    root: str,
+    mode: str = "errorifexists",
+    as_of: AsOf = None,
+    products_json: str | None = None,
+) -> dict[str, DataFrame]:
+    """Write the curated and enriched views as tables below ``root`` and return them by name.
+
+    The products are landed first and read once; ``products_json`` also exports them as JSON Lines.
+    """
+    landed = write_table(products, f"{root}/products", mode)
+    if products_json is not None:
+        write_json(landed, products_json, mode)
+    views = {
+        "customers_curated": customers_curated(customers),
+        "customers_enriched": customers_enriched(customers, as_of),
+        "products_curated": products_curated(landed),
+        "products_enriched": products_enriched(landed),
+    }
+    written = {name: write_table(view, f"{root}/{name}", mode) for name, view in views.items()}
+    return written | {"products": landed}

@@ -5,6 +5,7 @@ The package never builds a session; callers pass theirs.
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
 
@@ -20,8 +21,16 @@ RUNTIME_CONF = {
 }
 
 
+#: Paths handed out and not removed yet, and the folder of a local session that names none.
+_handed_out: list[str] = []
+_local_root: list[str] = []
+
+
 def apply_runtime_conf(spark: SparkSession) -> SparkSession:
-    """Set the runtime SQL settings the jobs expect on a session the caller owns."""
+    """Set the runtime SQL settings the jobs expect on a session the caller owns.
+
+    They stay set: what the session runs later has the same time zone and adaptive settings.
+    """
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark
@@ -31,11 +40,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for intermediate tables and stream checkpoints.
 
     It lies in the shared folder the cluster names in ``spark.checkpoint.dir``. Only a local session
-    without that setting falls back to a machine-local folder.
+    without that setting falls back to a machine-local folder, one for the whole process.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="tillwork-")
-    return f"{root.rstrip('/')}/tillwork/{name}-{uuid.uuid4().hex}"
+        if not _local_root:
+            _local_root.append(tempfile.mkdtemp(prefix="tillwork-"))
+        root = _local_root[0]
+    path = f"{root.rstrip('/')}/tillwork/{name}-{uuid.uuid4().hex}"
+    _handed_out.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession, *paths: str) -> None:
+    """Remove paths this process got from ``scratch_path``, by default all of them, and nothing else.
+
+    Call it when no DataFrame that reads these tables is needed any more.
+    """
+    conf = spark._jsc.hadoopConfiguration()
+    for name in paths or tuple(_handed_out):
+        _handed_out.remove(name)
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+    if not paths and _local_root:
+        shutil.rmtree(_local_root.pop(), ignore_errors=True)

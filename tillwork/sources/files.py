@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tillwork.schemas import all_strings
+from tillwork.session import remove_scratch, scratch_path
 
 Paths = str | list[str]
 
@@ -75,17 +76,28 @@ def write_table(
     the files are smaller, filters on those columns skip files and pages, and groups lie together, so
     later aggregations shrink before their shuffle. The ranges are cut over all columns: however many
     rows share a folder or a sort value, they are spread over as many tasks as their size asks for.
+    Finding the ranges needs a sample, a whole pass over the rows; they are staged in the scratch
+    folder first, so that they are computed once.
 
     With neither, rows are written where they are, and files of a sorted DataFrame follow its order.
 
     The table is read back with the types written, so nothing is guessed from folder names.
     """
     schema = df.schema
+    spark = df.sparkSession
+    staged = None
     if sort_by:
+        staged = scratch_path(spark, "staged")
+        df.write.parquet(staged)
         lead = [*partition_by, *sort_by]
         ranges = lead + [name for name in df.columns if name not in lead]
+        df = spark.read.schema(schema).parquet(staged)
         df = df.repartitionByRange(*ranges).sortWithinPartitions(*lead)
     elif partition_by:
         df = df.hint("rebalance", *[F.col(name) for name in partition_by])
-    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(schema).parquet(path)
+    try:
+        df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    finally:
+        if staged is not None:
+            remove_scratch(spark, staged)
+    return spark.read.schema(schema).parquet(path)

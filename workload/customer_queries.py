@@ -12,6 +12,7 @@ from tillwork.operators.cleanse import dedup, drop_nulls, fill_nulls, type_ints
 from tillwork.operators.ordering import top_k
 from tillwork.operators.protect import hash_columns, mask_columns
 from tillwork.plans import enrichment, layers, report
+from tillwork.schemas import CUSTOMERS
 from workload.entities import (
     CUSTOMERS_SQL,
     PRODUCTS_SQL,
@@ -24,18 +25,17 @@ from workload.registry import iso, query
 
 AS_OF = "2024-01-01"
 
-COMPLETE = " AND ".join(
-    f"{name} IS NOT NULL"
-    for name in (
-        "CustomerKey Prefix FirstName LastName BirthDate MaritalStatus Gender EmailAddress "
-        "AnnualIncome TotalChildren EducationLevel Occupation HomeOwner PhoneNumber Address"
-    ).split()
-)
+COMPLETE = " AND ".join(f"{name} IS NOT NULL" for name in CUSTOMERS.fieldNames())
 BIRTH_SQL = "CAST(strptime(BirthDate, '%-m/%-d/%Y') AS DATE)"
 AGE_SQL = f"date_diff('day', {BIRTH_SQL}, DATE '{AS_OF}') / 365"
-INCOME_SQL = "CAST(regexp_replace(AnnualIncome, '[$, ]', '', 'g') AS INTEGER)"
+# Whole amounts only: digits with a sign, within the range of the type.
+DIGITS_SQL = (
+    "nullif(regexp_extract(regexp_replace(AnnualIncome, '[$, ]', '', 'g'), '^[+-]?[0-9]+$'), '')"
+)
+INCOME_SQL = f"TRY_CAST({DIGITS_SQL} AS INTEGER)"
+AMOUNT_SQL = f"TRY_CAST({DIGITS_SQL} AS BIGINT)"
 BAND_SQL = (
-    f"CASE WHEN {INCOME_SQL} < 50000 THEN 'Low' WHEN {INCOME_SQL} < 100000 THEN 'Medium' "
+    f"CASE WHEN {AMOUNT_SQL} < 50000 THEN 'Low' WHEN {AMOUNT_SQL} < 100000 THEN 'Medium' "
     "ELSE 'High' END"
 )
 NAME_SQL = "concat_ws(' ', Prefix, FirstName, LastName)"
@@ -168,6 +168,14 @@ def age_years(spark, sf_dir):
     )
 
 
+@query("SELECT o_orderkey, date_diff('day', o_orderdate::DATE, current_date) / 365 AS Age FROM orders")
+def age_today(spark, sf_dir):
+    """Ages that refer to the current date of each engine."""
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", age(F.to_date("o_orderdate")).alias("Age")
+    )
+
+
 @query(f"WITH {CUSTOMERS_SQL} SELECT CustomerKey, {INCOME_SQL} AS AnnualIncome FROM customers")
 def income_to_int(spark, sf_dir):
     return type_ints(customers(spark, sf_dir), "AnnualIncome").select("CustomerKey", "AnnualIncome")

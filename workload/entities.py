@@ -25,7 +25,9 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN c_nationkey < 12 THEN 'F' ELSE 'M' END AS Gender",
         "CASE WHEN c_mktsegment <> 'BUILDING'"
         " THEN concat(lower(replace(c_name, '#', '.')), '@example.com') END AS EmailAddress",
-        "concat('$', format_number(cast(floor(c_acctbal) AS BIGINT) * 12, 0), ' ') AS AnnualIncome",
+        "CASE c_custkey % 25 WHEN 1 THEN '$3,000,000,000' WHEN 2 THEN '-$3,000,000,000'"
+        " WHEN 3 THEN '90d' WHEN 4 THEN '1e5' ELSE"
+        " concat('$', format_number(cast(floor(c_acctbal) AS BIGINT) * 12, 0), ' ') END AS AnnualIncome",
         "c_nationkey % 6 AS TotalChildren",
         "CASE WHEN c_acctbal < 2500 THEN 'High School' ELSE 'Bachelors' END AS EducationLevel",
         "c_mktsegment AS Occupation",
@@ -45,7 +47,9 @@ CUSTOMERS_SQL = """customers AS (
     CASE WHEN c_nationkey < 12 THEN 'F' ELSE 'M' END AS Gender,
     CASE WHEN c_mktsegment <> 'BUILDING'
       THEN lower(replace(c_name, '#', '.')) || '@example.com' END AS EmailAddress,
-    '$' || format('{:,}', CAST(floor(c_acctbal) AS BIGINT) * 12) || ' ' AS AnnualIncome,
+    CASE c_custkey % 25 WHEN 1 THEN '$3,000,000,000' WHEN 2 THEN '-$3,000,000,000'
+      WHEN 3 THEN '90d' WHEN 4 THEN '1e5' ELSE
+      '$' || format('{:,}', CAST(floor(c_acctbal) AS BIGINT) * 12) || ' ' END AS AnnualIncome,
     c_nationkey % 6 AS TotalChildren,
     CASE WHEN c_acctbal < 2500 THEN 'High School' ELSE 'Bachelors' END AS EducationLevel,
     c_mktsegment AS Occupation,

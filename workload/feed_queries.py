@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import functions as F
 
+from tillwork import schemas
 from tillwork.plans.feed import drain_feed
 from tillwork.schemas import all_strings
 from tillwork.session import scratch_path
@@ -92,6 +93,17 @@ def json_scan_schema(spark, sf_dir):
     return read_json(spark, path, PRODUCTS_DDL, multi_line=True)
 
 
+@query(
+    f"""WITH {PRODUCTS_SQL} SELECT * REPLACE (CAST(ProductKey AS INTEGER) AS ProductKey,
+    CAST(ProductSubcategoryKey AS INTEGER) AS ProductSubcategoryKey) FROM products"""
+)
+def json_scan_declared(spark, sf_dir):
+    """The declared schema of products over JSON Lines."""
+    path = scratch_path(spark, "products-lines")
+    write_json(products(spark, sf_dir), path)
+    return read_json(spark, path, schemas.PRODUCTS, multi_line=False)
+
+
 @query(
     f"""WITH {PRODUCTS_SQL} SELECT * REPLACE
     (CAST(ProductSubcategoryKey AS BIGINT) AS ProductSubcategoryKey) FROM products"""

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.operators import metrics
@@ -12,7 +15,9 @@ from tillwork.plans.layers import build_layers, land_sales, sales_cleansed
 from tillwork.plans.report import scalar_metrics, write_report
 from tillwork.plans.report import text_lines as as_lines
 from tillwork.session import scratch_path
+from workload.customer_queries import AGE_SQL, AS_OF, NAME_SQL
 from workload.entities import (
+    CUSTOMERS_SQL,
     PRODUCTS_SQL,
     SALES_SQL,
     customers,
@@ -21,7 +26,7 @@ from workload.entities import (
     table,
     with_copies,
 )
-from workload.registry import iso, query
+from workload.registry import ORACLES, iso, query
 
 SALES_COLUMNS = (
     "strftime(OrderDate, '%Y-%m-%d') AS OrderDate, StockDate, OrderNumber, ProductKey, "
@@ -41,6 +46,11 @@ UNION ALL SELECT 'avg_units_per_day', avg(units) FROM per_day
 UNION ALL SELECT 'avg_units_per_calendar_month', avg(units) FROM per_month
 UNION ALL SELECT 'highest_product_price', max(p_retailprice) FROM part)"""
 
+PRODUCT_ITEM = (
+    "concat_ws('|', ProductKey, ProductSubcategoryKey, ProductName, ProductDescription, "
+    "ProductColor, ProductSize)"
+)
+
 
 def typed(spark, sf_dir):
     return sales_cleansed(sales(spark, sf_dir))
@@ -175,6 +185,16 @@ def sales_summary(spark, sf_dir):
     return metrics.sales_summary(typed(spark, sf_dir))
 
 
+SUMMARY_SQL = ORACLES["sales_summary"]
+
+
+@query(SUMMARY_SQL)
+def sales_summary_landed(spark, sf_dir):
+    """The same metrics over the landed sales, as the report computes them."""
+    landed = land_sales(sales(spark, sf_dir), scratch_path(spark, "summary-sales"))
+    return metrics.sales_summary(landed)
+
+
 @query(f"{METRICS_SQL} SELECT metric, value FROM metrics")
 def sales_metrics_report(spark, sf_dir):
     return scalar_metrics(typed(spark, sf_dir), products(spark, sf_dir))
@@ -192,35 +212,48 @@ def sales_report_lines(spark, sf_dir):
     return as_lines(scalar_metrics(typed(spark, sf_dir), products(spark, sf_dir)))
 
 
-@query(
-    f"""{METRICS_SQL}, {PRODUCTS_SQL}
-    SELECT 'metrics' AS part, (SELECT count(*) FROM metrics) AS num_rows
-    UNION ALL SELECT 'units_by_year_month',
-      (SELECT count(*) FROM (SELECT DISTINCT year(OrderDate), month(OrderDate) FROM sales))
-    UNION ALL SELECT 'lines_by_date', (SELECT count(DISTINCT OrderDate) FROM sales)
-    UNION ALL SELECT 'highest_priced_product', CAST(1 AS BIGINT)
-    UNION ALL SELECT 'products_by_name', (SELECT count(*) FROM (SELECT DISTINCT * FROM products))
-    UNION ALL SELECT 'customers_masked', (SELECT count(*) FROM customer)"""
-)
+# Every part of the report in the same three columns: what a row is about, and its number.
+REPORT_SQL = f"""{METRICS_SQL}, {PRODUCTS_SQL}, {CUSTOMERS_SQL}
+SELECT 'metrics' AS part, metric AS item, value FROM metrics
+UNION ALL SELECT 'units_by_year_month', concat_ws('|', year(OrderDate), month(OrderDate)),
+  CAST(sum(OrderQuantity) AS DOUBLE) FROM sales GROUP BY year(OrderDate), month(OrderDate)
+UNION ALL SELECT 'lines_by_date', strftime(OrderDate, '%Y-%m-%d'), CAST(count(*) AS DOUBLE)
+  FROM sales GROUP BY OrderDate
+UNION ALL SELECT * FROM (SELECT 'highest_priced_product', {PRODUCT_ITEM}, ProductPrice
+  FROM products ORDER BY ProductPrice DESC, ProductKey LIMIT 1)
+UNION ALL SELECT 'products_by_name', {PRODUCT_ITEM}, ProductPrice
+  FROM (SELECT DISTINCT * FROM products)
+UNION ALL SELECT 'customers_masked', concat_ws('|', CustomerKey, repeat('*', length({NAME_SQL})),
+  repeat('*', length(EmailAddress)), repeat('*', length(Address)), repeat('*', length(PhoneNumber))),
+  {AGE_SQL} FROM customers"""
+
+
+@query(REPORT_SQL)
 def sales_report_tables(spark, sf_dir):
-    """The whole report as landed tables, with the sales landed once before; row count per table."""
+    """The whole report as landed tables, with the sales landed once before; all rows of all parts."""
     root = scratch_path(spark, "report")
     landed = land_sales(sales(spark, sf_dir), f"{root}/sales")
     parts = write_report(
-        landed,
-        products(spark, sf_dir),
-        customers(spark, sf_dir),
-        f"{root}/parts",
-        as_of="2024-01-01",
+        landed, products(spark, sf_dir), customers(spark, sf_dir), f"{root}/parts", as_of=AS_OF
     )
-    counts = [
-        part.agg(F.lit(name).alias("part"), F.count("*").alias("num_rows"))
-        for name, part in parts.items()
+    masked = ["masked_name", "masked_email", "masked_address", "masked_phone"]
+    shown = {
+        "metrics": ("metric", "value"),
+        "units_by_year_month": (F.concat_ws("|", "Year", "Month"), "units"),
+        "lines_by_date": (F.date_format("OrderDate", "yyyy-MM-dd"), "num_lines"),
+        "highest_priced_product": (F.expr(PRODUCT_ITEM), "ProductPrice"),
+        "products_by_name": (F.expr(PRODUCT_ITEM), "ProductPrice"),
+        "customers_masked": (F.concat_ws("|", "CustomerKey", *masked), "Age"),
+    }
+    rows = [
+        parts[name].select(
+            F.lit(name).alias("part"),
+            (F.col(item) if isinstance(item, str) else item).alias("item"),
+            F.col(value).cast("double").alias("value"),
+        )
+        for name, (item, value) in shown.items()
     ]
-    total = counts[0]
-    for count in counts[1:]:
-        total = total.unionAll(count)
-    return total
+    return reduce(DataFrame.unionAll, rows)
 
 
 ACTIVITY_SQL = f"""WITH {SALES_SQL}, per_day AS (
