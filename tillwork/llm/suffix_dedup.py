@@ -3,8 +3,9 @@
 Only places that winnowed anchors point to can hold a long repeat. Anchors that occur once are dropped;
 where the whole frame around an anchor occurs again, all of it is repeated; for each of the remaining
 different frames of an anchor, one occurrence is cut out. Frames that share an anchor meet in one task,
-which joins them to stretches of text, sorts all their suffixes (prefix doubling), and scans the common
-prefixes of neighbours with a stack: that walks the tree of common-prefix intervals. An interval whose
+which joins them to stretches of text, leaves out what lies in no run of LEAST bytes that occurs twice by
+hash, sorts all suffixes of the rest (prefix doubling), and scans the common prefixes of neighbours with
+a stack: that walks the tree of common-prefix intervals. An interval whose
 suffixes are preceded by different bytes cannot be extended to the left: it is a maximal repeat, with
 all its occurrences.
 
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tillwork.llm.anchors import ROW, Winnowing, anchor_rows, covered, keyed, same_row, with_spans
 from tillwork.llm.common import landed, map_batches, read_table, record_batch
-from tillwork.llm.hashing import mix, run_hashes
+from tillwork.llm.hashing import Runs, mix, run_hashes
 from tillwork.llm.registry import query
 
 LEAST = 200
@@ -55,7 +56,10 @@ def suffix_array(symbols: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarra
     """
     n = len(symbols)
     ranks, step = [], 1
-    if n >= 4 and (dense := np.unique(symbols, return_inverse=True)[1]).max() < 1 << 16:
+    dense = symbols
+    if n and (symbols.min() < 0 or symbols.max() >= (1 << 16) - 1):
+        dense = np.unique(symbols, return_inverse=True)[1]
+    if n >= 4 and dense.max() < (1 << 16) - 1:
         # Four symbols at once.
         wide = np.concatenate([dense.astype(np.uint64) + np.uint64(1), np.zeros(3, np.uint64)])
         key = wide[:n]
@@ -122,13 +126,13 @@ def maximal_repeats(
     for first, stop in zip(edges[::2], edges[1::2]):
         # Suffixes first - 1 .. stop - 1 share at least so much with their neighbours.
         open_: list[list[int]] = []  # [length, leftmost suffix] of the intervals around the scan
-        for i in range(first, stop + 1):
-            length = int(shared[i]) if i < stop else 0
+        kinds = changes[first - 1 : stop].tolist()
+        for i, length in enumerate([*shared[first:stop].tolist(), 0], first):
             left = i - 1
             while open_ and open_[-1][0] > length:
                 whole, left = open_.pop()
                 # Left-diverse: the symbols before the occurrences are not all the same.
-                if changes[i - 1] > changes[left]:
+                if kinds[i - first] > kinds[left - first + 1]:
                     yield whole, order[left:i]
             if length and (not open_ or open_[-1][0] < length):
                 open_.append([length, left])
@@ -165,15 +169,43 @@ def stretches(frames: list[tuple]) -> tuple[np.ndarray, np.ndarray, list, np.nda
     return flat, before, owners, np.concatenate(numbers), np.concatenate(places)
 
 
+def met_twice(
+    symbols: np.ndarray, before: np.ndarray, least: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The symbols that lie in a run of ``least`` whose hash occurs twice, with a new symbol after each
+    piece; the symbols before them; and where they come from.
+
+    Every run of ``least`` symbols in a repeat occurs twice, so repeats stay whole, and what follows
+    two occurrences differs or is cut off. Runs of equal hash that differ only leave more to sort.
+    """
+    n = len(symbols)
+    starts = np.arange(max(0, n - least + 1))
+    hashes = Runs(mix(symbols.astype(np.uint64) + np.uint64(1))).hashes(starts, starts + least)
+    by_hash = np.argsort(hashes)
+    equal = np.diff(hashes[by_hash]) == 0
+    twice = np.zeros(len(starts), np.int64)
+    twice[by_hash[1:][equal]] = 1
+    twice[by_hash[:-1][equal]] = 1
+    depth = np.zeros(n + 1, np.int64)
+    depth[: len(starts)] += twice
+    depth[least : least + len(starts)] -= twice
+    at = np.flatnonzero(np.cumsum(depth)[:n])
+    stops = np.append(np.flatnonzero(np.diff(at) > 1) + 1, len(at)) if len(at) else at
+    fresh = symbols.max() + 1 + np.arange(len(stops))
+    return np.insert(symbols[at], stops, fresh), np.insert(before[at], stops, 0), np.insert(at, stops, 0)
+
+
 def _suffix_sorted(least: int):
     schema = pa.schema([(name, pa.int64()) for name in ("_id", "_row", "start", "end", "h1", "h2")])
 
     def repeats(frames: list[tuple], split: bool) -> Iterator[pa.RecordBatch]:
         symbols, before, owners, number, place = stretches(frames)
         n = len(symbols)
-        order, shared = suffix_array(symbols, least)
         reach = np.zeros(n, np.int64)
-        for length, places in maximal_repeats(order, shared, before, least):
+        again, ahead, origin = met_twice(symbols, before, least)
+        order, shared = suffix_array(again, least) if len(again) else (again, again)
+        for length, places in maximal_repeats(order, shared, ahead, least):
+            places = origin[places]
             reach[places] = np.maximum(reach[places], length)
 
         def rows(at, start, end, h1, h2) -> pa.RecordBatch:
