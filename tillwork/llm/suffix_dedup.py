@@ -282,7 +282,7 @@ def _cut_out(winnowing: Winnowing):
 
 def repeated_spans(rows: DataFrame, winnowing: Winnowing = WINNOWING, crowd: int = CROWD) -> DataFrame:
     """Spans of bytes (_id, _row, start, end) that also start elsewhere."""
-    anchors = anchor_rows(rows, winnowing, _units)
+    anchors = landed(anchor_rows(rows, winnowing, _units), "suffix-anchors")
     shared = anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
     seeds = landed(anchors.join(landed(shared, "suffix-shared"), "gram"), "suffix-seeds")
 
