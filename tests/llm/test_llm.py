@@ -158,6 +158,15 @@ def test_license_wording(docs, none):
     assert scan_licenses(none).count() == 0
 
 
+def test_license_lead_ins():
+    from tillwork.llm.license_scan import TEMPLATES, identify
+
+    for name, wording in TEMPLATES:
+        if wording.startswith("Licensed under"):
+            for lead in ("This work is l", "This program is l", "The text is hereby l", "L"):
+                assert identify(lead + wording[1:])[0] == name
+
+
 # 4
 
 
