@@ -167,6 +167,21 @@ def test_license_lead_ins():
                 assert identify(lead + wording[1:])[0] == name
 
 
+def test_license_wrapped():
+    from tillwork.llm.license_scan import TEMPLATES, scan
+
+    for name, wording in TEMPLATES:
+        for end in ("\n", "\r\n", "\n# ", "\n * "):
+            for width in (1, 3, 7, 40):
+                split = wording.split()
+                lines = [" ".join(split[i : i + width]) for i in range(0, len(split), width)]
+                (found,) = scan(f"Some words.\n{end.join(lines)}\nAnd others.")
+                assert (found["license"], found["differences"]) == (name, [])
+                assert found["block"] == end.join(lines).strip()
+    # Every block has a cue, and ends of sentences are words that differ.
+    assert [f["license"] for f in scan("All rights. Reserved seats.\nNo license.\nNone.")] == [None]
+
+
 # 4
 
 
