@@ -182,6 +182,21 @@ def test_license_wrapped():
     assert [f["license"] for f in scan("All rights. Reserved seats.\nNo license.\nNone.")] == [None]
 
 
+def test_license_in_long_lines():
+    from tillwork.llm.license_scan import TEMPLATES, scan
+
+    rng = random.Random(3)
+    for name, wording in TEMPLATES:
+        (alone,) = scan(wording.upper())
+        assert alone["license"] == name
+        for n in (10, 100, 3000):
+            around = [f"{rng.choice('abcdef')}{rng.randrange(999)}x" for _ in range(n)]
+            line = " ".join(around[: n // 2]) + f" {wording.rstrip('.')} " + " ".join(around[n // 2 :])
+            (found,) = scan(line)
+            assert (found["license"], found["reduction"]) == (name, alone["reduction"])
+            assert found["differences"] == [f"+{w}" for w in around]
+
+
 # 4
 
 
