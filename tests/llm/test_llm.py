@@ -197,6 +197,66 @@ def test_license_in_long_lines():
             assert found["differences"] == [f"+{w}" for w in around]
 
 
+def test_license_several_in_a_block():
+    from tillwork.llm import license_scan
+    from tillwork.llm.license_scan import TEMPLATES, scan
+
+    dual = "Licensed under the MIT License or licensed under the Apache License, Version 2.0, at your option."
+    assert [f["license"] for f in scan(dual)] == ["MIT", "Apache-2.0"]
+    assert [f[0] for f in license_scan.identified(dual)] == ["MIT", "Apache-2.0"]
+    assert [f["differences"] for f in scan(dual)] == [["+or"], ["+at", "+your", "+option"]]
+    every = ", ".join(wording.rstrip(".") for _, wording in TEMPLATES)
+    assert [f["license"] for f in scan(every)] == [name for name, _ in TEMPLATES]
+    # One winner for one stretch, though the wordings of its relatives are near.
+    lesser = "This work is licensed under the GNU Lesser General Public License, version 3"
+    assert [f["license"] for f in scan(f"{lesser}; {lesser}")] == ["LGPL-3.0"] * 2
+    many = scan("All rights reserved, " * 20_000)
+    assert len(many) == 20_000 and sum(len(f["block"]) for f in many) < 420_000
+
+
+def test_license_pattern_lets_wrapped_notices_through(spark):
+    from tillwork.llm.license_scan import TEMPLATES, scan_licenses
+
+    rows = [(name, "\n * ".join(wording.split()).upper()) for name, wording in TEMPLATES]
+    for row in scan_licenses(spark.createDataFrame(rows, "name string, text string")).collect():
+        assert [f.license for f in row.licenses] == [row.name]
+
+
+def test_license_notices_match_brute_force():
+    from tillwork.llm.license_scan import LEAST_ALIKE, TEMPLATES, notices, words
+
+    def price(a, b):
+        rows = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, j in itertools.product(range(len(a) + 1), range(len(b) + 1)):
+            ways = [rows[i - 1][j] + (100 if a[i - 1][0].isdigit() else 1)] if i else []
+            ways += [rows[i][j - 1] + (100 if b[j - 1][0].isdigit() else 1)] if j else []
+            ways += [rows[i - 1][j - 1]] if i and j and a[i - 1] == b[j - 1] else []
+            rows[i][j] = min(ways, default=0)
+        return rows[-1][-1]
+
+    rng = random.Random(8)
+    wordings = [words(w) for _, w in TEMPLATES]
+    other = ["x", "the", "license", "under", "2", "4.0", "."]
+    for turn in range(60):
+        tokens = list(wordings[turn % len(wordings)])
+        for _ in range(rng.randrange(5)):
+            place = rng.randrange(len(tokens) + 1)
+            tokens[place : place + rng.randrange(2)] = rng.choices(other, k=rng.randrange(2))
+        tokens = rng.choices(other, k=3) + tokens + rng.choices(other, k=3)
+        best = min(
+            (
+                (price(w, tokens[s:e]), -i)
+                for i, w in enumerate(wordings)
+                for s, e in itertools.combinations(range(len(tokens) + 1), 2)
+                if abs(e - s - len(w)) <= (1 - LEAST_ALIKE) * len(w)
+                and price(w, tokens[s:e]) <= (1 - LEAST_ALIKE) * len(w)
+            ),
+            default=None,
+        )
+        found = notices(tokens)
+        assert (min(found)[0] if found else None) == (best[0] if best else None)
+
+
 # 4
 
 
