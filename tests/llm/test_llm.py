@@ -465,6 +465,41 @@ def test_water_filling_by_rounds(spark):
         assert got == pytest.approx(want, abs=1e-6)
 
 
+def test_many_sources_are_ranked_in_ranges(spark):
+    from tillwork.llm import mixing
+
+    rng = random.Random(4)
+    sizes = {f"={i:05}": rng.choice([0, 5, 50, 900, 20000]) for i in range(3000)} | {"": 77}
+    table_ = spark.createDataFrame([*sizes.items()], "_src string, _source_size long")
+    targets = mixing.source_targets(table_)
+    # No window is over all sources: only ranges are ranked as a whole.
+    plan = targets._jdf.queryExecution().analyzed().toString()
+    windows = plan.split("windowspecdefinition(")[1:]
+    assert windows and all(w.startswith("_part#") for w in windows)
+    merged = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranged = mixing.in_ranges(table_, "test-ranges", "_src").groupBy("_part").count().collect()
+        apart = {r._src: r._target for r in mixing.source_targets(table_).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", merged)
+    assert len(ranged) > 1 and max(r["count"] for r in ranged) < 3001
+
+    names = sorted(sizes, key=lambda s: (s == "", s))
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(names)}
+    order = sorted(names, key=lambda s: (2 * sizes[s] / weight[s], s == "", s))
+    budget, spent, open_, want = 1.5 * sum(sizes.values()), 0, sum(weight.values()), {}
+    for s in order:
+        full = 2 * sizes[s] * open_ <= (budget - spent) * weight[s]
+        want[s] = float(2 * sizes[s]) if full else None
+        spent, open_ = spent + 2 * sizes[s], open_ - weight[s]
+    free = budget - sum(t for t in want.values() if t is not None)
+    opened = sum(weight[s] for s, t in want.items() if t is None)
+    want = {s: free * weight[s] / opened if t is None else t for s, t in want.items()}
+    assert 0 < opened < sum(weight.values())
+    assert {r._src: r._target for r in targets.collect()} == apart == want
+
+
 def test_mix_meets_its_targets(docs, none):
     from tillwork.llm.mixing import mix_documents, mixed
 

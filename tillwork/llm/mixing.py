@@ -8,7 +8,9 @@ them: documents in a seeded order, as long as that brings the source nearer to i
 
 The order is cut in BUCKETS per source. Sums by bucket come first, so a source with a third of all
 rows is spread over its buckets, and only rows of one bucket are ever ordered together. The table of
-sources is the one thing that is ranked as a whole; it has one row per source.
+sources is ranked in ranges: a row's sums are those of the ranges before its own, and of the rows before
+it in there. So there may be as many sources as documents; what one task orders as a whole is one row
+per range.
 
 Defined cases: a null text has size 0, a null source is a source of its own (last in order), a null
 identifier is ordered like an empty one. A document of size 0 is repeated as its place in the order
@@ -21,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwork.llm.common import read_table, words_of
+from tillwork.llm.common import landed, read_table, words_of
 from tillwork.llm.registry import query
 
 #: Of the first, second and third source by code point, and so on in turn.
@@ -32,38 +34,55 @@ SEED = 17
 BUCKETS = 16384
 
 
+def in_ranges(df: DataFrame, name: str, *order) -> DataFrame:
+    """``df`` landed in ranges of an order, with the range of each row as ``_part``."""
+    return landed(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), name)
+
+
+def with_sums_before(df: DataFrame, name: str, order, **values) -> DataFrame:
+    """``df`` with sums of values over all rows earlier in an order, which must have no ties."""
+    parts = in_ranges(df, name, *order)
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    whole = parts.groupBy("_part").agg(*(F.sum(value).alias(k) for k, value in values.items()))
+    whole = whole.select("_part", *(F.coalesce(F.sum(k).over(earlier), F.lit(0)).alias(f"{k}_") for k in values))
+    within = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    sums = {
+        k: F.col(f"{k}_") + F.coalesce(F.sum(value).over(within), F.lit(0)) for k, value in values.items()
+    }
+    return parts.join(whole, "_part").withColumns(sums).drop("_part", *(f"{k}_" for k in values))
+
+
 def source_targets(sources: DataFrame, weights=WEIGHTS, share=SHARE, max_epochs=MAX_EPOCHS):
     """``sources`` (_src, _source_size) with the target of each."""
-    ranked = Window.orderBy(F.col("_src") == "", "_src")
-    turn = (F.row_number().over(ranked) - 1) % len(weights)
-    weighted = sources.select(
+    named = sources.withColumn("_unnamed", F.col("_src") == "")
+    turn = F.col("_rank") % len(weights)
+    ranked = with_sums_before(named, "mix-ranked", ("_unnamed", "_src"), _rank=F.lit(1))
+    weighted = ranked.select(
         "*",
         F.get(F.array(*map(F.lit, weights)), turn).alias("_weight"),
         (F.col("_source_size") * max_epochs).alias("_cap"),
-    )
+    ).withColumn("_level", F.col("_cap") / F.col("_weight"))
     # Sources in the order in which a rising level reaches their caps.
-    order = Window.orderBy(F.col("_cap") / F.col("_weight"), F.col("_src") == "", "_src")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    onwards = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    whole = Window.partitionBy()
-    budget = F.sum("_source_size").over(whole) * F.lit(float(share))
-    stepped = weighted.select(
-        "*",
-        (budget - F.coalesce(F.sum("_cap").over(before), F.lit(0))).alias("_rest"),
-        F.sum("_weight").over(onwards).alias("_weights"),
-        budget.alias("_budget"),
+    order = ("_level", "_unnamed", "_src")
+    levelled = with_sums_before(
+        weighted, "mix-levelled", order, _spent=F.col("_cap"), _passed=F.col("_weight")
+    )
+    totals = levelled.agg(
+        (F.sum("_source_size") * F.lit(float(share))).alias("_budget"), F.sum("_weight").alias("_all")
+    )
+    stepped = levelled.crossJoin(totals).withColumns(
+        {"_rest": F.col("_budget") - F.col("_spent"), "_weights": F.col("_all") - F.col("_passed")}
     ).withColumn(
         "_clamped", F.col("_cap") * F.col("_weights") <= F.col("_rest") * F.col("_weight")
     )
-    free = (
-        F.col("_budget")
-        - F.coalesce(F.sum(F.when(F.col("_clamped"), F.col("_cap"))).over(whole), F.lit(0))
+    poured = stepped.agg(
+        F.coalesce(F.sum(F.when(F.col("_clamped"), F.col("_cap"))), F.lit(0)).alias("_full"),
+        F.sum(F.when(~F.col("_clamped"), F.col("_weight"))).alias("_open"),
     )
-    open_weights = F.sum(F.when(~F.col("_clamped"), F.col("_weight"))).over(whole)
     target = F.when(F.col("_clamped"), F.col("_cap").cast("double")).otherwise(
-        free * F.col("_weight") / open_weights
+        (F.col("_budget") - F.col("_full")) * F.col("_weight") / F.col("_open")
     )
-    return stepped.select("_src", "_source_size", target.alias("_target"))
+    return stepped.crossJoin(poured).select("_src", "_source_size", target.alias("_target"))
 
 
 def mix_documents(
@@ -85,6 +104,7 @@ def mix_documents(
         )
     )
     buckets = rows.groupBy("_src", "_bucket").agg(F.sum("_size").alias("_bucket_size"))
+    buckets = landed(buckets, "mix-buckets")
     sources = buckets.groupBy("_src").agg(F.sum("_bucket_size").alias("_source_size"))
     targets = source_targets(sources, weights, share, max_epochs)
     whole = F.when(
