@@ -11,6 +11,7 @@ from tillwork.llm import (  # noqa: F401
     near_dedup,
     quality_model,
     quality_rules,
+    secret_scan,
     substring_dedup,
     suffix_dedup,
     warc,
