@@ -9,6 +9,7 @@ from tillwork.llm import (  # noqa: F401
     license_scan,
     mixing,
     near_dedup,
+    phrase_mining,
     quality_model,
     quality_rules,
     secret_scan,
