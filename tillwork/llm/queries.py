@@ -6,6 +6,7 @@ import corpus_pipeline  # noqa: F401
 from tillwork.llm import (  # noqa: F401
     bpe,
     exact_dedup,
+    lexical_search,
     license_scan,
     mixing,
     near_dedup,
