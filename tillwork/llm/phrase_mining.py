@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwork.llm.common import landed, map_batches, read_table
+from tillwork.llm.common import landed, map_batches, read_table, record_batch
 from tillwork.llm.hashing import mix, word_hashes
 from tillwork.llm.registry import query
 
@@ -56,9 +56,9 @@ INDEX = pa.schema(
     [("shard", pa.int64()), ("lang", pa.string()), ("words", pa.list_(pa.string()))]
     + [(side, pa.binary()) for side in ("forward", "backward")]
 )
+PLACES = pa.schema([("hash", pa.int64()), ("shard", pa.int64()), ("place", pa.int64())])
 GRAMS = pa.schema(
-    [("shard", pa.int64()), ("lo", pa.int32()), ("hash", pa.int64()), ("lang", pa.string())]
-    + [("phrase", pa.string()), ("words", pa.int32())]
+    [("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32())]
     + [(count, pa.int64()) for count in ("f", "lefts", "rights")]
 )
 
@@ -97,14 +97,21 @@ class _Gathered:
 
 
 def _sorted_suffixes(text: np.ndarray, depth: int) -> np.ndarray:
-    """Starts of the suffixes, sorted by their first ``depth`` symbols or more."""
+    """Starts of the suffixes, sorted by their first ``depth`` symbols or more: in one go where these
+    fit into 63 bits, else by doubling."""
     rank, reach = text.astype(np.int64), 1
+    bits = max(int(rank.max(initial=0)).bit_length(), 1)
+    if bits * depth <= 63:
+        padded = np.concatenate([rank, np.zeros(depth, np.int64)])
+        for k in range(1, depth):
+            rank = rank << bits | padded[k : k + len(text)]
+        return np.argsort(rank)
     while True:
         after = np.concatenate([rank[reach:], np.zeros(min(reach, len(rank)), np.int64)])[: len(rank)]
         rank = rank * (int(rank.max(initial=0)) + 1) + after
         reach *= 2
         if reach >= depth:
-            return np.argsort(rank, kind="stable")
+            return np.argsort(rank)
         rank = np.unique(rank, return_inverse=True)[1].astype(np.int64)
 
 
@@ -120,10 +127,9 @@ class _Side:
         raw = zstandard.ZstdDecompressor().decompress(packed)
         self.bwt = np.frombuffer(raw, np.int32).astype(np.int64)
         self.n = len(self.bwt)
-        #: Row of a suffix to the row of the suffix one word shorter.
-        self.next = np.argsort(self.bwt, kind="stable")
-        self.first = self.bwt[self.next]
-        self._places = self.first * self.n + self.next
+        self._places = np.sort(self.bwt * self.n + np.arange(self.n))
+        #: First symbol of a suffix, and the row of the suffix one word shorter.
+        self.first, self.next = self._places // self.n, self._places % self.n
         self._inside = np.concatenate([[0], np.cumsum(self.bwt > 0)])
 
     def extended(self, symbol: np.ndarray, lo: np.ndarray) -> np.ndarray:
@@ -194,39 +200,26 @@ class ShardIndex:
             phrase = self.words.take(pa.array(numbers[:, 0]))
             for k in range(1, words):
                 phrase = pc.binary_join_element_wise(phrase, self.words.take(pa.array(numbers[:, k])), " ")
-            yield _grams(
-                len(numbers),
-                lang=pa.array([self.lang] * len(numbers)),
-                phrase=phrase,
-                words=np.full(len(numbers), words, np.int32),
-                f=f[part],
-                lefts=self.forward.followed(lo[part], f[part]),
-                rights=self.backward.followed(rlo[part], f[part]),
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.repeat(self.lang, len(numbers)),
+                    phrase,
+                    pa.repeat(pa.scalar(words, pa.int32()), len(numbers)),
+                    pa.array(f[part]),
+                    pa.array(self.forward.followed(lo[part], f[part])),
+                    pa.array(self.backward.followed(rlo[part], f[part])),
+                ],
+                schema=GRAMS,
             )
 
     def placed(self, shard: int, lo, f, words: int) -> Iterator[pa.RecordBatch]:
-        """Phrases as hashes and places."""
+        """Phrases as hashes of 48 bits, and where their intervals begin with their counts in one
+        number: rows that compress well."""
         for begin in range(0, len(lo), ROWS):
             part = slice(begin, begin + ROWS)
-            hashes = self.hashes(self.spelled(lo[part], words)).view(np.int64)
-            yield _grams(
-                len(hashes),
-                shard=np.full(len(hashes), shard),
-                lo=lo[part].astype(np.int32),
-                hash=hashes,
-                words=np.full(len(hashes), words, np.int32),
-                f=f[part],
-            )
-
-
-def _grams(rows: int, **columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(rows, f.type)
-            for f in GRAMS
-        ],
-        schema=GRAMS,
-    )
+            hashes = self.hashes(self.spelled(lo[part], words)) >> np.uint64(16)
+            place = lo[part] << 32 | f[part]
+            yield record_batch(PLACES, hashes.astype(np.int64), np.full(len(place), shard), place)
 
 
 def shard_indexes(docs: DataFrame, max_words: int = 3, lang: str = "lang", text: str = "text") -> DataFrame:
@@ -279,54 +272,65 @@ def _opened(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
                 )
 
 
+def _from_places(words: int, names: bool, extends: bool):
+    """Work over indexes with places of phrases of ``words`` words: ``names`` tells names from places;
+    ``extends`` adds the phrases one word longer whose parts of ``words`` words are among them."""
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, shard, opened in _opened(batches):
+            places = np.sort(row["places"][0].values.to_numpy())
+            lo, f = places >> 32, places & 0xFFFFFFFF
+            spelled = opened.spelled(lo, words)
+            rlo = opened.backward_rows(spelled)
+            if names:
+                yield from opened.named(lo, rlo, f, words)
+            if extends:
+                known = np.sort(opened.hashes(spelled))
+                _, lo, rlo, f = opened.to_the_right(lo, rlo, f)
+                ends = opened.hashes(opened.spelled(lo, words + 1)[:, 1:])
+                both = known[np.minimum(np.searchsorted(known, ends), len(known) - 1)] == ends
+                lo, rlo, f = lo[both], rlo[both], f[both]
+                if names:
+                    yield from opened.named(lo, rlo, f, words + 1)
+                else:
+                    yield from opened.placed(shard, lo, f, words + 1)
+
+    return work
+
+
 def phrase_counts(docs: DataFrame, max_words: int = 3, least: int = 10) -> DataFrame:
     """lang, phrase, words, f, lefts, rights of every phrase of up to ``max_words`` words that occurs
     ``least`` times or more; of every word however rare. ``lefts`` and ``rights`` count the
     occurrences with a word before and after them in their piece."""
     index = landed(shard_indexes(docs, max_words), "fm-index")
 
-    def words_and_pairs(batches):
+    def single(batches):
+        for _, _, opened in _opened(batches):
+            yield from opened.named(*opened.single_words(), 1)
+
+    def pairs(batches):
         for _, shard, opened in _opened(batches):
-            lo, rlo, f = opened.single_words()
-            yield from opened.named(lo, rlo, f, 1)
-            if max_words > 1:
-                _, lo, rlo, f = opened.to_the_right(lo, rlo, f)
-                yield from opened.named(lo, rlo, f, 2) if max_words == 2 else opened.placed(shard, lo, f, 2)
+            _, lo, rlo, f = opened.to_the_right(*opened.single_words())
+            yield from opened.named(lo, rlo, f, 2) if max_words == 2 else opened.placed(shard, lo, f, 2)
 
-    grams = landed(map_batches(index, words_and_pairs, _ddl(GRAMS)), "grams")
-    named = [grams.where("phrase IS NOT NULL")]
+    named = [map_batches(index, single, _ddl(GRAMS))]
+    if max_words == 2:
+        named.append(map_batches(index, pairs, _ddl(GRAMS)))
+    placed = map_batches(index, pairs, _ddl(PLACES))
     for words in range(2, max_words):
-        placed = grams.where("hash IS NOT NULL").select("shard", "lo", "hash", "f")
-        frequent = placed.groupBy("hash").agg(F.sum("f").alias("_f")).where(F.col("_f") >= least)
+        # One exchange: a hash has at most one row in a shard, which sums and returns with its place.
+        total = F.sum(F.col("place").bitwiseAND(0xFFFFFFFF)).over(Window.partitionBy("hash"))
         kept = (
-            placed.join(landed(frequent.select("hash"), "frequent"), "hash", "left_semi")
+            placed.withColumn("_f", total)
+            .where(F.col("_f") >= least)
             .groupBy("shard")
-            .agg(F.collect_list("lo").alias("los"), F.collect_list("f").alias("fs"))
+            .agg(F.collect_list("place").alias("places"))
         )
-
-        def name_and_extend(batches, words=words):
-            for row, shard, opened in _opened(batches):
-                lo = row["los"][0].values.to_numpy().astype(np.int64)
-                f = row["fs"][0].values.to_numpy()
-                order = np.argsort(lo)
-                lo, f = lo[order], f[order]
-                spelled = opened.spelled(lo, words)
-                rlo = opened.backward_rows(spelled)
-                yield from opened.named(lo, rlo, f, words)
-                known = np.sort(opened.hashes(spelled))
-                _, lo, rlo, f = opened.to_the_right(lo, rlo, f)
-                ends = opened.hashes(opened.spelled(lo, words + 1)[:, 1:])
-                both = known[np.minimum(np.searchsorted(known, ends), len(known) - 1)] == ends
-                lo, rlo, f = lo[both], rlo[both], f[both]
-                if words + 1 == max_words:
-                    yield from opened.named(lo, rlo, f, words + 1)
-                else:
-                    yield from opened.placed(shard, lo, f, words + 1)
-
-        grams = map_batches(index.join(kept, "shard"), name_and_extend, _ddl(GRAMS))
-        if words + 1 < max_words:
-            grams = landed(grams, "grams")
-        named.append(grams.where("phrase IS NOT NULL"))
+        last = words + 1 == max_words
+        frequent = index.join(kept, "shard")
+        frequent = frequent if last else landed(frequent, "frequent")
+        named.append(map_batches(frequent, _from_places(words, True, last), _ddl(GRAMS)))
+        placed = map_batches(frequent, _from_places(words, False, True), _ddl(PLACES))
     out = named[0]
     for more in named[1:]:
         out = out.unionByName(more)
