@@ -44,6 +44,8 @@ HELD = 1 << 22
 #: Bytes of a text looked at together, and rows of a batch handed back.
 STRETCH = 1 << 20
 ROWS = 1 << 16
+#: Occurrences extended together.
+STEP = 1 << 18
 
 # The characters that end a piece.
 ENDS = re.compile(rb"[.,;:!?\n-\r]")
@@ -117,24 +119,29 @@ def _sorted_suffixes(text: np.ndarray, depth: int) -> np.ndarray:
 
 def _transform(text: np.ndarray, depth: int) -> bytes:
     before = text[_sorted_suffixes(text, depth) - 1]
-    return zstandard.ZstdCompressor(level=1).compress(before.astype(np.int32).tobytes())
+    # Low bytes together, high bytes together: most high ones are zero.
+    planes = before.astype("<i4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes))
 
 
 class _Side:
     """One transform with its rank structure: the places of every symbol, in order."""
 
     def __init__(self, packed: bytes):
-        raw = zstandard.ZstdDecompressor().decompress(packed)
-        self.bwt = np.frombuffer(raw, np.int32).astype(np.int64)
+        raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
+        self.bwt = np.ascontiguousarray(raw.reshape(4, -1).T).view("<i4").ravel()
         self.n = len(self.bwt)
-        self._places = np.sort(self.bwt * self.n + np.arange(self.n))
+        self._places = np.sort(self.bwt * np.int64(self.n) + np.arange(self.n))
         #: First symbol of a suffix, and the row of the suffix one word shorter.
-        self.first, self.next = self._places // self.n, self._places % self.n
-        self._inside = np.concatenate([[0], np.cumsum(self.bwt > 0)])
+        self.first = np.repeat(
+            np.arange(self.bwt.max(initial=0) + 1, dtype=np.int32), np.bincount(self.bwt)
+        )
+        self.next = (self._places - self.first * np.int64(self.n)).astype(np.int32)
+        self._inside = np.concatenate([[0], np.cumsum(self.bwt > 0, dtype=np.int32)], dtype=np.int32)
 
     def extended(self, symbol: np.ndarray, lo: np.ndarray) -> np.ndarray:
         """Where the interval begins once ``symbol`` stands before its phrases."""
-        return np.searchsorted(self._places, symbol * self.n + lo)
+        return np.searchsorted(self._places, symbol * np.int64(self.n) + lo)
 
     def followed(self, lo: np.ndarray, f: np.ndarray) -> np.ndarray:
         """How often the phrases have a word there."""
@@ -177,8 +184,16 @@ class ShardIndex:
                 h = mix(h * np.uint64(0x9E3779B97F4A7C15) + self._hashes[spelled[:, k]])
         return h
 
-    def to_the_right(self, lo, rlo, f) -> tuple[np.ndarray, ...]:
-        """Every extension by one word: which phrase, its intervals, its count."""
+    def to_the_right(self, lo, rlo, f) -> Iterator[tuple[np.ndarray, ...]]:
+        """Every extension by one word, some STEP occurrences at a time: its intervals, its count."""
+        ends = np.cumsum(f)
+        cuts = np.searchsorted(ends, np.arange(STEP, ends[-1] if len(f) else 0, STEP)) + 1
+        for part in np.split(np.arange(len(f)), np.unique(cuts)):
+            if len(part):
+                part = slice(part[0], part[-1] + 1)
+                yield self._extended(lo[part], rlo[part], f[part])
+
+    def _extended(self, lo, rlo, f) -> tuple[np.ndarray, ...]:
         owner = np.repeat(np.arange(len(f)), f)
         begin = np.cumsum(f) - f
         symbol = self.backward.bwt[np.arange(len(owner)) - begin[owner] + rlo[owner]]
@@ -190,7 +205,7 @@ class ShardIndex:
         new_lo = lo[owner] + before - before[np.searchsorted(owner, owner)]
         real = symbol > 0
         owner, symbol = owner[real], symbol[real]
-        return owner, new_lo[real], self.backward.extended(symbol, rlo[owner]), count[real]
+        return new_lo[real], self.backward.extended(symbol, rlo[owner]), count[real]
 
     def named(self, lo, rlo, f, words: int) -> Iterator[pa.RecordBatch]:
         """Phrases in full, with their counts and how often a word precedes and follows them."""
@@ -286,14 +301,14 @@ def _from_places(words: int, names: bool, extends: bool):
                 yield from opened.named(lo, rlo, f, words)
             if extends:
                 known = np.sort(opened.hashes(spelled))
-                _, lo, rlo, f = opened.to_the_right(lo, rlo, f)
-                ends = opened.hashes(opened.spelled(lo, words + 1)[:, 1:])
-                both = known[np.minimum(np.searchsorted(known, ends), len(known) - 1)] == ends
-                lo, rlo, f = lo[both], rlo[both], f[both]
-                if names:
-                    yield from opened.named(lo, rlo, f, words + 1)
-                else:
-                    yield from opened.placed(shard, lo, f, words + 1)
+                for lo, rlo, f in opened.to_the_right(lo, rlo, f):
+                    ends = opened.hashes(opened.spelled(lo, words + 1)[:, 1:])
+                    both = known[np.minimum(np.searchsorted(known, ends), len(known) - 1)] == ends
+                    longer = (lo[both], rlo[both], f[both])
+                    if names:
+                        yield from opened.named(*longer, words + 1)
+                    else:
+                        yield from opened.placed(shard, longer[0], longer[2], words + 1)
 
     return work
 
@@ -310,8 +325,8 @@ def phrase_counts(docs: DataFrame, max_words: int = 3, least: int = 10) -> DataF
 
     def pairs(batches):
         for _, shard, opened in _opened(batches):
-            _, lo, rlo, f = opened.to_the_right(*opened.single_words())
-            yield from opened.named(lo, rlo, f, 2) if max_words == 2 else opened.placed(shard, lo, f, 2)
+            for lo, rlo, f in opened.to_the_right(*opened.single_words()):
+                yield from opened.named(lo, rlo, f, 2) if max_words == 2 else opened.placed(shard, lo, f, 2)
 
     named = [map_batches(index, single, _ddl(GRAMS))]
     if max_words == 2:
