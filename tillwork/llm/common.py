@@ -59,6 +59,16 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def landed_by(df: DataFrame, key: str, name: str) -> DataFrame:
+    """``landed``, in buckets by ``key``: joins on it deal the other side to the buckets and leave this
+    one where it is. The session's catalog knows the table by its path's last part."""
+    path = scratch_path(df.sparkSession, name)
+    table = path.rsplit("/", 1)[-1].replace("-", "_")
+    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df.write.option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Bound the batches that Python gets, in bytes as well as rows: texts can be very long.
 

@@ -7,22 +7,25 @@ is the phrase's count in the shard, and what the transforms hold within the two
 and right extensions. Suffixes are sorted by as many words as the longest phrase has, which is all that
 intervals of such phrases depend on.
 
-Counts are summed across shards, level by level. A phrase of k + 1 words is looked for only where both
-its phrases of k words are frequent over all shards, so the many phrases met once are never spelled
-out: each travels as a hash and a place in its shard's index, and the few that may be frequent return
-to their shards to be named and extended. A hash may stand for several phrases; that only lets one more
-phrase through to the exact sums.
+Counts are summed across shards, level by level. A phrase of k + 1 words is looked for only where its
+first and its last k words are frequent over all shards, so the many phrases met once are never spelled
+out. A phrase that is frequent gets a number (the place in the first shard that has it), which returns
+to its shards with their places of it; one word longer, it is the pair of that number and the number of
+the word. Rows of numbers cross the network once a level, and one shard names a phrase for all. The
+indexes themselves stay where they are: they are bucketed by shard, and what returns is dealt to them.
 
 Exact: counts are 64-bit, scores are quotients of 38-digit decimals.
 
 Defined cases: a null text is empty, a null language is ``und``. Every row counts, repeated ones too;
 identifiers and other columns are not read. An empty table, and one without frequent phrases, give an
-empty result. Texts of any length are read in stretches that end at a piece's end.
+empty result. Texts of any length are read in stretches that end at a piece's end; a single piece may
+have some 33 million words.
 """
 
 from __future__ import annotations
 
 import collections
+import functools
 import re
 from collections.abc import Iterable, Iterator
 
@@ -34,8 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwork.llm.common import landed, map_batches, read_table, record_batch
-from tillwork.llm.hashing import mix, word_hashes
+from tillwork.llm.common import landed, landed_by, map_batches, read_table, record_batch
 from tillwork.llm.registry import query
 
 #: Words of a shard, and words a task holds of all languages together.
@@ -54,11 +56,17 @@ _TABLE = bytes(
     0xFF if ENDS.match(bytes([b])) else b + 32 if 65 <= b <= 90 else b for b in range(256)
 )
 
+#: Bits of a shard's number within its partition, and of a place within a shard.
+_SHARDS, _PLACES = 16, 25
+_LOW = 0xFFFFFFFF
+
 INDEX = pa.schema(
-    [("shard", pa.int64()), ("lang", pa.string()), ("words", pa.list_(pa.string()))]
-    + [(side, pa.binary()) for side in ("forward", "backward")]
+    [("shard", pa.int64()), ("lang", pa.string()), ("n_words", pa.int64())]
+    + [(part, pa.binary()) for part in ("words", "forward", "backward")]
 )
-PLACES = pa.schema([("hash", pa.int64()), ("shard", pa.int64()), ("place", pa.int64())])
+PLACED = [("shard", pa.int64()), ("place", pa.int64()), ("sides", pa.int64())]
+WORDS = pa.schema([("lang", pa.string()), ("word", pa.string()), *PLACED])
+LONGER = pa.schema([("begin", pa.int64()), ("word", pa.int64()), *PLACED])
 GRAMS = pa.schema(
     [("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32())]
     + [(count, pa.int64()) for count in ("f", "lefts", "rights")]
@@ -66,7 +74,7 @@ GRAMS = pa.schema(
 
 
 def _ddl(schema: pa.Schema) -> str:
-    names = {"list<item: string>": "array<string>", "int64": "long", "int32": "int"}
+    names = {"int64": "long", "int32": "int"}
     return ", ".join(f"{f.name} {names.get(str(f.type), str(f.type))}" for f in schema)
 
 
@@ -151,17 +159,29 @@ class _Side:
 class ShardIndex:
     """Both transforms of a shard, and the phrases their intervals stand for."""
 
-    def __init__(self, lang: str, words: pa.Array, forward: bytes, backward: bytes):
-        self.lang, self.words = lang, words
-        self.forward, self.backward = _Side(forward), _Side(backward)
-        hashes = word_hashes([b"", *words.cast(pa.binary()).to_pylist()])
-        self._hashes, self._seed = hashes, word_hashes([lang.encode()])[0]
+    def __init__(self, row: pa.RecordBatch):
+        self.shard, self.lang = row["shard"][0].as_py(), row["lang"][0].as_py()
+        self._row = row
+        words = zstandard.ZstdDecompressor().decompress(row["words"][0].as_py())
+        self.words = pa.array(words.split(b" "), pa.binary()).cast(pa.string())
+
+    @functools.cached_property
+    def forward(self) -> _Side:
+        return _Side(self._row["forward"][0].as_py())
+
+    @functools.cached_property
+    def backward(self) -> _Side:
+        return _Side(self._row["backward"][0].as_py())
 
-    def single_words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Intervals in both transforms, and counts, of every word."""
+    def single_words(self) -> tuple[np.ndarray, np.ndarray]:
+        """Intervals, alike in both transforms, of every word."""
         f = np.bincount(self.forward.bwt, minlength=len(self.words) + 1)
-        lo = np.cumsum(f) - f
-        return lo[1:], lo[1:], f[1:]
+        return (np.cumsum(f) - f)[1:], f[1:]
+
+    def kept(self, column: str) -> pa.StructArray:
+        """What the row brings of frequent phrases, by place."""
+        values = self._row[column][0].values
+        return values.take(pc.array_sort_indices(values.field("place")))
 
     def spelled(self, lo: np.ndarray, words: int) -> np.ndarray:
         """Word numbers of the phrases whose intervals begin at ``lo``."""
@@ -177,21 +197,16 @@ class ShardIndex:
             lo = self.backward.extended(spelled[:, k], lo)
         return lo
 
-    def hashes(self, spelled: np.ndarray) -> np.ndarray:
-        h = np.full(len(spelled), self._seed)
-        for k in range(spelled.shape[1]):
-            with np.errstate(over="ignore"):
-                h = mix(h * np.uint64(0x9E3779B97F4A7C15) + self._hashes[spelled[:, k]])
-        return h
-
     def to_the_right(self, lo, rlo, f) -> Iterator[tuple[np.ndarray, ...]]:
-        """Every extension by one word, some STEP occurrences at a time: its intervals, its count."""
+        """Every extension by one word, some STEP occurrences at a time: which phrase is extended, by
+        which word, the intervals and the count."""
         ends = np.cumsum(f)
         cuts = np.searchsorted(ends, np.arange(STEP, ends[-1] if len(f) else 0, STEP)) + 1
         for part in np.split(np.arange(len(f)), np.unique(cuts)):
             if len(part):
                 part = slice(part[0], part[-1] + 1)
-                yield self._extended(lo[part], rlo[part], f[part])
+                owner, *found = self._extended(lo[part], rlo[part], f[part])
+                yield owner + part.start, *found
 
     def _extended(self, lo, rlo, f) -> tuple[np.ndarray, ...]:
         owner = np.repeat(np.arange(len(f)), f)
@@ -205,40 +220,36 @@ class ShardIndex:
         new_lo = lo[owner] + before - before[np.searchsorted(owner, owner)]
         real = symbol > 0
         owner, symbol = owner[real], symbol[real]
-        return new_lo[real], self.backward.extended(symbol, rlo[owner]), count[real]
+        return owner, symbol, new_lo[real], self.backward.extended(symbol, rlo[owner]), count[real]
 
-    def named(self, lo, rlo, f, words: int) -> Iterator[pa.RecordBatch]:
-        """Phrases in full, with their counts and how often a word precedes and follows them."""
+    def sides(self, lo, rlo, f) -> np.ndarray:
+        """How often a word precedes phrases in their piece, and how often one follows them."""
+        return self.forward.followed(lo, f).astype(np.int64) << 32 | self.backward.followed(rlo, f)
+
+    def named(self, lo, words: int, *counts) -> Iterator[pa.RecordBatch]:
+        """Phrases in full, with counts of them and of their sides."""
         for begin in range(0, len(lo), ROWS):
             part = slice(begin, begin + ROWS)
             numbers = self.spelled(lo[part], words) - 1
             phrase = self.words.take(pa.array(numbers[:, 0]))
             for k in range(1, words):
                 phrase = pc.binary_join_element_wise(phrase, self.words.take(pa.array(numbers[:, k])), " ")
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.repeat(self.lang, len(numbers)),
-                    phrase,
-                    pa.repeat(pa.scalar(words, pa.int32()), len(numbers)),
-                    pa.array(f[part]),
-                    pa.array(self.forward.followed(lo[part], f[part])),
-                    pa.array(self.backward.followed(rlo[part], f[part])),
-                ],
-                schema=GRAMS,
-            )
-
-    def placed(self, shard: int, lo, f, words: int) -> Iterator[pa.RecordBatch]:
-        """Phrases as hashes of 48 bits, and where their intervals begin with their counts in one
-        number: rows that compress well."""
+            same = (pa.repeat(self.lang, len(numbers)), pa.repeat(pa.scalar(words, pa.int32()), len(numbers)))
+            columns = [same[0], phrase, same[1], *(pa.array(count[part], pa.int64()) for count in counts)]
+            yield pa.RecordBatch.from_arrays(columns, schema=GRAMS)
+
+    def placed(self, schema: pa.Schema, first, second, lo, rlo, f) -> Iterator[pa.RecordBatch]:
+        """Phrases by their two keys: the shard, the interval and the count in one number, the sides."""
         for begin in range(0, len(lo), ROWS):
             part = slice(begin, begin + ROWS)
-            hashes = self.hashes(self.spelled(lo[part], words)) >> np.uint64(16)
-            place = lo[part] << 32 | f[part]
-            yield record_batch(PLACES, hashes.astype(np.int64), np.full(len(place), shard), place)
+            rows = len(lo[part])
+            place, sides = lo[part] << 32 | f[part], self.sides(lo[part], rlo[part], f[part])
+            keys = [key[part] if len(key) > 1 else pa.repeat(key[0], rows) for key in (first, second)]
+            yield record_batch(schema, *keys, np.full(rows, self.shard), place, sides)
 
 
 def shard_indexes(docs: DataFrame, max_words: int = 3, lang: str = "lang", text: str = "text") -> DataFrame:
-    """The index of every shard: number, language, words, and both transforms (compressed)."""
+    """The index of every shard: number, language, and compressed, its words and both transforms."""
     rows = docs.select(
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"),
@@ -246,7 +257,7 @@ def shard_indexes(docs: DataFrame, max_words: int = 3, lang: str = "lang", text:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gathered, held = collections.defaultdict(_Gathered), 0
-        number = TaskContext.get().partitionId() << 32
+        number = TaskContext.get().partitionId() << _SHARDS
 
         def ended(name: str) -> pa.RecordBatch:
             nonlocal held, number
@@ -254,13 +265,12 @@ def shard_indexes(docs: DataFrame, max_words: int = 3, lang: str = "lang", text:
             held -= shard.size
             number += 1
             body = np.concatenate(shard.parts)
-            words = [word.decode() for word in shard.numbers if word != _END]
+            words = b" ".join(word for word in shard.numbers if word != _END)
             turned = np.concatenate([body[:-1][::-1], [0]])
-            sides = [[_transform(side, max_words)] for side in (body, turned)]
-            columns = [[number], [name], [words], *sides]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(columns, INDEX, strict=True)], schema=INDEX
-            )
+            packed = [zstandard.ZstdCompressor(level=1).compress(words)]
+            packed += [_transform(side, max_words) for side in (body, turned)]
+            n_words = int(np.count_nonzero(body))
+            return record_batch(INDEX, [number], [name], [n_words], *([part] for part in packed))
 
         for batch in batches:
             for name, body in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
@@ -276,83 +286,105 @@ def shard_indexes(docs: DataFrame, max_words: int = 3, lang: str = "lang", text:
     return map_batches(rows, work, _ddl(INDEX))
 
 
-def _opened(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, ShardIndex]]:
+def _opened(batches: Iterable[pa.RecordBatch]) -> Iterator[ShardIndex]:
     for batch in batches:
         for i in range(batch.num_rows):
-            words = batch["words"][i].values
-            if len(words):
-                sides = (batch[side][i].as_py() for side in ("forward", "backward"))
-                yield batch.slice(i, 1), batch["shard"][i].as_py(), ShardIndex(
-                    batch["lang"][i].as_py(), words, *sides
-                )
+            yield ShardIndex(batch.slice(i, 1))
+
+
+def _word_places(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for index in _opened(batches):
+        lo, f = index.single_words()
+        for begin in range(0, len(lo), ROWS):
+            part = slice(begin, begin + ROWS)
+            yield from index.placed(WORDS, [index.lang], index.words[part], lo[part], lo[part], f[part])
+
+
+def _names(column: str, words: int):
+    """The phrases this shard names for all, with their sums over all shards."""
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for index in _opened(batches):
+            kept = index.kept(column)
+            kept = kept.filter(pc.greater(kept.field("f"), 0))
+            lo = kept.field("place").to_numpy() >> 32
+            counts = (kept.field(count).to_numpy() for count in ("f", "lefts", "rights"))
+            yield from index.named(lo, words, *counts)
+
+    return work
 
 
-def _from_places(words: int, names: bool, extends: bool):
-    """Work over indexes with places of phrases of ``words`` words: ``names`` tells names from places;
-    ``extends`` adds the phrases one word longer whose parts of ``words`` words are among them."""
+def _longer(column: str, words: int, last: bool):
+    """Phrases one word longer than the kept ones, where the last words are kept as well: named with
+    this shard's counts (``last``), or by the numbers of the shorter phrase and of the word."""
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, shard, opened in _opened(batches):
-            places = np.sort(row["places"][0].values.to_numpy())
-            lo, f = places >> 32, places & 0xFFFFFFFF
-            spelled = opened.spelled(lo, words)
-            rlo = opened.backward_rows(spelled)
-            if names:
-                yield from opened.named(lo, rlo, f, words)
-            if extends:
-                known = np.sort(opened.hashes(spelled))
-                for lo, rlo, f in opened.to_the_right(lo, rlo, f):
-                    ends = opened.hashes(opened.spelled(lo, words + 1)[:, 1:])
-                    both = known[np.minimum(np.searchsorted(known, ends), len(known) - 1)] == ends
-                    longer = (lo[both], rlo[both], f[both])
-                    if names:
-                        yield from opened.named(*longer, words + 1)
-                    else:
-                        yield from opened.placed(shard, longer[0], longer[2], words + 1)
+        for index in _opened(batches):
+            kept = index.kept(column)
+            place = kept.field("place").to_numpy()
+            lo, f = place >> 32, place & _LOW
+            rlo = index.backward_rows(index.spelled(lo, words))
+            numbers = kept.field("id").to_numpy()
+            if not last:
+                single = index.kept("kept_1")
+                of_word = np.zeros(len(index.words) + 1, np.int64)
+                at = single.field("place").to_numpy() >> 32
+                of_word[index.forward.first[at]] = single.field("id").to_numpy()
+            for owner, word, new_lo, new_rlo, count in index.to_the_right(lo, rlo, f):
+                # The row one word shorter lies in the interval of the last words.
+                row = index.forward.next[new_lo]
+                of = np.searchsorted(lo, row, "right") - 1
+                both = (of >= 0) & (row < lo[of] + f[of])
+                owner, word, *found = (a[both] for a in (owner, word, new_lo, new_rlo, count))
+                if last:
+                    sides = index.sides(*found)
+                    yield from index.named(found[0], words + 1, found[2], sides >> 32, sides & _LOW)
+                elif len(owner):
+                    yield from index.placed(LONGER, numbers[owner], of_word[word], *found)
 
     return work
 
 
-def phrase_counts(docs: DataFrame, max_words: int = 3, least: int = 10) -> DataFrame:
+def _frequent(placed: DataFrame, keys: list[str], least: int, name: str) -> DataFrame:
+    """shard, and its places of the frequent phrases, with the phrases' numbers; the first shard that
+    has a phrase also gets the sums. One exchange: a phrase has at most one row in a shard."""
+    same = Window.partitionBy(*keys).orderBy("shard")
+    every = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    parts = {"f": F.col("place").bitwiseAND(_LOW)}
+    parts |= {"lefts": F.shiftright("sides", 32), "rights": F.col("sides").bitwiseAND(_LOW)}
+    sums = {count: F.sum(part).over(every) for count, part in parts.items()}
+    number = F.shiftleft(F.first("shard").over(every), _PLACES) + F.shiftright(F.first("place").over(every), 32)
+    rows = placed.withColumns(sums | {"id": number, "_nth": F.row_number().over(same)}).where(F.col("f") >= least)
+    once = {count: F.when(F.col("_nth") == 1, F.col(count)).otherwise(0).alias(count) for count in sums}
+    kept = F.collect_list(F.struct("place", "id", *once.values()))
+    return landed(rows.groupBy("shard").agg(kept.alias(name)), name)
+
+
+def phrase_counts(index: DataFrame, max_words: int = 3, least: int = 10) -> DataFrame:
     """lang, phrase, words, f, lefts, rights of every phrase of up to ``max_words`` words that occurs
-    ``least`` times or more; of every word however rare. ``lefts`` and ``rights`` count the
-    occurrences with a word before and after them in their piece."""
-    index = landed(shard_indexes(docs, max_words), "fm-index")
-
-    def single(batches):
-        for _, _, opened in _opened(batches):
-            yield from opened.named(*opened.single_words(), 1)
-
-    def pairs(batches):
-        for _, shard, opened in _opened(batches):
-            for lo, rlo, f in opened.to_the_right(*opened.single_words()):
-                yield from opened.named(lo, rlo, f, 2) if max_words == 2 else opened.placed(shard, lo, f, 2)
-
-    named = [map_batches(index, single, _ddl(GRAMS))]
-    if max_words == 2:
-        named.append(map_batches(index, pairs, _ddl(GRAMS)))
-    placed = map_batches(index, pairs, _ddl(PLACES))
-    for words in range(2, max_words):
-        # One exchange: a hash has at most one row in a shard, which sums and returns with its place.
-        total = F.sum(F.col("place").bitwiseAND(0xFFFFFFFF)).over(Window.partitionBy("hash"))
-        kept = (
-            placed.withColumn("_f", total)
-            .where(F.col("_f") >= least)
-            .groupBy("shard")
-            .agg(F.collect_list("place").alias("places"))
-        )
-        last = words + 1 == max_words
-        frequent = index.join(kept, "shard")
-        frequent = frequent if last else landed(frequent, "frequent")
-        named.append(map_batches(frequent, _from_places(words, True, last), _ddl(GRAMS)))
-        placed = map_batches(frequent, _from_places(words, False, True), _ddl(PLACES))
+    ``least`` times or more. ``lefts`` and ``rights`` count the occurrences with a word before and after
+    them in their piece. ``index``: of ``shard_indexes`` for as many words, landed."""
+    kept = _frequent(map_batches(index, _word_places, _ddl(WORDS)), ["lang", "word"], least, "kept_1")
+    single, named = kept, []
+    for words in range(1, max_words):
+        column, last = f"kept_{words}", words + 1 == max_words
+        shards = index.join(kept, "shard")
+        named.append(map_batches(shards, _names(column, words), _ddl(GRAMS)))
+        if last:
+            named.append(map_batches(shards, _longer(column, words, True), _ddl(GRAMS)))
+        else:
+            shards = shards if words == 1 else shards.join(single, "shard")
+            longer = map_batches(shards, _longer(column, words, False), _ddl(LONGER))
+            kept = _frequent(longer, ["begin", "word"], least, f"kept_{words + 1}")
+    if max_words == 1:
+        named.append(map_batches(index.join(kept, "shard"), _names("kept_1", 1), _ddl(GRAMS)))
     out = named[0]
     for more in named[1:]:
         out = out.unionByName(more)
     return (
         out.groupBy("lang", "phrase", "words")
         .agg(*(F.sum(count).alias(count) for count in ("f", "lefts", "rights")))
-        .where((F.col("words") == 1) | (F.col("f") >= least))
+        .where(F.col("f") >= least)
     )
 
 
@@ -360,9 +392,9 @@ def collocations(
     docs: DataFrame, max_words: int = 3, least: int = 10, inside_percent: int = 50, top: int = 2000
 ) -> DataFrame:
     """Each language's ``top`` phrases of two words or more: lang, rank, phrase, a, l, r, n, score."""
-    counts = landed(phrase_counts(docs, max_words, least), "phrase-counts")
-    totals = counts.where("words = 1").groupBy("lang").agg(F.sum("f").alias("n"))
-    frequent = counts.where(F.col("f") >= least)
+    index = landed_by(shard_indexes(docs, max_words), "shard", "fm-index")
+    frequent = landed(phrase_counts(index, max_words, least), "phrase-counts")
+    totals = index.groupBy("lang").agg(F.sum("n_words").alias("n"))
     split = F.split("phrase", " ")
 
     def some(begin, size):
