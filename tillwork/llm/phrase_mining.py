@@ -9,10 +9,11 @@ intervals of such phrases depend on.
 
 Counts are summed across shards, level by level. A phrase of k + 1 words is looked for only where its
 first and its last k words are frequent over all shards, so the many phrases met once are never spelled
-out. A phrase that is frequent gets a number (the place in the first shard that has it), which returns
-to its shards with their places of it; one word longer, it is the pair of that number and the number of
-the word. Rows of numbers cross the network once a level, and one shard names a phrase for all. The
-indexes themselves stay where they are: they are bucketed by shard, and what returns is dealt to them.
+out. A frequent word gets a number (the place in the first shard that has it), which returns to all its
+shards; a longer phrase is known by the numbers of its words. Rows of numbers cross the network once a
+level, sorted runs are merged as they stream by, and what is frequent returns to its shards as places.
+One shard names a phrase for all. The indexes themselves stay where they are: they are bucketed by
+shard, and so is what returns to them.
 
 Exact: counts are 64-bit, scores are quotients of 38-digit decimals.
 
@@ -64,9 +65,9 @@ INDEX = pa.schema(
     [("shard", pa.int64()), ("lang", pa.string()), ("n_words", pa.int64())]
     + [(part, pa.binary()) for part in ("words", "forward", "backward")]
 )
-PLACED = [("shard", pa.int64()), ("place", pa.int64()), ("sides", pa.int64())]
+PLACED = [("shard", pa.int64()), ("place", pa.int64()), ("edges", pa.int64())]
 WORDS = pa.schema([("lang", pa.string()), ("word", pa.string()), *PLACED])
-LONGER = pa.schema([("begin", pa.int64()), ("word", pa.int64()), *PLACED])
+KEPT = pa.schema([(c, pa.int64()) for c in ("shard", "place", "number", "f", "lefts", "rights")])
 GRAMS = pa.schema(
     [("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32())]
     + [(count, pa.int64()) for count in ("f", "lefts", "rights")]
@@ -198,15 +199,13 @@ class ShardIndex:
         return lo
 
     def to_the_right(self, lo, rlo, f) -> Iterator[tuple[np.ndarray, ...]]:
-        """Every extension by one word, some STEP occurrences at a time: which phrase is extended, by
-        which word, the intervals and the count."""
+        """Every extension by one word, some STEP occurrences at a time: its intervals, its count."""
         ends = np.cumsum(f)
         cuts = np.searchsorted(ends, np.arange(STEP, ends[-1] if len(f) else 0, STEP)) + 1
         for part in np.split(np.arange(len(f)), np.unique(cuts)):
             if len(part):
                 part = slice(part[0], part[-1] + 1)
-                owner, *found = self._extended(lo[part], rlo[part], f[part])
-                yield owner + part.start, *found
+                yield self._extended(lo[part], rlo[part], f[part])
 
     def _extended(self, lo, rlo, f) -> tuple[np.ndarray, ...]:
         owner = np.repeat(np.arange(len(f)), f)
@@ -220,11 +219,12 @@ class ShardIndex:
         new_lo = lo[owner] + before - before[np.searchsorted(owner, owner)]
         real = symbol > 0
         owner, symbol = owner[real], symbol[real]
-        return owner, symbol, new_lo[real], self.backward.extended(symbol, rlo[owner]), count[real]
+        return new_lo[real], self.backward.extended(symbol, rlo[owner]), count[real]
 
-    def sides(self, lo, rlo, f) -> np.ndarray:
-        """How often a word precedes phrases in their piece, and how often one follows them."""
-        return self.forward.followed(lo, f).astype(np.int64) << 32 | self.backward.followed(rlo, f)
+    def edges(self, lo, rlo, f) -> np.ndarray:
+        """How often phrases begin a piece, and how often they end one, in one number."""
+        begins, ends = f - self.forward.followed(lo, f), f - self.backward.followed(rlo, f)
+        return begins.astype(np.int64) << 32 | ends
 
     def named(self, lo, words: int, *counts) -> Iterator[pa.RecordBatch]:
         """Phrases in full, with counts of them and of their sides."""
@@ -238,14 +238,14 @@ class ShardIndex:
             columns = [same[0], phrase, same[1], *(pa.array(count[part], pa.int64()) for count in counts)]
             yield pa.RecordBatch.from_arrays(columns, schema=GRAMS)
 
-    def placed(self, schema: pa.Schema, first, second, lo, rlo, f) -> Iterator[pa.RecordBatch]:
-        """Phrases by their two keys: the shard, the interval and the count in one number, the sides."""
-        for begin in range(0, len(lo), ROWS):
-            part = slice(begin, begin + ROWS)
-            rows = len(lo[part])
-            place, sides = lo[part] << 32 | f[part], self.sides(lo[part], rlo[part], f[part])
-            keys = [key[part] if len(key) > 1 else pa.repeat(key[0], rows) for key in (first, second)]
-            yield record_batch(schema, *keys, np.full(rows, self.shard), place, sides)
+    def placed(self, schema: pa.Schema, keys: list, lo, rlo, f) -> pa.RecordBatch:
+        """Phrases by their keys: the shard, the interval and the count in one number, the edges."""
+        shard = pa.repeat(self.shard, len(lo))
+        return record_batch(schema, *keys, shard, lo << 32 | f, self.edges(lo, rlo, f))
+
+
+def _keyed(words: int) -> pa.Schema:
+    return pa.schema([(f"word_{k}", pa.int64()) for k in range(words)] + PLACED)
 
 
 def shard_indexes(docs: DataFrame, max_words: int = 3, lang: str = "lang", text: str = "text") -> DataFrame:
@@ -297,7 +297,8 @@ def _word_places(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lo, f = index.single_words()
         for begin in range(0, len(lo), ROWS):
             part = slice(begin, begin + ROWS)
-            yield from index.placed(WORDS, [index.lang], index.words[part], lo[part], lo[part], f[part])
+            keys = [pa.repeat(index.lang, len(lo[part])), index.words[part]]
+            yield index.placed(WORDS, keys, lo[part], lo[part], f[part])
 
 
 def _names(column: str, words: int):
@@ -307,85 +308,116 @@ def _names(column: str, words: int):
         for index in _opened(batches):
             kept = index.kept(column)
             kept = kept.filter(pc.greater(kept.field("f"), 0))
-            lo = kept.field("place").to_numpy() >> 32
-            counts = (kept.field(count).to_numpy() for count in ("f", "lefts", "rights"))
-            yield from index.named(lo, words, *counts)
+            if len(kept):
+                lo = kept.field("place").to_numpy() >> 32
+                counts = (kept.field(count).to_numpy() for count in ("f", "lefts", "rights"))
+                yield from index.named(lo, words, *counts)
 
     return work
 
 
-def _longer(column: str, words: int, last: bool):
-    """Phrases one word longer than the kept ones, where the last words are kept as well: named with
-    this shard's counts (``last``), or by the numbers of the shorter phrase and of the word."""
+def _longer(words: int):
+    """Phrases one word longer than the kept ones, where the last words are kept as well."""
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for index in _opened(batches):
-            kept = index.kept(column)
-            place = kept.field("place").to_numpy()
+            single = index.kept("kept_1")
+            numbers = np.zeros(len(index.words) + 1, np.int64)
+            numbers[index.forward.first[single.field("place").to_numpy() >> 32]] = single.field("number")
+            place = index.kept(f"kept_{words}").field("place").to_numpy()
             lo, f = place >> 32, place & _LOW
             rlo = index.backward_rows(index.spelled(lo, words))
-            numbers = kept.field("id").to_numpy()
-            if not last:
-                single = index.kept("kept_1")
-                of_word = np.zeros(len(index.words) + 1, np.int64)
-                at = single.field("place").to_numpy() >> 32
-                of_word[index.forward.first[at]] = single.field("id").to_numpy()
-            for owner, word, new_lo, new_rlo, count in index.to_the_right(lo, rlo, f):
+            for found in index.to_the_right(lo, rlo, f):
                 # The row one word shorter lies in the interval of the last words.
-                row = index.forward.next[new_lo]
+                row = index.forward.next[found[0]]
                 of = np.searchsorted(lo, row, "right") - 1
                 both = (of >= 0) & (row < lo[of] + f[of])
-                owner, word, *found = (a[both] for a in (owner, word, new_lo, new_rlo, count))
-                if last:
-                    sides = index.sides(*found)
-                    yield from index.named(found[0], words + 1, found[2], sides >> 32, sides & _LOW)
-                elif len(owner):
-                    yield from index.placed(LONGER, numbers[owner], of_word[word], *found)
+                new_lo, new_rlo, count = (a[both] for a in found)
+                for begin in range(0, len(new_lo), ROWS):
+                    part = slice(begin, begin + ROWS)
+                    keys = numbers[index.spelled(new_lo[part], words + 1)].T
+                    yield index.placed(
+                        _keyed(words + 1), list(keys), new_lo[part], new_rlo[part], count[part]
+                    )
 
     return work
 
 
-def _frequent(placed: DataFrame, keys: list[str], least: int, name: str) -> DataFrame:
-    """shard, and its places of the frequent phrases, with the phrases' numbers; the first shard that
-    has a phrase also gets the sums. One exchange: a phrase has at most one row in a shard."""
-    same = Window.partitionBy(*keys).orderBy("shard")
-    every = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    parts = {"f": F.col("place").bitwiseAND(_LOW)}
-    parts |= {"lefts": F.shiftright("sides", 32), "rights": F.col("sides").bitwiseAND(_LOW)}
-    sums = {count: F.sum(part).over(every) for count, part in parts.items()}
-    number = F.shiftleft(F.first("shard").over(every), _PLACES) + F.shiftright(F.first("place").over(every), 32)
-    rows = placed.withColumns(sums | {"id": number, "_nth": F.row_number().over(same)}).where(F.col("f") >= least)
-    once = {count: F.when(F.col("_nth") == 1, F.col(count)).otherwise(0).alias(count) for count in sums}
-    kept = F.collect_list(F.struct("place", "id", *once.values()))
-    return landed(rows.groupBy("shard").agg(kept.alias(name)), name)
+def _merged(keys: list[str], least: int, returns: bool):
+    """Sorted rows of placed phrases to those of the frequent ones, of one that comes first with the
+    sums; without ``returns`` only that one. Holds ROWS rows or the rows of one phrase, at most one a
+    shard."""
+
+    def sums(rows: pa.Table, first: np.ndarray) -> pa.RecordBatch:
+        shard, place, edges = (rows[c].to_numpy() for c in ("shard", "place", "edges"))
+        f = np.add.reduceat(place & _LOW, first)
+        begins, ends = np.add.reduceat(edges >> 32, first), np.add.reduceat(edges & _LOW, first)
+        of = np.repeat(np.arange(len(first)), np.diff([*first, len(shard)]))
+        leads = np.zeros(len(shard), np.int64)
+        leads[first] = 1
+        stays = np.flatnonzero((f >= least)[of] & (returns | (leads > 0)))
+        of, leads = of[stays], leads[stays]
+        number = (shard[first] << _PLACES | place[first] >> 32)[of]
+        counts = ((count[of] * leads) for count in (f, f - begins, f - ends))
+        return record_batch(KEPT, shard[stays], place[stays], number, *counts)
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= ROWS:
+                rows = pa.Table.from_batches(held).combine_chunks()
+                first = starts(rows)
+                if len(first) > 1:
+                    yield sums(rows.slice(0, first[-1]), first[:-1])
+                    rows = rows.slice(first[-1])
+                held, size = rows.to_batches(), rows.num_rows if rows.num_rows < ROWS else 0
+        if held:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            if rows.num_rows:
+                yield sums(rows, starts(rows))
+
+    def starts(rows: pa.Table) -> np.ndarray:
+        n = rows.num_rows
+        changes = np.ones(n, bool)
+        changes[1:] = False
+        for key in keys:
+            column = rows[key].combine_chunks()
+            changes[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+        return np.flatnonzero(changes)
+
+    return work
+
+
+def _frequent(placed: DataFrame, keys: list[str], least: int, words: int, returns: bool) -> DataFrame:
+    """shard, and its places of the frequent phrases. One exchange: a phrase has at most one row in a
+    shard."""
+    in_order = placed.repartition(*keys).sortWithinPartitions(*keys, "shard")
+    kept = map_batches(in_order, _merged(keys, least, returns), _ddl(KEPT))
+    columns = ["place", "number", "f", "lefts", "rights"] if words == 1 else ["place", "f", "lefts", "rights"]
+    name = f"kept_{words}"
+    return landed_by(kept.groupBy("shard").agg(F.collect_list(F.struct(*columns)).alias(name)), "shard", name)
 
 
 def phrase_counts(index: DataFrame, max_words: int = 3, least: int = 10) -> DataFrame:
     """lang, phrase, words, f, lefts, rights of every phrase of up to ``max_words`` words that occurs
     ``least`` times or more. ``lefts`` and ``rights`` count the occurrences with a word before and after
     them in their piece. ``index``: of ``shard_indexes`` for as many words, landed."""
-    kept = _frequent(map_batches(index, _word_places, _ddl(WORDS)), ["lang", "word"], least, "kept_1")
-    single, named = kept, []
-    for words in range(1, max_words):
-        column, last = f"kept_{words}", words + 1 == max_words
+    placed, keys = map_batches(index, _word_places, _ddl(WORDS)), ["lang", "word"]
+    out = single = None
+    for words in range(1, max_words + 1):
+        kept = _frequent(placed, keys, least, words, returns=words < max_words)
         shards = index.join(kept, "shard")
-        named.append(map_batches(shards, _names(column, words), _ddl(GRAMS)))
-        if last:
-            named.append(map_batches(shards, _longer(column, words, True), _ddl(GRAMS)))
+        named = map_batches(shards, _names(f"kept_{words}", words), _ddl(GRAMS))
+        out = named if out is None else out.unionByName(named)
+        if single is None:
+            single = kept
         else:
-            shards = shards if words == 1 else shards.join(single, "shard")
-            longer = map_batches(shards, _longer(column, words, False), _ddl(LONGER))
-            kept = _frequent(longer, ["begin", "word"], least, f"kept_{words + 1}")
-    if max_words == 1:
-        named.append(map_batches(index.join(kept, "shard"), _names("kept_1", 1), _ddl(GRAMS)))
-    out = named[0]
-    for more in named[1:]:
-        out = out.unionByName(more)
-    return (
-        out.groupBy("lang", "phrase", "words")
-        .agg(*(F.sum(count).alias(count) for count in ("f", "lefts", "rights")))
-        .where(F.col("f") >= least)
-    )
+            shards = shards.join(single, "shard")
+        schema = _keyed(words + 1)
+        placed, keys = map_batches(shards, _longer(words), _ddl(schema)), schema.names[: words + 1]
+    return out
 
 
 def collocations(
