@@ -11,7 +11,7 @@ Counts are summed across shards, level by level. A phrase of k + 1 words is look
 first and its last k words are frequent over all shards, so the many phrases met once are never spelled
 out. A frequent word gets a number (the place in the first shard that has it), which returns to all its
 shards; a longer phrase is known by the numbers of its words. Rows of numbers cross the network once a
-level, sorted runs are merged as they stream by, and what is frequent returns to its shards as places.
+level and are summed as they stream by in order, and what is frequent returns to its shards as places.
 One shard names a phrase for all. The indexes themselves stay where they are: they are bucketed by
 shard, and so is what returns to them.
 
@@ -67,7 +67,8 @@ INDEX = pa.schema(
 )
 PLACED = [("shard", pa.int64()), ("place", pa.int64()), ("edges", pa.int64())]
 WORDS = pa.schema([("lang", pa.string()), ("word", pa.string()), *PLACED])
-KEPT = pa.schema([(c, pa.int64()) for c in ("shard", "place", "number", "f", "lefts", "rights")])
+COLUMNS = ("place", "number", "f", "lefts", "rights")
+KEPT = pa.schema([("shard", pa.int64())] + [(c, pa.list_(pa.int64())) for c in COLUMNS])
 GRAMS = pa.schema(
     [("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32())]
     + [(count, pa.int64()) for count in ("f", "lefts", "rights")]
@@ -75,7 +76,7 @@ GRAMS = pa.schema(
 
 
 def _ddl(schema: pa.Schema) -> str:
-    names = {"int64": "long", "int32": "int"}
+    names = {"int64": "long", "int32": "int", "list<item: int64>": "array<long>"}
     return ", ".join(f"{f.name} {names.get(str(f.type), str(f.type))}" for f in schema)
 
 
@@ -179,10 +180,15 @@ class ShardIndex:
         f = np.bincount(self.forward.bwt, minlength=len(self.words) + 1)
         return (np.cumsum(f) - f)[1:], f[1:]
 
-    def kept(self, column: str) -> pa.StructArray:
-        """What the row brings of frequent phrases, by place."""
-        values = self._row[column][0].values
-        return values.take(pc.array_sort_indices(values.field("place")))
+    def kept(self, words: int) -> dict[str, np.ndarray]:
+        """What the row brings of frequent phrases, by their intervals (``lo``)."""
+        lists = self._row[f"kept_{words}"][0].values
+        kept = {c.name: lists.field(c.name).flatten().to_numpy() for c in lists.type}
+        at = kept["place"] >> 32
+        # A word's place is its own number.
+        kept["lo"] = at if words > 1 else np.searchsorted(self.forward.first, at)
+        order = np.argsort(kept["lo"])
+        return {name: values[order] for name, values in kept.items()}
 
     def spelled(self, lo: np.ndarray, words: int) -> np.ndarray:
         """Word numbers of the phrases whose intervals begin at ``lo``."""
@@ -226,7 +232,7 @@ class ShardIndex:
         begins, ends = f - self.forward.followed(lo, f), f - self.backward.followed(rlo, f)
         return begins.astype(np.int64) << 32 | ends
 
-    def named(self, lo, words: int, *counts) -> Iterator[pa.RecordBatch]:
+    def named(self, lo, f, lefts, rights, words: int) -> Iterator[pa.RecordBatch]:
         """Phrases in full, with counts of them and of their sides."""
         for begin in range(0, len(lo), ROWS):
             part = slice(begin, begin + ROWS)
@@ -235,13 +241,13 @@ class ShardIndex:
             for k in range(1, words):
                 phrase = pc.binary_join_element_wise(phrase, self.words.take(pa.array(numbers[:, k])), " ")
             same = (pa.repeat(self.lang, len(numbers)), pa.repeat(pa.scalar(words, pa.int32()), len(numbers)))
-            columns = [same[0], phrase, same[1], *(pa.array(count[part], pa.int64()) for count in counts)]
+            columns = [same[0], phrase, same[1], *(pa.array(count[part], pa.int64()) for count in (f, lefts, rights))]
             yield pa.RecordBatch.from_arrays(columns, schema=GRAMS)
 
-    def placed(self, schema: pa.Schema, keys: list, lo, rlo, f) -> pa.RecordBatch:
+    def placed(self, schema: pa.Schema, keys: list, lo, rlo, f, at=None) -> pa.RecordBatch:
         """Phrases by their keys: the shard, the interval and the count in one number, the edges."""
-        shard = pa.repeat(self.shard, len(lo))
-        return record_batch(schema, *keys, shard, lo << 32 | f, self.edges(lo, rlo, f))
+        place = (lo if at is None else at) << 32 | f
+        return record_batch(schema, *keys, pa.repeat(self.shard, len(lo)), place, self.edges(lo, rlo, f))
 
 
 def _keyed(words: int) -> pa.Schema:
@@ -298,20 +304,18 @@ def _word_places(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for begin in range(0, len(lo), ROWS):
             part = slice(begin, begin + ROWS)
             keys = [pa.repeat(index.lang, len(lo[part])), index.words[part]]
-            yield index.placed(WORDS, keys, lo[part], lo[part], f[part])
+            number = np.arange(begin, begin + len(lo[part])) + 1
+            yield index.placed(WORDS, keys, lo[part], lo[part], f[part], number)
 
 
-def _names(column: str, words: int):
+def _names(words: int):
     """The phrases this shard names for all, with their sums over all shards."""
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for index in _opened(batches):
-            kept = index.kept(column)
-            kept = kept.filter(pc.greater(kept.field("f"), 0))
-            if len(kept):
-                lo = kept.field("place").to_numpy() >> 32
-                counts = (kept.field(count).to_numpy() for count in ("f", "lefts", "rights"))
-                yield from index.named(lo, words, *counts)
+            kept = index.kept(words)
+            names = kept["f"] > 0
+            yield from index.named(*(kept[c][names] for c in ("lo", "f", "lefts", "rights")), words)
 
     return work
 
@@ -321,11 +325,10 @@ def _longer(words: int):
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for index in _opened(batches):
-            single = index.kept("kept_1")
+            single, kept = index.kept(1), index.kept(words)
             numbers = np.zeros(len(index.words) + 1, np.int64)
-            numbers[index.forward.first[single.field("place").to_numpy() >> 32]] = single.field("number")
-            place = index.kept(f"kept_{words}").field("place").to_numpy()
-            lo, f = place >> 32, place & _LOW
+            numbers[single["place"] >> 32] = single["number"]
+            lo, f = kept["lo"], kept["place"] & _LOW
             rlo = index.backward_rows(index.spelled(lo, words))
             for found in index.to_the_right(lo, rlo, f):
                 # The row one word shorter lies in the interval of the last words.
@@ -344,22 +347,39 @@ def _longer(words: int):
 
 
 def _merged(keys: list[str], least: int, returns: bool):
-    """Sorted rows of placed phrases to those of the frequent ones, of one that comes first with the
-    sums; without ``returns`` only that one. Holds ROWS rows or the rows of one phrase, at most one a
-    shard."""
-
-    def sums(rows: pa.Table, first: np.ndarray) -> pa.RecordBatch:
+    """Placed phrases in order of their hash to those that are frequent, as lists per shard; the first
+    shard of a phrase also gets the sums. Without ``returns`` no other shard gets any. Holds ROWS rows,
+    or the rows of one hash: at most one a shard and phrase."""
+
+    def changes(rows: pa.Table, names: list[str]) -> np.ndarray:
+        new = np.zeros(rows.num_rows, bool)
+        new[:1] = True
+        for name in names:
+            column = rows[name].combine_chunks()
+            new[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+        return new
+
+    def sums(rows: pa.Table) -> pa.RecordBatch:
+        new = changes(rows, keys)
+        if new.sum() > changes(rows, ["_hash"]).sum():
+            # Phrases of one hash may alternate.
+            rows = rows.sort_by([(name, "ascending") for name in ("_hash", *keys)])
+            new = changes(rows, keys)
+        first = np.flatnonzero(new)
         shard, place, edges = (rows[c].to_numpy() for c in ("shard", "place", "edges"))
         f = np.add.reduceat(place & _LOW, first)
         begins, ends = np.add.reduceat(edges >> 32, first), np.add.reduceat(edges & _LOW, first)
-        of = np.repeat(np.arange(len(first)), np.diff([*first, len(shard)]))
-        leads = np.zeros(len(shard), np.int64)
-        leads[first] = 1
-        stays = np.flatnonzero((f >= least)[of] & (returns | (leads > 0)))
-        of, leads = of[stays], leads[stays]
-        number = (shard[first] << _PLACES | place[first] >> 32)[of]
-        counts = ((count[of] * leads) for count in (f, f - begins, f - ends))
-        return record_batch(KEPT, shard[stays], place[stays], number, *counts)
+        of = np.cumsum(new) - 1
+        leads = new.astype(np.int64)
+        stays = np.flatnonzero((f >= least)[of] & (returns | new))
+        stays = stays[np.argsort(shard[stays], kind="stable")]
+        of, leads, shard = of[stays], leads[stays], shard[stays]
+        number = (rows["shard"].to_numpy()[first] << _PLACES | place[first] >> 32)[of]
+        counts = (count[of] * leads for count in (f, f - begins, f - ends))
+        cuts = np.flatnonzero(np.diff(shard, prepend=-1))
+        lists = pa.array(np.append(cuts, len(shard)), pa.int32())
+        columns = (pa.ListArray.from_arrays(lists, pa.array(c)) for c in (place[stays], number, *counts))
+        return pa.RecordBatch.from_arrays([pa.array(shard[cuts]), *columns], schema=KEPT)
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -368,24 +388,13 @@ def _merged(keys: list[str], least: int, returns: bool):
             size += batch.num_rows
             if size >= ROWS:
                 rows = pa.Table.from_batches(held).combine_chunks()
-                first = starts(rows)
-                if len(first) > 1:
-                    yield sums(rows.slice(0, first[-1]), first[:-1])
-                    rows = rows.slice(first[-1])
-                held, size = rows.to_batches(), rows.num_rows if rows.num_rows < ROWS else 0
-        if held:
-            rows = pa.Table.from_batches(held).combine_chunks()
-            if rows.num_rows:
-                yield sums(rows, starts(rows))
-
-    def starts(rows: pa.Table) -> np.ndarray:
-        n = rows.num_rows
-        changes = np.ones(n, bool)
-        changes[1:] = False
-        for key in keys:
-            column = rows[key].combine_chunks()
-            changes[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
-        return np.flatnonzero(changes)
+                last = np.flatnonzero(changes(rows, ["_hash"]))[-1]
+                if last:
+                    yield sums(rows.slice(0, last))
+                held = rows.slice(last).to_batches()
+                size = rows.num_rows - last if last else 0
+        if sum(batch.num_rows for batch in held):
+            yield sums(pa.Table.from_batches(held).combine_chunks())
 
     return work
 
@@ -393,9 +402,10 @@ def _merged(keys: list[str], least: int, returns: bool):
 def _frequent(placed: DataFrame, keys: list[str], least: int, words: int, returns: bool) -> DataFrame:
     """shard, and its places of the frequent phrases. One exchange: a phrase has at most one row in a
     shard."""
-    in_order = placed.repartition(*keys).sortWithinPartitions(*keys, "shard")
+    # A single number to sort by lets Spark sort by radix.
+    in_order = placed.repartition(*keys).withColumn("_hash", F.xxhash64(*keys)).sortWithinPartitions("_hash")
     kept = map_batches(in_order, _merged(keys, least, returns), _ddl(KEPT))
-    columns = ["place", "number", "f", "lefts", "rights"] if words == 1 else ["place", "f", "lefts", "rights"]
+    columns = COLUMNS if words == 1 else [c for c in COLUMNS if c != "number"]
     name = f"kept_{words}"
     return landed_by(kept.groupBy("shard").agg(F.collect_list(F.struct(*columns)).alias(name)), "shard", name)
 
@@ -409,7 +419,7 @@ def phrase_counts(index: DataFrame, max_words: int = 3, least: int = 10) -> Data
     for words in range(1, max_words + 1):
         kept = _frequent(placed, keys, least, words, returns=words < max_words)
         shards = index.join(kept, "shard")
-        named = map_batches(shards, _names(f"kept_{words}", words), _ddl(GRAMS))
+        named = map_batches(shards, _names(words), _ddl(GRAMS))
         out = named if out is None else out.unionByName(named)
         if single is None:
             single = kept
