@@ -20,7 +20,7 @@ Exact: counts are 64-bit, scores are quotients of 38-digit decimals.
 Defined cases: a null text is empty, a null language is ``und``. Every row counts, repeated ones too;
 identifiers and other columns are not read. An empty table, and one without frequent phrases, give an
 empty result. Texts of any length are read in stretches that end at a piece's end; a single piece may
-have some 33 million words.
+have some 16 million words.
 """
 
 from __future__ import annotations
@@ -58,7 +58,7 @@ _TABLE = bytes(
 )
 
 #: Bits of a shard's number within its partition, and of a place within a shard.
-_SHARDS, _PLACES = 16, 25
+_SHARDS, _PLACES = 16, 24
 _LOW = 0xFFFFFFFF
 
 INDEX = pa.schema(
@@ -181,14 +181,14 @@ class ShardIndex:
         return (np.cumsum(f) - f)[1:], f[1:]
 
     def kept(self, words: int) -> dict[str, np.ndarray]:
-        """What the row brings of frequent phrases, by their intervals (``lo``)."""
+        """What the row brings of frequent phrases, by place. A word's place is its own number."""
         lists = self._row[f"kept_{words}"][0].values
+        if lists is None:
+            return {}
         kept = {c.name: lists.field(c.name).flatten().to_numpy() for c in lists.type}
-        at = kept["place"] >> 32
-        # A word's place is its own number.
-        kept["lo"] = at if words > 1 else np.searchsorted(self.forward.first, at)
-        order = np.argsort(kept["lo"])
-        return {name: values[order] for name, values in kept.items()}
+        order = np.argsort(kept["place"])
+        kept = {name: values[order] for name, values in kept.items()}
+        return kept | {"at": kept["place"] >> 32}
 
     def spelled(self, lo: np.ndarray, words: int) -> np.ndarray:
         """Word numbers of the phrases whose intervals begin at ``lo``."""
@@ -232,17 +232,16 @@ class ShardIndex:
         begins, ends = f - self.forward.followed(lo, f), f - self.backward.followed(rlo, f)
         return begins.astype(np.int64) << 32 | ends
 
-    def named(self, lo, f, lefts, rights, words: int) -> Iterator[pa.RecordBatch]:
+    def named(self, numbers: np.ndarray, f, lefts, rights) -> Iterator[pa.RecordBatch]:
         """Phrases in full, with counts of them and of their sides."""
-        for begin in range(0, len(lo), ROWS):
+        words = numbers.shape[1]
+        for begin in range(0, len(numbers), ROWS):
             part = slice(begin, begin + ROWS)
-            numbers = self.spelled(lo[part], words) - 1
-            phrase = self.words.take(pa.array(numbers[:, 0]))
-            for k in range(1, words):
-                phrase = pc.binary_join_element_wise(phrase, self.words.take(pa.array(numbers[:, k])), " ")
-            same = (pa.repeat(self.lang, len(numbers)), pa.repeat(pa.scalar(words, pa.int32()), len(numbers)))
-            columns = [same[0], phrase, same[1], *(pa.array(count[part], pa.int64()) for count in (f, lefts, rights))]
-            yield pa.RecordBatch.from_arrays(columns, schema=GRAMS)
+            some = [self.words.take(pa.array(column - 1)) for column in numbers[part].T]
+            phrase = pc.binary_join_element_wise(*some, " ") if words > 1 else some[0]
+            same = (pa.repeat(self.lang, len(phrase)), pa.repeat(pa.scalar(words, pa.int32()), len(phrase)))
+            counts = (pa.array(count[part], pa.int64()) for count in (f, lefts, rights))
+            yield pa.RecordBatch.from_arrays([same[0], phrase, same[1], *counts], schema=GRAMS)
 
     def placed(self, schema: pa.Schema, keys: list, lo, rlo, f, at=None) -> pa.RecordBatch:
         """Phrases by their keys: the shard, the interval and the count in one number, the edges."""
@@ -308,14 +307,18 @@ def _word_places(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield index.placed(WORDS, keys, lo[part], lo[part], f[part], number)
 
 
-def _names(words: int):
+def _names(max_words: int):
     """The phrases this shard names for all, with their sums over all shards."""
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for index in _opened(batches):
-            kept = index.kept(words)
-            names = kept["f"] > 0
-            yield from index.named(*(kept[c][names] for c in ("lo", "f", "lefts", "rights")), words)
+            for words in range(1, max_words + 1):
+                kept = index.kept(words)
+                names = kept["f"] > 0 if kept else np.zeros(0, bool)
+                if names.any():
+                    at = kept["at"][names]
+                    numbers = index.spelled(at, words) if words > 1 else at[:, None]
+                    yield from index.named(numbers, *(kept[c][names] for c in ("f", "lefts", "rights")))
 
     return work
 
@@ -327,8 +330,9 @@ def _longer(words: int):
         for index in _opened(batches):
             single, kept = index.kept(1), index.kept(words)
             numbers = np.zeros(len(index.words) + 1, np.int64)
-            numbers[single["place"] >> 32] = single["number"]
-            lo, f = kept["lo"], kept["place"] & _LOW
+            numbers[single["at"]] = single["number"]
+            lo = kept["at"] if words > 1 else np.searchsorted(index.forward.first, kept["at"])
+            f = kept["place"] & _LOW
             rlo = index.backward_rows(index.spelled(lo, words))
             for found in index.to_the_right(lo, rlo, f):
                 # The row one word shorter lies in the interval of the last words.
@@ -402,9 +406,12 @@ def _merged(keys: list[str], least: int, returns: bool):
 def _frequent(placed: DataFrame, keys: list[str], least: int, words: int, returns: bool) -> DataFrame:
     """shard, and its places of the frequent phrases. One exchange: a phrase has at most one row in a
     shard."""
-    # A single number to sort by lets Spark sort by radix.
-    in_order = placed.repartition(*keys).withColumn("_hash", F.xxhash64(*keys)).sortWithinPartitions("_hash")
+    # A single number to sort by lets Spark sort by radix. The first shards number words: small numbers.
+    order = ["_hash", "shard"] if words == 1 else ["_hash"]
+    in_order = placed.repartition(*keys).withColumn("_hash", F.xxhash64(*keys)).sortWithinPartitions(*order)
     kept = map_batches(in_order, _merged(keys, least, returns), _ddl(KEPT))
+    # Rows are narrow, and batches bounded in bytes anyway.
+    placed.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS))
     columns = COLUMNS if words == 1 else [c for c in COLUMNS if c != "number"]
     name = f"kept_{words}"
     return landed_by(kept.groupBy("shard").agg(F.collect_list(F.struct(*columns)).alias(name)), "shard", name)
@@ -415,19 +422,18 @@ def phrase_counts(index: DataFrame, max_words: int = 3, least: int = 10) -> Data
     ``least`` times or more. ``lefts`` and ``rights`` count the occurrences with a word before and after
     them in their piece. ``index``: of ``shard_indexes`` for as many words, landed."""
     placed, keys = map_batches(index, _word_places, _ddl(WORDS)), ["lang", "word"]
-    out = single = None
+    levels = []
     for words in range(1, max_words + 1):
-        kept = _frequent(placed, keys, least, words, returns=words < max_words)
-        shards = index.join(kept, "shard")
-        named = map_batches(shards, _names(words), _ddl(GRAMS))
-        out = named if out is None else out.unionByName(named)
-        if single is None:
-            single = kept
-        else:
-            shards = shards.join(single, "shard")
+        levels.append(_frequent(placed, keys, least, words, returns=words < max_words))
+        shards = index
+        for level in {0, words - 1}:
+            shards = shards.join(levels[level], "shard")
         schema = _keyed(words + 1)
         placed, keys = map_batches(shards, _longer(words), _ddl(schema)), schema.names[: words + 1]
-    return out
+    shards = index
+    for level in levels:
+        shards = shards.join(level, "shard", "left")
+    return map_batches(shards, _names(max_words), _ddl(GRAMS))
 
 
 def collocations(
