@@ -52,8 +52,9 @@ def publish_to_kafka(df: DataFrame, servers: str, topic: str, key: str | None =
 def file_topic_stream(
     spark: SparkSession, path: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Stream of a folder of text files, one message per line; new files are picked up once."""
-    reader = spark.readStream
+    """Stream of a folder of text files, one message per line, also of the folders of runs in it; new
+    files are picked up once."""
+    reader = spark.readStream.option("recursiveFileLookup", "true")
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.text(path)
