@@ -32,29 +32,40 @@ class Winnowing:
     least: int
     gram: int
 
+    #: What ``anchors`` gives besides places.
+    columns = ("gram", "frame")
+
     @property
     def reach(self) -> int:
         """How far a run through an anchor extends before it."""
         return self.least - self.gram
 
-    def anchors(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _frames(self, at: np.ndarray, grams: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where the frames of anchors begin and end in ``n`` units."""
+        return np.maximum(at - self.reach, 0), np.minimum(at + self.least, n)
+
+    def _given(self, at, grams, frames, first, last) -> tuple[np.ndarray, ...]:
+        return at, grams, frames
+
+    def anchors(self, units: np.ndarray) -> tuple[np.ndarray, ...]:
         """Places of the anchors, hashes of their grams, hashes of their frames."""
         n, found = len(units), []
         if n < self.least:
-            return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
+            empty = np.empty(0, np.uint64)
+            return self._given(np.empty(0, np.int64), empty, empty, *[np.empty(0, np.int64)] * 2)
         for begin in range(0, n, PART):
             low, high = max(0, begin - 2 * self.least), min(n, begin + PART + 2 * self.least)
             runs = Runs(units[low:high])
             starts = np.arange(high - low - self.gram + 1)
             grams = runs.hashes(starts, starts + self.gram)
             at = winnowed(grams, self.reach + 1)
-            at = at[(at + low >= begin) & (at + low < begin + PART)]
-            first = np.maximum(at - self.reach, 0)
-            last = np.minimum(at + self.least, high - low)
+            first, last = self._frames(at, grams[at], high - low)
+            mine = (at + low >= begin) & (at + low < begin + PART) & (last - first >= self.least)
+            at, first, last = at[mine], first[mine], last[mine]
             with np.errstate(over="ignore"):
                 shape = mix(((at - first) << 32 | (last - at)).astype(np.uint64))
                 frames = mix(runs.hashes(first, last) + shape)
-            found.append((at + low, grams[at], frames))
+            found.append(self._given(at + low, grams[at], frames, first + low, last + low))
         return tuple(np.concatenate(parts) for parts in zip(*found))
 
     def runs_through(self, units: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -65,6 +76,40 @@ class Winnowing:
         return starts, *run_hashes(units, starts, self.least)
 
 
+class OwnWinnowing(Winnowing):
+    """Frames of only those runs whose least gram (of equal ones the first) the anchor is.
+
+    Which gram of a run is the least depends on the run alone, so equal runs still meet at one anchor;
+    but every run lies in one frame, frames are shorter, and more of them are equal. ``room`` tells how
+    far a frame reaches before (high bits) and after its anchor.
+    """
+
+    columns = ("gram", "frame", "room")
+
+    def _frames(self, at: np.ndarray, grams: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        # A lesser gram within reach of an anchor is an anchor too.
+        first = np.maximum(at - self.reach, 0)
+        last = np.minimum(at, n - self.least)
+        for side in (-1, 1):
+            left, step = np.arange(len(at)), 0
+            while len(left):
+                step += 1
+                left = left[(left + side * step >= 0) & (left + side * step < len(at))]
+                other = left + side * step
+                left, other = (a[abs(at[other] - at[left]) <= self.reach] for a in (left, other))
+                lesser = grams[other] <= grams[left] if side < 0 else grams[other] < grams[left]
+                ends, by = left[lesser], at[other[lesser]]
+                if side < 0:
+                    first[ends] = np.maximum(first[ends], by + 1)
+                else:
+                    last[ends] = np.minimum(last[ends], by - self.reach - 1)
+                left = left[~lesser]
+        return first, last + self.least
+
+    def _given(self, at, grams, frames, first, last) -> tuple[np.ndarray, ...]:
+        return at, grams, frames, ((at - first) << 32 | (last - at)).astype(np.int64)
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """Identifier, a hash that tells rows of the same identifier apart, and text (null: empty)."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -80,30 +125,27 @@ def same_row(a: str, b: str):
 
 
 def anchor_rows(rows: DataFrame, winnowing: Winnowing, units_of: Callable) -> DataFrame:
-    """_id, _row, at, gram and frame of every anchor."""
-    schema = pa.schema([(name, pa.int64()) for name in ("_id", "_row", "at", "gram", "frame")])
+    """_id, _row, at, gram and frame of every anchor, and what else the winnowing gives."""
+    names = ("_id", "_row", "at", *winnowing.columns)
+    schema = pa.schema([(name, pa.int64()) for name in names])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            owners, ats, grams, frames = [], [], [], []
+            owners, found = [], []
             for i, text in enumerate(batch.column("_text").to_pylist()):
-                at, gram, frame = winnowing.anchors(units_of(text))
-                owners.append(np.full(len(at), i))
-                ats.append(at)
-                grams.append(gram)
-                frames.append(frame)
+                anchors = winnowing.anchors(units_of(text))
+                owners.append(np.full(len(anchors[0]), i))
+                found.append(anchors)
             if owners:
                 owner = pa.array(np.concatenate(owners))
                 yield record_batch(
                     schema,
                     batch.column("_id").take(owner),
                     batch.column("_row").take(owner),
-                    np.concatenate(ats),
-                    np.concatenate(grams).view(np.int64),
-                    np.concatenate(frames).view(np.int64),
+                    *(np.concatenate(parts).view(np.int64) for parts in zip(*found)),
                 )
 
-    return map_batches(rows, work, f"{ROW}, at long, gram long, frame long")
+    return map_batches(rows, work, ", ".join(f"{name} long" for name in names))
 
 
 def covered(spans: list[dict] | None, n: int) -> np.ndarray:

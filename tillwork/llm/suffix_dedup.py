@@ -1,7 +1,8 @@
 """Suffix-array deduplication, over bytes.
 
-Only places that winnowed anchors point to can hold a long repeat. Anchors that occur once are dropped;
-where the whole frame around an anchor occurs again, all of it is repeated; for each of the remaining
+Only places that winnowed anchors point to can hold a long repeat. An anchor's frame is all that the runs
+of LEAST bytes touch whose least gram it is, so every run lies in one frame. Anchors that occur once are
+dropped; where the whole frame around an anchor occurs again, all of it is repeated; for each of the remaining
 different frames of an anchor, one occurrence is cut out. Frames that share an anchor meet in one task,
 which joins them to stretches of text, leaves out what lies in no run of LEAST bytes that occurs twice by
 hash, sorts all suffixes of the rest (prefix doubling), and scans the common prefixes of neighbours with
@@ -10,7 +11,7 @@ suffixes are preceded by different bytes cannot be extended to the left: it is a
 all its occurrences.
 
 An anchor with more than CROWD different frames (a passage in very many places) is dealt in parts, by
-document. Each part is sorted like others and also reports its runs of LEAST bytes by hash, one row for
+stretch of a document. Each part is sorted like others and also reports its runs of LEAST bytes by hash, one row for
 those that it found repeated; counting them finds what occurs once in several parts.
 
 Defined cases: a null text is empty. Identifiers play no part in what is removed; rows that repeat
@@ -28,13 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.llm.anchors import ROW, Winnowing, anchor_rows, covered, keyed, same_row, with_spans
+from tillwork.llm.anchors import ROW, OwnWinnowing, Winnowing, anchor_rows, covered, keyed, same_row, with_spans
 from tillwork.llm.common import landed, map_batches, read_table, record_batch
 from tillwork.llm.hashing import Runs, mix, run_hashes
 from tillwork.llm.registry import query
 
 LEAST = 200
-WINNOWING = Winnowing(least=LEAST, gram=40)
+WINNOWING = OwnWinnowing(least=LEAST, gram=40)
 #: Different frames of one anchor that are sorted together.
 CROWD = 4096
 #: Bytes of frames of several anchors that are sorted together; bounds memory only.
@@ -256,7 +257,7 @@ def _suffix_sorted(least: int):
     return work
 
 
-def _cut_out(winnowing: Winnowing):
+def _cut_out():
     schema = pa.schema(
         [
             ("_id", pa.int64()), ("_row", pa.int64()), ("gram", pa.int64()), ("parts", pa.int64()),
@@ -271,8 +272,8 @@ def _cut_out(winnowing: Winnowing):
             for id_, row, text, spots in zip(*(batch.column(c).to_pylist() for c in columns)):
                 data = text.encode()
                 for spot in spots:
-                    start = max(0, spot["at"] - winnowing.reach)
-                    frame = data[start : spot["at"] + winnowing.least]
+                    start = spot["at"] - (spot["room"] >> 32)
+                    frame = data[start : spot["at"] + (spot["room"] & 0xFFFFFFFF)]
                     out.append((id_, row, spot["gram"], spot["parts"], start, frame))
             if out:
                 yield record_batch(schema, *zip(*out))
@@ -287,22 +288,29 @@ def repeated_spans(rows: DataFrame, winnowing: Winnowing = WINNOWING, crowd: int
     seeds = landed(anchors.join(landed(shared, "suffix-shared"), "gram"), "suffix-seeds")
 
     place = F.struct("_id", "_row", "at")
-    frames = seeds.groupBy("gram", "frame").agg(F.count("*").alias("n"), F.min(place).alias("one"))
+    frames = seeds.groupBy("gram", "frame").agg(
+        F.count("*").alias("n"), F.min(place).alias("one"), F.min("room").alias("room")
+    )
     frames = landed(frames, "suffix-frames-counted")
     whole = seeds.join(frames.where("n > 1").select("gram", "frame"), ["gram", "frame"]).select(
-        "_id", "_row", (F.col("at") - winnowing.reach).alias("start"), (F.col("at") + winnowing.least).alias("end")
+        "_id",
+        "_row",
+        (F.col("at") - F.shiftright("room", 32)).alias("start"),
+        (F.col("at") + F.col("room").bitwiseAND(0xFFFFFFFF)).alias("end"),
     )
 
     several = frames.groupBy("gram").agg(F.count("*").alias("frames")).where("frames > 1")
-    ones = frames.join(several, "gram").select(
-        "one.*", "gram", F.ceil(F.col("frames") / crowd).alias("parts")
+    # Landed, so that the frames of a crowded anchor are split over tasks.
+    ones = frames.join(landed(several, "suffix-several"), "gram").select(
+        "one.*", "gram", "room", F.ceil(F.col("frames") / crowd).alias("parts")
     )
-    spots = ones.groupBy("_id", "_row").agg(F.collect_list(F.struct("at", "gram", "parts")).alias("_at"))
+    spots = ones.groupBy("_id", "_row").agg(F.collect_list(F.struct("at", "gram", "room", "parts")).alias("_at"))
     found = rows.alias("d").join(spots.alias("p"), same_row("d", "p")).select("d.*", "p._at")
     schema = f"{ROW}, gram long, parts long, start long, bytes binary"
-    cut = landed(map_batches(found, _cut_out(winnowing), schema), "suffix-frames")
+    cut = landed(map_batches(found, _cut_out(), schema), "suffix-frames")
 
-    part = F.pmod(F.xxhash64("_id", "_row"), F.col("parts"))
+    # By stretches of a document, which may hold an anchor very often.
+    part = F.pmod(F.xxhash64("_id", "_row", F.shiftright("start", 14)), F.col("parts"))
     dealt = cut.withColumn("part", part).repartition("gram", "part").sortWithinPartitions("gram", "part")
     schema = f"{ROW}, start long, end long, h1 long, h2 long"
     scanned = landed(map_batches(dealt, _suffix_sorted(winnowing.least), schema), "suffix-repeats")
