@@ -443,22 +443,7 @@ def collocations(
     index = landed_by(shard_indexes(docs, max_words), "shard", "fm-index")
     frequent = landed(phrase_counts(index, max_words, least), "phrase-counts")
     totals = index.groupBy("lang").agg(F.sum("n_words").alias("n"))
-    split = F.split("phrase", " ")
-
-    def some(begin, size):
-        return F.array_join(F.slice(split, begin, size), " ")
-
     candidates = frequent.where("words > 1").select("lang", "phrase", "words", F.col("f").alias("a"))
-    cuts = candidates.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("words") - 1)))
-    cuts = cuts.withColumns({"first": some(F.lit(1), F.col("k")), "rest": some(F.col("k") + 1, F.col("words"))})
-    for part, count in (("first", "l"), ("rest", "r")):
-        known = frequent.select("lang", F.col("phrase").alias(part), F.col("f").alias(count))
-        cuts = cuts.join(known, ["lang", part])
-    a, left, right = (F.col(c).cast("decimal(19,0)") for c in ("a", "l", "r"))
-    score = F.call_function("div", a * a * F.lit(1_000_000).cast("decimal(7,0)"), left * right)
-    scored = cuts.groupBy("lang", "phrase", "words", "a").agg(
-        F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("cut")
-    )
     # Phrases inside a longer one, with the most frequent of those around them.
     part = F.explode(
         F.expr(
@@ -472,11 +457,27 @@ def collocations(
         .groupBy("lang", "phrase")
         .agg(F.max("longer").alias("longer"))
     )
-    alone = scored.join(around, ["lang", "phrase"], "left").where(
+    alone = candidates.join(around, ["lang", "phrase"], "left").where(
         F.col("longer").isNull() | (100 * F.col("longer") < inside_percent * F.col("a"))
     )
+    split = F.split("phrase", " ")
+
+    def some(begin, size):
+        return F.array_join(F.slice(split, begin, size), " ")
+
+    # Both parts of a cut make the phrase: it need not travel with them.
+    cuts = alone.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("words") - 1))).select(
+        "lang", "a", "k", some(F.lit(1), F.col("k")).alias("first"), some(F.col("k") + 1, F.col("words")).alias("rest")
+    )
+    for known, count in (("first", "l"), ("rest", "r")):
+        cuts = cuts.join(frequent.select("lang", F.col("phrase").alias(known), F.col("f").alias(count)), ["lang", known])
+    a, left, right = (F.col(c).cast("decimal(19,0)") for c in ("a", "l", "r"))
+    score = F.call_function("div", a * a * F.lit(1_000_000).cast("decimal(7,0)"), left * right)
+    scored = cuts.groupBy("lang", F.concat_ws(" ", "first", "rest").alias("phrase"), "a").agg(
+        F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("cut")
+    )
     best = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase")
-    ranked = alone.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+    ranked = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
     return ranked.join(totals, "lang").select(
         "lang", F.col("rank").cast("long"), "phrase", "a", "cut.l", "cut.r", "n", "cut.score"
     )
