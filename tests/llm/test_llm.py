@@ -283,10 +283,14 @@ def test_exact_groups(docs, none):
 
 
 def test_runs_are_sorted_and_merged(docs):
-    from tillwork.llm.exact_dedup import copy_groups
+    from tillwork.llm.exact_dedup import KEY, _members, merge_runs
 
-    plan = copy_groups(docs)._jdf.queryExecution().toString()
+    merged = merge_runs(_members(docs, "doc_id", "text"))
+    plan = merged._jdf.queryExecution().toString()
     assert "SortAggregate" in plan and "Python" not in plan
+    # One exchange for the members, and one in each of two rounds.
+    executed = merged._jdf.queryExecution().sparkPlan().toString()
+    assert executed.count("SortAggregate") == 4 and merged.columns == [*KEY, "_keep_id", "_size"]
 
 
 # 5

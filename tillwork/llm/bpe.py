@@ -33,7 +33,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.llm.common import bounded_batches, read_table
+from tillwork.llm.common import bounded_batches, read_table, set_aside
 from tillwork.llm.registry import query
 
 CHUNK_CHARS = 1 << 18
@@ -359,10 +359,10 @@ def decode_documents(docs: DataFrame, vocabulary: Vocabulary, ids: str = "token_
             )
 
     bounded_batches(docs.sparkSession)
-    out = docs.withColumn("_decoded", decode(F.col(ids)))
-    return out.withColumns(
-        {"decoded": F.col("_decoded.decoded"), "decoded_chars": F.col("_decoded.chars")}
-    ).drop("_decoded")
+    docs, columns = set_aside(docs, "_decoded")
+    made = {"decoded": F.col("_decoded.decoded"), "decoded_chars": F.col("_decoded.chars")}
+    out = docs.withColumn("_decoded", decode(F.col(ids))).withColumns(made)
+    return out.select(*columns, *(c for c in made if c not in docs.columns))
 
 
 def _little(ids: array) -> bytes:

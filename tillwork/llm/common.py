@@ -48,6 +48,23 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def set_aside(docs: DataFrame, *working: str) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with the columns that have an operator's working names renamed, and the columns that
+    give them back in their order. Where no name clashes, ``docs`` itself."""
+    taken, names = {name.lower() for name in (*docs.columns, *working)}, {}
+    for name in docs.columns:
+        if name.lower() in {w.lower() for w in working}:
+            other = f"_kept{name}"
+            while other.lower() in taken:
+                other = f"_kept{other}"
+            taken.add(other.lower())
+            names[name] = other
+    return (
+        docs.withColumnsRenamed(names) if names else docs,
+        [F.col(names[c]).alias(c) if c in names else F.col(c) for c in docs.columns],
+    )
+
+
 def landed(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read back: cuts lineage, and tells the planner
     how large the table really is, so that it broadcasts only what is small. A landed side also lets

@@ -9,8 +9,8 @@ that makes up a third of all rows is spread over all runs first and is one row p
 A merge is verified: rows meet only if SHA-256, a second independent hash and the length all agree.
 
 Defined cases: a null text counts as empty. A null identifier is smaller than every other. Rows that
-repeat both identifier and text are one document: all are reported, one is kept. Other columns pass
-through ``drop_copies``; an empty table gives an empty result.
+repeat both identifier and text are one document: all are reported, one is kept. Other columns, whatever
+their names, pass through ``drop_copies``; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.llm.common import landed, read_table
+from tillwork.llm.common import landed, read_table, set_aside
 from tillwork.llm.registry import query
 
 RUNS = 64
@@ -79,6 +79,7 @@ def drop_copies(
     docs: DataFrame, keep: str = "max", doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """The documents that stay, in their columns."""
+    docs, columns = set_aside(docs, *KEY, "_keep_id")
     members = _members(docs, doc_id, text)
     stay = merge_runs(members, keep).select(*KEY, F.col("_keep_id"))
     keys = [*KEY, "_keep_id"]
@@ -91,7 +92,7 @@ def drop_copies(
             "left_semi",
         )
         .dropDuplicates(keys)
-        .select(*docs.columns)
+        .select(*columns)
     )
 
 

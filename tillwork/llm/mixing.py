@@ -15,7 +15,7 @@ per range.
 Defined cases: a null text has size 0, a null source is a source of its own (last in order), a null
 identifier is ordered like an empty one. A document of size 0 is repeated as its place in the order
 says. Sources without words have target 0; an empty table gives an empty result. Repeated rows are
-drawn one by one. Other columns pass through; the result adds one struct column, ``mix``.
+drawn one by one. Other columns, whatever their names, pass through; the result adds one struct column.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwork.llm.common import landed, read_table, words_of
+from tillwork.llm.common import landed, read_table, set_aside, words_of
 from tillwork.llm.registry import query
 
 #: Of the first, second and third source by code point, and so on in turn.
@@ -85,10 +85,18 @@ def source_targets(sources: DataFrame, weights=WEIGHTS, share=SHARE, max_epochs=
     return stepped.crossJoin(poured).select("_src", "_source_size", target.alias("_target"))
 
 
+#: Columns the mix works with.
+WORKING = (
+    "_src _size _draw _bucket _bucket_size _source_size _target _before _whole _part _copies _level _cap"
+).split()
+
+
 def mix_documents(
-    docs: DataFrame, weights=WEIGHTS, share=SHARE, max_epochs=MAX_EPOCHS, seed=SEED
+    docs: DataFrame, weights=WEIGHTS, share=SHARE, max_epochs=MAX_EPOCHS, seed=SEED, into="mix"
 ) -> DataFrame:
-    """``docs`` with ``mix``: size, source_size, target, copies, taken."""
+    """``docs`` with one more column ``into``: size, source_size, target, copies, taken. A column of
+    that name is replaced, all others pass through."""
+    docs, columns = set_aside(docs.drop(into), *WORKING)
     name = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     rows = (
         docs.withColumns(
@@ -133,16 +141,15 @@ def mix_documents(
     return (
         rows.join(cuts, ["_src", "_bucket"])
         .withColumn("_copies", F.least(copies, F.lit(max_epochs)))
-        .withColumn("mix", mix)
-        .select(*(c for c in docs.columns if c != "mix"), "mix")
+        .select(*columns, mix.alias(into))
     )
 
 
 def mixed(docs: DataFrame, **settings) -> DataFrame:
     """The mix itself: documents as often as it takes them, in the columns of ``docs``."""
-    times = F.explode(F.array_repeat(F.lit(0), F.col("mix.copies").cast("int")))
-    others = [c for c in docs.columns if c != "mix"]
-    return mix_documents(docs.select(*others), **settings).withColumn("_time", times).select(*others)
+    docs, columns = set_aside(docs, "_mix", "_time")
+    times = F.explode(F.array_repeat(F.lit(0), F.col("_mix.copies").cast("int")))
+    return mix_documents(docs, **settings, into="_mix").withColumn("_time", times).select(*columns)
 
 
 SQL = rf"""

@@ -16,7 +16,7 @@ is links, not pairs.
 
 Defined cases: a text of fewer than five words has one shingle, all its words; one without words has
 none and is like equal texts only. A null text counts as empty. Rows of equal text share a class;
-null identifiers come after all others in the choice of the one that stays. Other columns pass through
+null identifiers come after all others in the choice of the one that stays. Other columns, whatever their names, pass through
 ``keep_one_of_each``; an empty table gives an empty result.
 """
 
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.llm.common import landed, map_batches, read_table, record_batch
+from tillwork.llm.common import landed, map_batches, read_table, record_batch, set_aside
 from tillwork.llm.components import components
 from tillwork.llm.hashing import mix, word_hashes, words_in
 from tillwork.llm.registry import query
@@ -337,6 +337,7 @@ def near_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 
 def keep_one_of_each(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """One document of each class, in the columns of ``docs``."""
+    docs, columns = set_aside(docs, "_id", "_node")
     stay = near_classes(docs, least).where("kept").select(F.col("doc_id").alias("_id"), F.col("node").alias("_node"))
     text = F.coalesce(F.col("text"), F.lit(""))
     node = F.unhex(F.substring(F.sha2(text, 256), 1, 32))
@@ -349,7 +350,7 @@ def keep_one_of_each(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
             "left_semi",
         )
         .dropDuplicates(["_id", "_node"])
-        .select(*docs.columns)
+        .select(*columns)
     )
 
 

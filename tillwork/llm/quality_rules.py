@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.llm.common import SPACE, WORD, bound, read_table, words_of
+from tillwork.llm.common import SPACE, WORD, bound, read_table, set_aside, words_of
 from tillwork.llm.registry import query
 
 WINDOW = 5
@@ -105,9 +105,17 @@ def _fails(line: Column, rules: LineRules) -> Column:
     return line.rlike(WORD) & (F.coalesce(marked, F.lit(False)) | furniture)
 
 
+#: What ``judge_documents`` adds.
+JUDGED = (
+    "n_words word_chars n_symbols n_dup_lines n_repeat_words n_failed_lines n_lost_words clean_text "
+    "base_failed kept"
+).split()
+
+
 def judge_documents(docs: DataFrame, rules: LineRules = RULES, text: str = "text") -> DataFrame:
     """``docs`` with the base figures, the lines' verdict, ``kept``, and the text without its failing
-    lines in ``clean_text`` (null where the text is null)."""
+    lines in ``clean_text`` (null where the text is null). Columns of these names are replaced."""
+    docs, columns = set_aside(docs, "_w", "_l")
     body = F.coalesce(F.col(text), F.lit(""))
 
     def count(words: Column) -> Column:
@@ -139,7 +147,7 @@ def judge_documents(docs: DataFrame, rules: LineRules = RULES, text: str = "text
     base_failed = (F.col("n_words") < 10) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * 20
     )
-    return (
+    judged = (
         docs.withColumns({"_w": bound(words, count), "_l": bound(lines, lines_of)})
         .withColumns(
             {
@@ -161,16 +169,18 @@ def judge_documents(docs: DataFrame, rules: LineRules = RULES, text: str = "text
             & (F.col("n_lost_words") * 100 <= F.col("n_words") * rules.lost_percent),
         )
     )
+    return judged.select(*columns, *(name for name in JUDGED if name not in docs.columns))
 
 
 def keep_clean(docs: DataFrame, rules: LineRules = RULES) -> DataFrame:
     """The documents that pass, without their failing lines, in the columns of ``docs``."""
+    docs, columns = set_aside(docs, *JUDGED)
     judged = judge_documents(docs, rules).where("kept").withColumn("text", F.col("clean_text"))
     if "n_chars" in docs.columns:
         judged = judged.withColumn(
             "n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)
         )
-    return judged.select(*docs.columns)
+    return judged.select(*columns)
 
 
 SQL = rf"""
