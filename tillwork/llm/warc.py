@@ -200,9 +200,15 @@ def _row(data: bytes) -> tuple:
 
 def read_records(index: DataFrame, folder: str) -> DataFrame:
     """The records of the index rows, which may be any selection of an index. A revisit has no
-    payload of its own."""
+    payload of its own.
+
+    Index rows are small and what they point to is not, so the number of tasks follows from the bytes
+    to be read, one for some BLOCK_BYTES; a task gets neighbouring blocks of the archives.
+    """
+    wanted = index.select("file", "offset", "length")
+    tasks = -(-(wanted.agg(F.sum("length")).first()[0] or 1) // BLOCK_BYTES)
     block = F.floor(F.col("offset") / BLOCK_BYTES)
-    dealt = index.select("file", "offset", "length").repartition("file", block)
+    dealt = wanted.repartitionByRange(tasks, "file", block)
     return map_batches(dealt.sortWithinPartitions("file", "offset"), _reader(folder), RECORD_DDL)
 
 
