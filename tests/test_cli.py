@@ -122,3 +122,42 @@ def test_a_topic_is_needed(capsys):
     with pytest.raises(SystemExit):
         main(["publish", "--csv", "x.csv", "--servers", "host:9092"])
     assert "--topic" in capsys.readouterr().err
+
+
+def test_publish_with_a_ledger(spark, tmp_path, capfd):
+    (tmp_path / "c.csv").write_text("id,name\n1,Ann\n2,\n")
+    topic = str(tmp_path / "topic")
+    publish = ["publish", "--csv", str(tmp_path / "c.csv"), "--topic-dir", topic]
+    publish += ["--ledger", str(tmp_path / "ledger")]
+    main(publish)
+    (tmp_path / "c.csv").write_text("id,name\n1,Ann\n2,\n3,Bo\n")
+    main(publish)
+    sent = spark.read.option("recursiveFileLookup", "true").text(topic).collect()
+    assert sorted(r.value for r in sent) == ['{"id":"1","name":"Ann"}', '{"id":"2"}', '{"id":"3","name":"Bo"}']
+    out = capfd.readouterr().out
+    assert "2 new messages" in out and "1 new messages" in out
+
+
+def test_a_ledger_sets_the_key(capsys):
+    with pytest.raises(SystemExit):
+        main(["publish", "--csv", "x", "--servers", "h:1", "--topic", "t", "--key", "id", "--ledger", "l"])
+    assert "--ledger" in capsys.readouterr().err
+
+
+def test_compact(spark, tmp_path, capfd):
+    (tmp_path / "c.csv").write_text("id,name\n1,Ann\n2,\n")
+    topic, out, large = (str(tmp_path / name) for name in ("topic", "out", "large"))
+    main(["publish", "--csv", str(tmp_path / "c.csv"), "--topic-dir", topic])
+    feed = ["feed", "--columns", "id,name", "--topic-dir", topic, "--out", out, "--available-now"]
+    main([*feed, "--checkpoint", str(tmp_path / "ckpt")])
+    main(["compact", "--columns", "id,name", "--sink", out, "--out", large])
+    assert "files compacted" in capfd.readouterr().out
+    assert spark.read.parquet(f"{large}/rows/*").count() == 2
+
+
+def test_revenue(spark, inputs):
+    out = str(inputs / "out")
+    main(["revenue", *arguments(inputs, "sales", "products"), "--json-documents", "--out", out])
+    rows = spark.read.parquet(f"{out}/revenue_by_year_month").collect()
+    assert [(float(r.revenue), r.units, r.unpriced_units) for r in rows] == [(20.0, 2, None)]
+    assert spark.read.parquet(f"{out}/unpriced_products").count() == 0

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tillwork.plans.feed import drain_feed
 from tillwork.session import scratch_path
 from tillwork.sources.files import read_csv
+from tillwork.streaming.compaction import compact, read_compacted
 from tillwork.streaming.endpoints import file_topic_stream
 from tillwork.streaming.ledger import publish_once, to_files
 from tillwork.streaming.messages import parse_messages
@@ -82,3 +84,17 @@ def republish_once(spark, sf_dir):
         publish_once(delivery, f"{root}/ledger", to_files(f"{root}/topic"))
     messages = spark.read.option("recursiveFileLookup", "true").text(f"{root}/topic")
     return parse_messages(messages, rows.schema)
+
+
+@query(EVENTS_SQL)
+def stream_compacted(spark, sf_dir):
+    """Events stored by a feed in two deliveries of many files, compacted after each and once in vain."""
+    root = scratch_path(spark, "compacted")
+    rows = events(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    for delivery in halves(rows, "ts"):
+        publish(delivery.repartition(8), f"{root}/topic")
+        stream = file_topic_stream(spark, f"{root}/topic", max_files_per_trigger=4)
+        drain_feed(stream, rows.schema, f"{root}/out", f"{root}/checkpoint")
+        for _ in range(2):
+            compact(spark, f"{root}/out", f"{root}/large", rows.schema)
+    return exact_time(read_compacted(spark, f"{root}/out", f"{root}/large", rows.schema))
