@@ -113,7 +113,9 @@ def deliver_activity(added: DataFrame, root: str, removed: DataFrame | None = No
         .where("lines > 0")
     )
     run = _run(path)
-    written = tables.write(after.select(*schema.names, "_part"), "orders", run, "_part")
+    # A month's rows come together, a large month's over several tasks: few files, and no hot one.
+    gathered = after.select(*schema.names, "_part").hint("rebalance", F.col("_part"))
+    written = tables.write(gathered, "orders", run, "_part")
     kept = {part: folders for part, folders in listing.get("orders", {}).items() if part not in months}
     changed = {"orders": kept | written}
     # Totals: as they were, less what those months held, plus what they hold now.
