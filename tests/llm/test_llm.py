@@ -4,8 +4,10 @@ import base64
 import collections
 import hashlib
 import itertools
+import math
 import os
 import random
+import re
 
 import numpy as np
 import pytest
@@ -557,14 +559,26 @@ def test_classifier_cases(spark, docs, none):
 # 10
 
 
-def brute_classes(rows, least=0.8):
-    from tillwork.llm.near_dedup import probability_jaccard, weighted_shingles
+def brute_weights(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    width = min(5, len(words))
+    runs = [tuple(words[i : i + width]) for i in range(len(words) - width + 1)] if words else []
+    return {run: 1 + math.log(n) for run, n in collections.Counter(runs).items()}
+
+
+def brute_similarity(a, b):
+    """The definition, term by term."""
+    every = sorted(a.keys() | b.keys())
+    x, y = (np.array([s.get(j, 0.0) for j in every]) for s in (a, b))
+    return sum(1 / np.maximum(x / a[i], y / b[i]).sum() for i in a.keys() & b.keys())
+
 
+def brute_classes(rows, least=0.8):
     texts = sorted({t or "" for _, t in rows})
-    shingles = [weighted_shingles(t) for t in texts]
+    weights = [brute_weights(t) for t in texts]
     label = list(range(len(texts)))
     for a, b in itertools.combinations(range(len(texts)), 2):
-        if probability_jaccard(shingles[a], shingles[b]) >= least - 1e-9:
+        if label[a] != label[b] and brute_similarity(weights[a], weights[b]) >= least - 1e-9:
             old, new = label[a], label[b]
             label = [new if c == old else c for c in label]
     first = {}
@@ -585,11 +599,14 @@ def test_probability_jaccard():
     assert (x == y).mean() == pytest.approx(want, abs=0.05)
 
 
-@pytest.mark.parametrize("block", [512, 2])
-def test_near_classes(spark, docs, none, monkeypatch, block):
+@pytest.mark.parametrize(
+    "block, block_bytes, agreeing", [(2048, 1 << 24, None), (2, 1 << 24, None), (3, 900, None), (2048, 1 << 24, 0)]
+)
+def test_near_classes(spark, docs, none, monkeypatch, block, block_bytes, agreeing):
     from tillwork.llm import near_dedup
 
     monkeypatch.setattr(near_dedup, "BLOCK", block)
+    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", block_bytes)
     random.seed(9)
     base = [f"w{random.randrange(400)}" for _ in range(120)]
     rows = pairs(docs)
@@ -599,7 +616,7 @@ def test_near_classes(spark, docs, none, monkeypatch, block):
             words[random.randrange(120)] = f"new{random.randrange(10**6)}"
         rows.append((200 + i, " ".join(words)))
     texts = spark.createDataFrame(rows, "doc_id long, text string")
-    got = near_dedup.near_classes(texts).collect()
+    got = near_dedup.near_classes(texts, agreeing=agreeing).collect()
     assert counted((r.doc_id, r.class_id) for r in got) == brute_classes(rows)
     kept = near_dedup.keep_one_of_each(docs)
     assert kept.columns == docs.columns
@@ -607,6 +624,37 @@ def test_near_classes(spark, docs, none, monkeypatch, block):
     assert near_dedup.near_classes(none).count() == near_dedup.keep_one_of_each(none).count() == 0
 
 
+def test_texts_that_only_share_a_passage_are_not_dealt(spark, monkeypatch):
+    from tillwork.llm import near_dedup
+
+    seen = {}
+
+    def spy(name, function):
+        def noted(*args):
+            rows = function(*args)
+            seen[name] = (args[0].count(), rows.count())
+            return rows
+
+        monkeypatch.setattr(near_dedup, name, noted)
+
+    spy("_met_in_pairs", near_dedup._met_in_pairs)
+    spy("_in_parts", near_dedup._in_parts)
+    random.seed(4)
+    passage = [f"p{random.randrange(10**6)}" for _ in range(120)]
+
+    def text(own):
+        return " ".join(passage + [f"q{random.randrange(10**6)}" for _ in range(own)])
+
+    rows = [(i, text(60)) for i in range(80)]  # half alike
+    twin = rows[0][1].split()
+    rows.append((90, " ".join([*twin[:-4], "a", "b", "c", "d"])))
+    got = near_dedup.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert counted((r.doc_id, r.class_id) for r in got) == brute_classes(rows)
+    shared, dealt = seen["_met_in_pairs"]
+    assert shared > 100 and 0 < dealt <= shared  # sketches, once each
+    assert seen["_in_parts"][0] <= 4  # texts
+
+
 def extra(docs):
     """Classes that share an identifier with another: two texts of one doc_id, or of none."""
     classes = brute_classes(pairs(docs))
@@ -614,14 +662,11 @@ def extra(docs):
 
 
 def brute_labels(docs):
-    from tillwork.llm.near_dedup import probability_jaccard, weighted_shingles
-
     heads = []
     for text in sorted({t or "" for _, t in pairs(docs)}):
-        if not any(
-            probability_jaccard(weighted_shingles(text), weighted_shingles(h)) >= 0.8 - 1e-9 for h in heads
-        ):
-            heads.append(text)
+        weights = brute_weights(text)
+        if not any(brute_similarity(weights, h) >= 0.8 - 1e-9 for h in heads):
+            heads.append(weights)
     return heads
 
 

@@ -9,10 +9,17 @@ form BANDS bands of ROWS; texts that agree on a whole band are compared exactly.
 
 Equal texts are one node. In a bucket all nodes are compared with one centre, the node with the most
 company in all its buckets, so a large group of copies of one text costs comparisons in proportion to
-its size. Only buckets that then still hold several classes are looked at again, in blocks of at most
-BLOCK nodes: signatures are compared as arrays, and texts only where they may be similar, are of
-different classes, and share no earlier bucket. So no link between classes is lost, and what comes out
-is links, not pairs.
+its size. Only buckets that then still hold several classes are looked at again, in two steps. First
+sketches, a byte for each place, are dealt to pairs of blocks of some BLOCK nodes and compared as arrays:
+nodes outside a bucket's largest class against all, those inside it only against those outside. Nodes
+that agree with none of another class end there. Then the texts of the others, and no more, go to the
+pairs of blocks in which they agree with some, in parts of some BLOCK_BYTES of text; a pair is compared
+exactly in the first bucket that it shares, while its classes are still apart. What comes out is links,
+not pairs.
+
+Sketches must agree on ``agreeing`` of the COMPONENTS places, by default five standard deviations below
+what texts of the least similarity agree on, so 6e-7 of such pairs are lost. With ``agreeing=0`` every
+pair of a bucket is compared exactly.
 
 Defined cases: a text of fewer than five words has one shingle, all its words; one without words has
 none and is like equal texts only. A null text counts as empty. Rows of equal text share a class;
@@ -43,12 +50,14 @@ COMPONENTS = BANDS * ROWS
 #: Shingles whose arrivals are made together; bounds memory, not what is compared.
 TOGETHER = 1 << 19
 
-#: Nodes of one bucket that are compared with each other in one place; larger buckets are dealt in
-#: pairs of blocks.
-BLOCK = 512
-#: Places (of COMPONENTS) that two texts must agree on to be compared: five standard deviations below
-#: what texts of the least similarity agree on.
-def _agreeing(least: float) -> int:
+#: Nodes of one bucket whose sketches are compared with each other in one place, and the bytes of text
+#: in one place; what is more is dealt in pairs of blocks. Both change how work is dealt, not its result.
+BLOCK = 2048
+BLOCK_BYTES = 16 << 20
+
+
+def expected_agreement(least: float) -> int:
+    """Five standard deviations below the places that texts of the least similarity agree on."""
     return int(COMPONENTS * least - 5 * (COMPONENTS * least * (1 - least)) ** 0.5)
 
 
@@ -200,18 +209,87 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return map_batches(rows, _verify, schema).where(F.col("similarity") >= least - 1e-9)
 
 
-def _apart(least: float):
-    """Links between the classes of a bucket's block or pair of blocks."""
+def _candidates(key: int, apart: list[np.ndarray], classes, bands, sketches, agreeing: int):
+    """Rows of a group, and for each the rows of other classes it may be similar to, likeliest first.
+
+    One of the two is always outside the group's largest class. ``apart`` holds block numbers that must
+    differ. A pair belongs to the first bucket that it shares.
+    """
+    band = np.array(bands)
+    sketch = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(bands), COMPONENTS)
+    here = int(np.flatnonzero(band[0] == key)[0])
+    number = {c: i for i, c in enumerate(dict.fromkeys(classes))}
+    code = np.array([number[c] for c in classes])
+    outside = code != np.bincount(code).argmax()
+    for x in np.flatnonzero(outside):
+        other = (code != code[x]) & ~outside
+        other[x + 1 :] |= code[x + 1 :] != code[x]
+        for block in apart:
+            other &= block != block[x]
+        ys = np.flatnonzero(other)
+        agree = (sketch[ys] == sketch[x]).sum(axis=1)
+        ys, agree = ys[agree >= agreeing], agree[agree >= agreeing]
+        first = (band[ys] == band[x]).argmax(axis=1) == here
+        ys, agree = ys[first], agree[first]
+        if len(ys):
+            yield int(x), ys[np.argsort(-agree, kind="stable")]
+
+
+def _grouped(
+    batches: Iterator[pa.RecordBatch], by: list[str], others: list[str]
+) -> Iterator[tuple[tuple, list[tuple]] | None]:
+    """Groups of two rows or more that lie together, as key and columns; None at the end of a batch."""
+    key, rows = None, []
+    for batch in batches:
+        keys = zip(*(batch.column(c).to_pylist() for c in by))
+        for at, row in zip(keys, zip(*(batch.column(c).to_pylist() for c in others))):
+            if at != key:
+                if len(rows) > 1:
+                    yield key, list(zip(*rows))
+                key, rows = at, []
+            rows.append(row)
+        yield None
+    if len(rows) > 1:
+        yield key, list(zip(*rows))
+
+
+_PAIRED = "_key long, _i long, _j long, _node binary, _class binary, _block long, _bytes long"
+
+
+def _may_link(agreeing: int):
+    """The rows of a pair of blocks whose sketches agree with one of another class."""
+    schema = pa.schema(
+        [
+            ("_key", pa.int64()), ("_i", pa.int64()), ("_j", pa.int64()), ("_node", pa.binary()),
+            ("_class", pa.binary()), ("_block", pa.int64()), ("_bytes", pa.int64()),
+        ]
+    )
+    others = ["_node", "_class", "_block", "_bytes", "_bands", "_sketch"]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _grouped(batches, ["_key", "_i", "_j"], others):
+            if group is None:
+                continue
+            (key, i, j), (nodes, classes, blocks, sizes, bands, sketches) = group
+            met = np.zeros(len(nodes), bool)
+            apart = [np.array(blocks)] if i != j else []
+            for x, ys in _candidates(key, apart, classes, bands, sketches, agreeing):
+                met[x] = True
+                met[ys] = True
+            found = [(key, i, j, nodes[x], classes[x], blocks[x], sizes[x]) for x in np.flatnonzero(met)]
+            if found:
+                yield record_batch(schema, *zip(*found))
+
+    return work
+
+
+def _apart(least: float, agreeing: int):
+    """Links between the classes of a pair of blocks."""
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("similarity", pa.float64())])
-    agreeing = _agreeing(least)
-
-    def links(key: int, i: int, j: int, rows: list[tuple]) -> list[tuple]:
-        nodes, classes, centre, blocks, bands, sketches, texts = zip(*rows)
-        band = np.array(bands)
-        sketch = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(rows), COMPONENTS)
-        here = int(np.flatnonzero(band[0] == key)[0])
-        block = np.array(blocks)
-        centre = np.array([n == c for n, c in zip(nodes, centre)])
+    others = ["_node", "_class", "_block", "_part", "_bands", "_sketch", "_text"]
+
+    def links(key: int, i: int, j: int, p: int, q: int, columns: list[tuple]) -> list[tuple]:
+        nodes, classes, blocks, parts, bands, sketches, texts = columns
         parent = {c: c for c in classes}
 
         def root(c: bytes) -> bytes:
@@ -219,48 +297,78 @@ def _apart(least: float):
                 parent[c] = c = parent[parent[c]]
             return c
 
+        apart = ([np.array(blocks)] if i != j else []) + ([np.array(parts)] if p != q else [])
         found = []
-        for x in range(len(rows) - 1):
-            if centre[x] or not np.any(block[x + 1 :] != block[x]) and i != j:
-                continue
-            agree = (sketch[x + 1 :] == sketch[x]).sum(axis=1)
-            other = (agree >= agreeing) & ~centre[x + 1 :]
-            if i != j:
-                other &= block[x + 1 :] != block[x]
-            ys = np.flatnonzero(other)
-            # A pair belongs to the first bucket that it shares.
-            ys = ys[(band[x + 1 + ys] == band[x]).argmax(axis=1) == here]
-            for y in (ys[np.argsort(-agree[ys], kind="stable")] + x + 1).tolist():
-                p, q = root(classes[x]), root(classes[y])
-                if p != q:
+        for x, ys in _candidates(key, apart, classes, bands, sketches, agreeing):
+            for y in ys.tolist():
+                one, two = root(classes[x]), root(classes[y])
+                if one != two:
                     similarity = probability_jaccard(_remembered(texts[x]), _remembered(texts[y]))
                     if similarity >= least - 1e-9:
-                        parent[p] = q
+                        parent[one] = two
                         found.append((min(nodes[x], nodes[y]), max(nodes[x], nodes[y]), similarity))
         return found
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, rows = None, []
-        columns = ("_key", "_i", "_j")
-        others = ("_node", "_class", "_centre", "_block", "_bands", "_sketch", "_text")
-        for batch in batches:
-            out = []
-            keys = zip(*(batch.column(c).to_pylist() for c in columns))
-            for at, row in zip(keys, zip(*(batch.column(c).to_pylist() for c in others))):
-                if at != key:
-                    out += links(*key, rows) if len(rows) > 1 else []
-                    key, rows = at, []
-                rows.append(row)
-            if out:
+        for group in _grouped(batches, ["_key", "_i", "_j", "_p", "_q"], others):
+            if group is not None and (out := links(*group[0], group[1])):
                 yield record_batch(schema, *zip(*out))
-        if len(rows) > 1 and (out := links(*key, rows)):
-            yield record_batch(schema, *zip(*out))
 
     return work
 
 
-def similar_links(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+def _met_in_pairs(classed: DataFrame, centres: DataFrame) -> DataFrame:
+    """Rows (_key, _node, _class) of buckets with several classes, dealt to pairs of blocks (_i, _j).
+
+    Blocks of nodes outside the bucket's largest class come first. Those nodes go to every block, the
+    others to the blocks outside: a bucket with few nodes outside costs in proportion to its size. A bucket
+    of at most BLOCK nodes is one block.
+    """
+    counts = classed.groupBy("_key", "_class").agg(F.count("*").alias("n"))
+    several = counts.groupBy("_key").agg(
+        F.max(F.struct("n", "_class")).alias("most"), F.sum("n").alias("all")
+    )
+    several = several.where("all > most.n").select(
+        "_key",
+        F.col("most._class").alias("_largest"),
+        F.ceil((F.col("all") - F.col("most.n")) / BLOCK).alias("_outer"),
+        F.when(F.col("all") <= BLOCK, 0).otherwise(F.ceil(F.col("most.n") / BLOCK)).alias("_inner"),
+    )
+    within = (F.col("_class") == F.col("_largest")) & (F.col("_inner") > 0)
+    inner = F.pmod(F.xxhash64("_node"), F.greatest("_inner", F.lit(1)))
+    block = F.when(within, F.col("_outer") + inner).otherwise(F.pmod(F.xxhash64("_node"), F.col("_outer")))
+    last = F.when(within, F.col("_outer")).otherwise(F.col("_outer") + F.col("_inner")) - 1
+    return (
+        classed.join(landed(several.join(centres, "_key"), "several"), "_key")
+        .where("_node != _centre")  # compared with all of them already
+        .withColumn("_block", block)
+        .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+        .select(
+            "_key", "_node", "_class", "_block",
+            F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j"),
+        )
+    )
+
+
+def _in_parts(rows: DataFrame) -> DataFrame:
+    """Rows of pairs of blocks, dealt to pairs of parts (_p, _q) of some BLOCK_BYTES of text."""
+    by = ["_key", "_i", "_j"]
+    sizes = rows.groupBy(*by).agg(F.ceil(F.sum("_bytes") / BLOCK_BYTES).alias("_parts"))
+    return (
+        rows.join(landed(sizes, "parts"), by)
+        .withColumn("_part", F.pmod(F.xxhash64("_node", F.lit(1)), F.col("_parts")))
+        .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)))
+        .withColumn("_p", F.least("_part", "_other"))
+        .withColumn("_q", F.greatest("_part", "_other"))
+        .select(*by, "_p", "_q", "_node", "_class", "_block", "_part")
+    )
+
+
+def similar_links(
+    docs: DataFrame, least: float = SIMILARITY, agreeing: int | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Every (_id, _node), and verified links (a, b) that connect all nodes found similar."""
+    agreeing = expected_agreement(least) if agreeing is None else agreeing
     schema = "_id long, _node binary, _bands array<long>, _sketch binary"
     signed = landed(map_batches(_keyed(docs), _sign, schema), "signatures")
     nodes = signed.groupBy("_node").agg(
@@ -296,31 +404,25 @@ def similar_links(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame
     classed = (
         buckets.where("_n > 2")
         .join(label, "_node", "left")
-        .select("_key", "_n", "_node", F.coalesce("_label", "_node").alias("_class"))
+        .select("_key", "_node", F.coalesce("_label", "_node").alias("_class"))
     )
-    several = classed.groupBy("_key").agg(F.min("_class").alias("lo"), F.max("_class").alias("hi"))
-    several = several.where("lo != hi").select("_key").join(centres, "_key")
-    blocks = F.ceil(F.col("_n") / BLOCK)
-    block = F.pmod(F.xxhash64("_node"), blocks)
-    rows = (
-        classed.join(several, "_key")
-        .withColumn("_block", block)
-        .withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select(
-            "_key", "_node", "_class", "_centre", "_block",
-            F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j"),
-        )
-        .join(texts.select("_node", "_bands", "_sketch", "_text"), "_node")
-    )
-    dealt = rows.repartition("_key", "_i", "_j").sortWithinPartitions("_key", "_i", "_j")
+    sketches = texts.select("_node", "_bands", "_sketch", F.octet_length("_text").cast("long").alias("_bytes"))
+    dealt = _met_in_pairs(classed, centres).join(sketches, "_node").repartition("_key", "_i", "_j")
+    dealt = dealt.sortWithinPartitions("_key", "_i", "_j")
+    met = landed(map_batches(dealt, _may_link(agreeing), _PAIRED), "met")
+    by = ["_key", "_i", "_j", "_p", "_q"]
+    rows = _in_parts(met).join(texts.select("_node", "_bands", "_sketch", "_text"), "_node")
+    dealt = rows.repartition(*by).sortWithinPartitions(*by)
     schema = "a binary, b binary, similarity double"
-    more = landed(map_batches(dealt, _apart(least), schema), "links").select("a", "b")
+    more = landed(map_batches(dealt, _apart(least, agreeing), schema), "links").select("a", "b")
     return signed.select("_id", "_node"), links.union(more)
 
 
-def near_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+def near_classes(
+    docs: DataFrame, least: float = SIMILARITY, agreeing: int | None = None
+) -> DataFrame:
     """One row per document: doc_id, its node, class_id (least identifier), class_size, kept."""
-    members, links = similar_links(docs, least)
+    members, links = similar_links(docs, least, agreeing)
     classes = components(links)
     label = classes.select(F.col("node").alias("_node"), "label")
     rows = members.join(label, "_node", "left").withColumn("label", F.coalesce("label", "_node"))
