@@ -155,6 +155,13 @@ def test_compact(spark, tmp_path, capfd):
     assert spark.read.parquet(f"{large}/rows/*").count() == 2
 
 
+def test_lines(spark, tmp_path, capfd):
+    (tmp_path / "d.json").write_text('[{"a": "}"},\n {"a": {"b": [1]}}]')
+    main(["lines", "--documents", str(tmp_path / "d.json"), "--out", str(tmp_path / "out")])
+    assert "2 records landed" in capfd.readouterr().out
+    assert {r.value for r in spark.read.text(str(tmp_path / "out")).collect()} == {'{"a": "}"}', '{"a": {"b": [1]}}'}
+
+
 def test_revenue(spark, inputs):
     out = str(inputs / "out")
     main(["revenue", *arguments(inputs, "sales", "products"), "--json-documents", "--out", out])

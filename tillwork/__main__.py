@@ -4,6 +4,7 @@
     python -m tillwork report  --customers C --products P --sales S --json-documents --out ROOT
     python -m tillwork enrich  --customers C --products P --json-lines --out ROOT --export-json J
     python -m tillwork revenue --products P --sales S --json-lines --out ROOT
+    python -m tillwork lines   --documents D --out ROOT
     python -m tillwork publish --csv C.csv --servers HOST:PORT --topic T --ledger L
     python -m tillwork compact --columns id,name --sink O --out ROOT
     python -m tillwork feed    --columns id,name --servers HOST:PORT --topic T --out O --checkpoint K
@@ -26,6 +27,7 @@ from tillwork.plans.feed import start_feed
 from tillwork.plans.layers import build_layers, land_sales
 from tillwork.plans.report import text_lines, write_report
 from tillwork.session import apply_runtime_conf
+from tillwork.sources.documents import land_documents
 from tillwork.sources.files import read_csv, read_json, write_table
 from tillwork.streaming.compaction import compact
 from tillwork.streaming.endpoints import (
@@ -63,6 +65,11 @@ def parser() -> argparse.ArgumentParser:
     layers.add_argument("--salt-file", help="file whose text, without line ends, salts the hashes")
     enrich.add_argument("--export-json", help="folder for the products as JSON Lines")
 
+    lines = jobs.add_parser("lines", help="land JSON documents of any size as JSON Lines")
+    lines.add_argument("--documents", required=True)
+    lines.add_argument("--out", required=True)
+    lines.add_argument("--mode", default="errorifexists", choices=["errorifexists", "overwrite"])
+
     publish = jobs.add_parser("publish", help="send each CSV row as a JSON message")
     publish.add_argument("--csv", required=True)
     publish.add_argument("--key", help="column that becomes the message key")
@@ -111,6 +118,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         products = entity("products")
         write_table(revenue_by_year_month(landed, products), f"{args.out}/revenue_by_year_month", args.mode)
         write_table(unpriced_products(landed, products), f"{args.out}/unpriced_products", args.mode)
+    elif args.job == "lines":
+        print(f"{land_documents(spark, args.documents, args.out, args.mode)} records landed")
     elif args.job == "compact":
         schema = schemas.all_strings(args.columns.split(","))
         print(f"{compact(spark, args.sink, args.out, schema)} files compacted")

@@ -42,7 +42,8 @@ def read_json(
     """JSON files; a cell that does not fit the schema is NULL and its row stays.
 
     ``multi_line=True`` reads one document or array of documents per file. Such a file cannot be
-    split, so its whole read is one task: supply many files, or JSON Lines and ``multi_line=False``.
+    split, so its whole read is one task: supply many files, or land the document with
+    ``documents.land_documents`` as JSON Lines and read those with ``multi_line=False``.
     The flag has no default: it must match the data, since JSON Lines read as one document yield the
     first line only.
     Without ``schema`` the types come from an extra pass over the data, with columns sorted by name.

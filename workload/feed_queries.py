@@ -11,6 +11,7 @@ from tillwork import schemas
 from tillwork.plans.feed import drain_feed
 from tillwork.schemas import all_strings
 from tillwork.session import scratch_path
+from tillwork.sources.documents import land_documents
 from tillwork.sources.files import read_csv, read_json, write_json
 from tillwork.streaming.endpoints import file_topic_stream, publish_to_files
 from tillwork.streaming.messages import parse_messages, raw_messages, to_messages
@@ -104,6 +105,15 @@ def json_scan_declared(spark, sf_dir):
     return read_json(spark, path, schemas.PRODUCTS, multi_line=False)
 
 
+@query(f"WITH {PRODUCTS_SQL} SELECT * FROM products")
+def json_document_landed(spark, sf_dir):
+    """Documents landed as JSON Lines from byte ranges."""
+    path, out = scratch_path(spark, "products-arrays"), scratch_path(spark, "products-lines")
+    write_json_arrays(products(spark, sf_dir), path)
+    land_documents(spark, path, out)
+    return read_json(spark, out, PRODUCTS_DDL, multi_line=False)
+
+
 @query(
     f"""WITH {PRODUCTS_SQL} SELECT * REPLACE
     (CAST(ProductSubcategoryKey AS BIGINT) AS ProductSubcategoryKey) FROM products"""
