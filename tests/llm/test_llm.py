@@ -169,6 +169,58 @@ def test_license_lead_ins():
                 assert identify(lead + wording[1:])[0] == name
 
 
+BSD_TEXT = (
+    "Copyright (c) 2020, Ann. Redistribution and use in source and binary forms, with or without modification, are "
+    "permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the "
+    "above copyright notice, this list of conditions and the following disclaimer.\n2. Redistributions in binary form "
+    "must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+    "documentation and/or other materials provided with the distribution.\n"
+)
+THIRD = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission.\n"
+)
+
+
+@pytest.mark.parametrize(
+    "text, licenses",
+    [
+        (BSD_TEXT, {"BSD-2-Clause"}),
+        (BSD_TEXT + THIRD, {"BSD-3-Clause"}),
+        ("This is not licensed under the MIT License.", set()),
+        ("It isn't licensed under the MIT License.", set()),
+        ("It is no longer released under the MIT License.", set()),
+        ("We did not ask. Licensed under the MIT License.", {"MIT"}),
+        ("It is licensed under the MIT License, not licensed under CC BY 4.0.", {"MIT"}),
+        ("// SPDX-License-Identifier: MIT\nint x;", {"MIT"}),
+        ("# SPDX-License-Identifier: Apache-2.0", {"Apache-2.0"}),
+        ("# SPDX-License-Identifier: Apache-9.0", set()),
+        ("# SPDX-License-Identifier: MITRE", set()),
+        ("Licensed under a Creative Commons Attribution 4.0 International License.", {"CC-BY-4.0"}),
+        ("Licensed under a Creative Commons Attribution 2.0 International License.", set()),
+        ("This is free and unencumbered software released into the public domain.", {"Unlicense"}),
+        ("This is costly software, not in the public domain.", set()),
+        ("Distributed under the Boost Software License, Version 1.0.", {"BSL-1.0"}),
+        ("Distributed under the Boost Software License, Version 2.0.", set()),
+    ],
+)
+def test_license_near_misses(text, licenses):
+    from tillwork.llm.license_scan import scan
+
+    assert {f["license"] for f in scan(text)} - {None} == licenses
+
+
+def test_license_versions_are_told_apart():
+    from tillwork.llm.license_scan import TEMPLATES, scan
+
+    for name, wording in TEMPLATES:
+        for changed in (wording, wording.replace("either ", "").replace("a Creative", "Creative")):
+            assert [f["license"] for f in scan(f"Some text.\n{changed}\nMore.") if f["license"]] == [name]
+        other = re.sub(r"\d", "7", wording)
+        if other != wording:
+            assert not [f for f in scan(other) if f["license"]]
+
+
 def test_license_wrapped():
     from tillwork.llm.license_scan import TEMPLATES, scan
 
