@@ -276,6 +276,37 @@ def test_license_pattern_lets_wrapped_notices_through(spark):
         assert [f.license for f in row.licenses] == [row.name]
 
 
+def test_license_compression_ranks_before_wording(monkeypatch):
+    from tillwork.llm import license_scan
+    from tillwork.llm.license_scan import TEMPLATES, ranked, reductions, scan, words
+
+    # One word in another place: fewer words differ from GPL-3.0, but the block tells more of AGPL-3.0.
+    moved = "This work is licensed under the GNU General Affero Public License, version 3"
+    by_rank = [TEMPLATES[i][0] for i in ranked(" ".join(words(moved)))]
+    assert by_rank[0] == "AGPL-3.0"
+    for around in ("{}", "A lesser library.\n{}\nMore.", "Lesser General Public License? {}, or so."):
+        assert [f["license"] for f in scan(around.format(moved)) if f["license"]] == ["AGPL-3.0"]
+    # Every candidate is compressed with every template, and only then aligned with all, in order of rank.
+    steps, compress, align = [], license_scan.reductions, license_scan._confirmed
+    monkeypatch.setattr(license_scan, "reductions", lambda block: steps.append(block) or compress(block))
+    monkeypatch.setattr(license_scan, "_confirmed", lambda i, *block: steps.append(i) or align(i, *block))
+    block = "her driving license is old"
+    order = ranked(block)
+    del steps[:]
+    assert [f["license"] for f in scan("Her driving license is old.")] == [None]
+    assert steps == [block, *order] and len(reductions(block)) == len(order) == len(TEMPLATES)
+
+
+def test_license_far_from_its_cue():
+    from tillwork.llm.license_scan import scan
+
+    # A long line is taken in blocks; a notice without a cue of its own counts in a sentence that has one.
+    notice = "You may not use this file except in compliance with the terms"
+    for n in range(0, 400, 7):
+        line = "license " + "word " * n + notice + " word" * (399 - n)
+        assert [f["license"] for f in scan(line)] == ["Apache-2.0"]
+
+
 def test_license_notices_match_brute_force():
     from tillwork.llm.license_scan import LEAST_ALIKE, TEMPLATES, notices, words
 

@@ -1,20 +1,24 @@
 """License scans by conditional compression.
 
-A sentence that names licensing in any way is a candidate block. A template stands where its exact
-wording does: the words added, removed or replaced are listed, and they must be few and no version
-number among them. Line ends are blanks; the words of a notice may lie in several lines or sentences,
-which are then one block. Every place is tried where enough words of a template lie close together.
-The words found are compressed alone and with the template as zstandard raw dictionary; what it saves
-ranks it among those that differ in as many words. Nothing around them has a part in either. Among
-templates whose words overlap one wins; a block that holds several notices is cut where each but the
-first starts, so that every one is found. A notice right after a word that denies it ("not licensed
-under") names no license. The BSD conditions are told apart by the clause that only one of them has.
+A sentence that names licensing in any way is a candidate, with what lies within a notice's reach of it.
+Its words, in blocks that hold any notice whole, are compressed alone and with each template as zstandard
+raw dictionary, and what that saves ranks the templates. All are then confirmed by wording in that order:
+a template stands where its exact wording does; the words added, removed or replaced are listed, and they
+must be few and no version number among them. The template that saved most of those confirmed wins its
+words, unless others stand over some of them: then just these words are compressed with each again, so
+that nothing around them has a part in it. What is left of the block on either side is ranked anew, until
+nothing stands there. None is left out for its rank.
+
+Line ends are blanks; the words of a notice may lie in several lines or sentences, which are then one
+block. A block that holds several notices is cut where each but the first starts, so that every one is
+found. A notice right after a word that denies it ("not licensed under") names no license. The BSD
+conditions are told apart by the clause that only one of them has.
 
 Candidates are looked for in every sentence of every text; a built-in pattern keeps texts without any
 from Python. Nothing is shuffled.
 
-Defined cases: a null or empty text has no candidates and no license. Ties between templates go to the
-fewer wording differences, then to the order of TEMPLATES. The end of a sentence inside a notice, or
+Defined cases: a null or empty text has no candidates and no license. Templates that save the same go by
+the fewer wording differences, then by the order of TEMPLATES. The end of a sentence inside a notice, or
 a run of other letters than a to z, counts as one word added. Repeated rows get equal answers. Other
 columns pass through ``scan_licenses``; its one result column, ``licenses``, replaces one of that name.
 """
@@ -168,11 +172,18 @@ def _compressors() -> tuple[zstandard.ZstdCompressor, list[zstandard.ZstdCompres
 
 
 @lru_cache(4096)
-def reduction(i: int, stretch: str) -> float:
-    """The share of a stretch's compressed size that a template saves."""
+def reductions(block: str) -> tuple[float, ...]:
+    """The share of a block's compressed size that each template saves."""
     plain, conditional = _compressors()
-    data = stretch.encode()
-    return 1 - len(conditional[i].compress(data)) / len(plain.compress(data))
+    data = block.encode()
+    alone = len(plain.compress(data))
+    return tuple(1 - len(compressor.compress(data)) / alone for compressor in conditional)
+
+
+def ranked(block: str) -> list[int]:
+    """All templates, those that save most of the block first."""
+    saved = reductions(block)
+    return sorted(range(len(TEMPLATES)), key=lambda i: -saved[i])
 
 
 @cache
@@ -183,12 +194,9 @@ def _wordings() -> list[tuple[list[str], int]]:
 
 
 @cache
-def _templates_with() -> dict[str, list[int]]:
-    found = defaultdict(list)
-    for i, (wording, _) in enumerate(_wordings()):
-        for word in set(wording):
-            found[word].append(i)
-    return dict(found)
+def _reach() -> int:
+    """The words that a notice may have."""
+    return max(len(wording) + most for wording, most in _wordings())
 
 
 def _price(word: str) -> int:
@@ -228,29 +236,67 @@ def _stretches(wording: list[str], most: int, tokens: list[str], lo: int, hi: in
             yield column[-1][0], -column[-1][1], j + 1
 
 
-def notices(tokens: list[str]) -> list[tuple[int, float, int, int, int]]:
-    """Where templates stand: price, less what is saved, template, start and end.
+def _confirmed(i: int, tokens: list[str], lo: int, hi: int) -> Iterator[tuple[int, int, int, int]]:
+    """Where a template stands in a block: price, template, start, end."""
+    wording, most = _wordings()[i]
+    known = set(wording)
+    places = [j for j in range(lo, hi) if tokens[j] in known]
+    for first, last in _regions(places, len(wording), most):
+        for price, start, end in _stretches(wording, most, tokens, first, min(last, hi)):
+            yield price, i, start, end
+
+
+def _winner(tokens: list[str], lo: int, hi: int, standing: list) -> tuple[int, float, int, int, int]:
+    """Of the templates that stand in a block, the one that saves most, at its best place."""
+
+    def text(start: int, end: int) -> str:
+        return " ".join(tokens[start:end])
+
+    def best(rivals: list, start: int, end: int) -> tuple[int, float, int, int, int]:
+        saved = reductions(text(start, end))
+        _, price, i = min((-saved[i], price, i) for price, i, _, _ in rivals)
+        return min((p, -reductions(text(s, e))[i], i, s, e) for p, j, s, e in rivals if (p, j) == (price, i))
+
+    def meets(place: tuple, start: int, end: int) -> bool:
+        return place[2] < end and start < place[3]
+
+    leader = best(standing, lo, hi)
+    near = [place for place in standing if meets(place, *leader[3:])]
+    # A template reaches into its neighbour's words only where it has no cheaper place.
+    near = [p for p in near if not any(q[1] == p[1] and q[0] < p[0] and meets(q, *p[2:]) for q in standing)]
+    if all(place[1] == leader[2] for place in near):
+        return leader
+    return best(near, min(place[2] for place in near), max(place[3] for place in near))
 
-    Of those that overlap, the best; none where it is denied.
+
+def _winners(tokens: list[str], lo: int, hi: int) -> list[tuple[int, float, int, int, int]]:
+    """The notices of a block. Each winner cuts it in two, which are ranked anew."""
+    order = ranked(" ".join(tokens[lo:hi]))
+    out, parts = [], [(lo, hi, [place for i in order for place in _confirmed(i, tokens, lo, hi)])]
+    while parts:
+        lo, hi, standing = parts.pop()
+        if standing := [place for place in standing if lo <= place[2] and place[3] <= hi]:
+            out.append(_winner(tokens, lo, hi, standing))
+            start, end = out[-1][3:]
+            parts += [(lo, start, standing), (end, hi, standing)]
+    return sorted(out, key=lambda notice: notice[3])
+
+
+def notices(tokens: list[str], passages: list | None = None) -> list[tuple[int, float, int, int, int]]:
+    """Where templates win in some passages, by default all words: price, less what is saved, template,
+    start and end. None overlap; none where it is denied.
+
+    A passage is taken in blocks of twice the words that a notice may have, and of a block that is not
+    the last the notices that start in its first half.
     """
-    at, found, taken, best = defaultdict(list), [], bytearray(len(tokens)), []
-    templates = _templates_with()
-    for j, token in enumerate(tokens):
-        for i in templates.get(token, ()):
-            at[i].append(j)
-    for i, places in at.items():
-        wording, most = _wordings()[i]
-        for lo, hi in _regions(places, len(wording), most):
-            for price, start, end in _stretches(wording, most, tokens, lo, hi):
-                saved = reduction(i, " ".join(tokens[start:end]))
-                found.append((price, -saved, i, start, end))
-    for notice in sorted(found):
-        start, end = notice[3:]
-        if not any(taken[start:end]):
-            taken[start:end] = b"\1" * (end - start)
-            if not denied(tokens, start):
-                best.append(notice)
-    return best
+    out, reach = [], _reach()
+    for lo, hi in [(0, len(tokens))] if passages is None else passages:
+        while lo < hi:
+            until = hi if hi - lo <= 2 * reach else lo + reach
+            found = [n for n in _winners(tokens, lo, min(hi, lo + 2 * reach)) if n[3] < until]
+            lo = max([until, *(end for *_, end in found)])
+            out += [notice for notice in found if not denied(tokens, notice[3])]
+    return out
 
 
 def denied(tokens: list[str], start: int) -> bool:
@@ -307,6 +353,21 @@ def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _passages(cues: list, pieces, starts: list[int], ends: list[int]) -> list[tuple[int, int]]:
+    """The words that may belong to a notice in or near a sentence with a cue. Sentences within reach are
+    taken whole: a notice may lie in two of them and touch a next one."""
+    out = []
+    for lo, hi in _joined(cues):
+        first, last = bisect_left(starts, lo), bisect_left(starts, hi)
+        for _ in range(2):
+            first, last = max(0, first - _reach()), min(len(starts), last + _reach())
+            if first < last:
+                lo, hi = pieces(starts[first], ends[last - 1])
+                first, last = min(first, bisect_left(starts, lo)), max(last, bisect_left(starts, hi))
+        out.append((first, last))
+    return _joined(out)
+
+
 def _scanned(text: str, cut: bool) -> list[dict]:
     tokens, starts, ends = _tokens(text)
     # Where the pieces between cuts start, the end of the text last.
@@ -315,8 +376,8 @@ def _scanned(text: str, cut: bool) -> list[dict]:
     def pieces(start: int, end: int) -> tuple[int, int]:
         return marks[bisect_right(marks, start) - 1], marks[bisect_left(marks, end)]
 
-    found = notices(tokens)
     cues = [pieces(*m.span()) for m in _cue.finditer(text)]
+    found = notices(tokens, _passages(cues, pieces, starts, ends) if cut else None)
     blocks = _joined(cues + [pieces(starts[s], ends[e - 1]) for *_, s, e in found])
 
     def block_at(place: int) -> tuple[int, int]:
