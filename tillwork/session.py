@@ -21,6 +21,14 @@ RUNTIME_CONF = {
 }
 
 
+#: Bytes of files for which a shuffle gets one more partition, and bytes of shuffled rows that adaptive
+#: execution may gather for a task. Rows take some 25 times as much in the sorts and groupings of a task.
+FILE_BYTES = 4 << 20
+GATHERED_BYTES = 16 << 20
+
+_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_GATHERED = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
 #: Paths handed out and not removed yet, and the folder of a local session that names none.
 _handed_out: list[str] = []
 _local_root: list[str] = []
@@ -36,6 +44,28 @@ def apply_runtime_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    """How many partitions a shuffle has before adaptive execution joins small ones."""
+    return int(spark.conf.get(_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def scale_shuffles(spark: SparkSession, *paths: str) -> None:
+    """Let shuffles have partitions in proportion to the files they are fed from, so that what a task
+    sorts or groups does not grow with the input. The session's own number is the least."""
+    conf = spark._jsc.hadoopConfiguration()
+    size = 0
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        size += path.getFileSystem(conf).getContentSummary(path).getLength()
+    spark.conf.unset(_PARTITIONS)
+    wanted = -(-size // FILE_BYTES)
+    if wanted > shuffle_partitions(spark):
+        spark.conf.set(_PARTITIONS, str(wanted))
+    bytes_of = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    if bytes_of(spark.conf.get(_GATHERED)) > GATHERED_BYTES:
+        spark.conf.set(_GATHERED, str(GATHERED_BYTES))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for intermediate tables and stream checkpoints.
 

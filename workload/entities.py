@@ -8,9 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillwork.session import scale_shuffles
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.parquet(path_of(sf_dir, name))
+
+
+def path_of(sf_dir: str, name: str) -> str:
+    return f"{sf_dir}/{name}.parquet"
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,8 +93,9 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with their order's date (as text) and customer.
 
     Both tables grow with the data, so neither is broadcast; deduplication and grouping by order
-    reuse the shuffle on the order key.
+    reuse the shuffle on the order key, which has partitions in proportion to the files.
     """
+    scale_shuffles(spark, path_of(sf_dir, "lineitem"), path_of(sf_dir, "orders"))
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders").hint("merge")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).selectExpr(
