@@ -91,3 +91,18 @@ def test_sketches_keep_their_bound(spark):
     days = daily_sketches(rows, "key")
     (row,) = rolled_up_estimate(days, "n", Month=F.month("OrderDate")).collect()
     assert days.count() == 31 and abs(row.n / exact - 1) <= 0.05
+
+
+def test_keys_are_shuffled_not_bitmaps(spark):
+    """A bitmap has 4 KB however few keys it holds, so a task makes it only where its keys have met."""
+    sales = spark.range(0, 4000, 1, 8).selectExpr(
+        "date_add(DATE'2024-01-01', cast(id % 7 AS INT)) AS OrderDate", "id * 40000 % 1000000 AS CustomerKey"
+    )
+    days = daily_bitmaps(sales, "CustomerKey")
+    plan = days._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_bitmap_construct_agg") < plan.index("REPARTITION_BY_NUM")
+    assert "bitmap_construct_agg" not in plan[plan.index("REPARTITION_BY_NUM") :]
+    want = sales.groupBy("OrderDate", F.floor(F.col("CustomerKey") / 32768)).agg(F.count_distinct("CustomerKey"))
+    got = days.groupBy("OrderDate", "Block").agg(F.bitmap_count(F.bitmap_or_agg("Bits")).alias("n"))
+    assert got.count() == days.count() == want.count()
+    assert got.agg(F.sum("n")).first()[0] == sales.distinct().count()

@@ -5,8 +5,10 @@ are texts, or spread so thinly that blocks stay almost empty, ``daily_sketches``
 12 the estimate of a period lies within 5 % (three standard errors), and small counts are exact.
 Counting the rows themselves stays the default everywhere else.
 
-Both merge in each task before they are shuffled. NULL keys are not counted; a NULL date is a day of
-its own.
+Sketches merge in each task before they are shuffled. For bitmaps the distinct keys are shuffled, a
+block's of a month together: they are far smaller than partly filled bitmaps, and a task then makes each
+bitmap once, and merges a month's before it hands them on. NULL keys are not counted; a NULL date is a
+day of its own.
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillwork.session import shuffle_partitions
+
 K = 12
 #: Three relative standard errors of an estimate with ``K``.
 BOUND = 0.05
@@ -21,9 +25,14 @@ BOUND = 0.05
 
 def daily_bitmaps(sales: DataFrame, key: str) -> DataFrame:
     """``OrderDate``, ``Block`` and ``Bits``: which keys of a block occur on the date."""
-    block = F.bitmap_bucket_number(key).alias("Block")
-    bits = F.bitmap_construct_agg(F.bitmap_bit_position(key)).alias("Bits")
-    return sales.where(F.col(key).isNotNull()).groupBy("OrderDate", block).agg(bits)
+    distinct = sales.where(F.col(key).isNotNull()).select("OrderDate", F.col(key).alias("_key")).distinct()
+    dealt = distinct.withColumn("Block", F.bitmap_bucket_number("_key")).repartition(
+        # A number of its own: by the size of the keys too few tasks would make all the bitmaps.
+        shuffle_partitions(sales.sparkSession), "Block", F.trunc("OrderDate", "month")
+    )
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position("_key")).alias("Bits")
+    # Not by the month: a bitmap is of a day, and its rows lie in one task.
+    return dealt.groupBy("OrderDate", "Block").agg(bits)
 
 
 def rolled_up(bitmaps: DataFrame, name: str, **periods: Column) -> DataFrame:
