@@ -54,15 +54,17 @@ def deliver_sales(delivery: DataFrame, root: str) -> DataFrame:
     typed = sales_cleansed(delivery)
     schema = typed.schema
     new, path = _staged(typed.withColumn("_part", _part_of("OrderDate", "yyyy")), "delivery")
-    years = _parts(new, "_part")
+    paths, years = [path], _parts(new, "_part")
     landed = tables.read(listing, "sales", schema, years)
     if any(year in listing.get("sales", {}) for year in years):
         first, last = new.agg(F.min("OrderDate"), F.max("OrderDate")).first()
         near = F.col("OrderDate").between(F.lit(first), F.lit(last)) | F.col("OrderDate").isNull()
         same = [F.col(f"n.{c}").eqNullSafe(F.col(f"l.{c}")) for c in schema.names]
         new = new.alias("n").join(landed.where(near).alias("l"), same, "left_anti")
+        # Sorting takes two passes over the rows; where nothing is landed yet they are staged already.
+        new, other = _staged(new.select(*schema.names, "_part"), "new-sales")
+        paths.append(other)
     ranges = ["_part", "OrderDate", "OrderNumber", *(c for c in schema.names if c not in ("OrderDate", "OrderNumber"))]
-    new, sorted_path = _staged(new.select(*schema.names, "_part"), "new-sales")
     in_order = new.repartitionByRange(*ranges).sortWithinPartitions("_part", "OrderDate", "OrderNumber")
     added = tables.write(in_order, "sales", _run(path), "_part")
     known = listing.get("sales", {})
@@ -70,7 +72,7 @@ def deliver_sales(delivery: DataFrame, root: str) -> DataFrame:
     if added:
         listing = listing | {"sales": sales}
         tables.commit(version, listing)
-    remove_scratch(spark, path, sorted_path)
+    remove_scratch(spark, *paths)
     return tables.read(listing, "sales", schema)
 
 
