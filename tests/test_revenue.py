@@ -100,3 +100,17 @@ def test_broadcast_is_measured(spark):
     for limit, kind in ((120_000, True), (100_000, False)):
         plan = revenue.lookup(facts, dimension, "k", broadcast_bytes=limit)._jdf.queryExecution().analyzed()
         assert ("strategy=broadcast" in plan.toString()) == kind
+
+
+def test_hot_keys_take_one_pass(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    facts = spark.range(0, 1000, 1, 4).selectExpr("IF(id < 300, NULL, IF(id < 800, id % 2, id)) AS k")
+    assert sorted(revenue.hot_keys(facts.mapInArrow(passed, "k long"), "k", 0.2)) == [0, 1]
+    assert read.value == 1000
+    assert revenue.hot_keys(facts, "k", 0.25) == []

@@ -5,7 +5,7 @@ Money is exact: prices become decimals, so sums do not depend on how rows are de
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 #: What a broadcast side may measure, in bytes of its values.
@@ -34,10 +34,11 @@ def value_bytes(df: DataFrame) -> int:
 def hot_keys(facts: DataFrame, key: str, share: float = HOT_SHARE) -> list:
     """Keys that hold more than ``share`` of all rows: at most ``1 / share``, counted in each task
     before the shuffle. A NULL key joins nothing and so is never hot."""
-    counts = facts.groupBy(key).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n")).first()[0] or 0
-    rows = counts.where(F.col(key).isNotNull() & (F.col("_n") > share * total)).select(key).collect()
-    return [row[0] for row in rows]
+    counts, whole = facts.groupBy(key).agg(F.count("*").alias("_n")), Observation()
+    # One pass over the facts: the total comes with the most frequent keys, among which all hot ones are.
+    most = counts.observe(whole, F.sum("_n").alias("total")).orderBy(F.desc("_n")).limit(int(1 / share) + 1)
+    rows = most.select(key, "_n").collect()
+    return [row[0] for row in rows if row[0] is not None and row[1] > share * whole.get["total"]]
 
 
 def lookup(
