@@ -589,6 +589,22 @@ def test_many_sources_are_ranked_in_ranges(spark):
     assert {r._src: r._target for r in targets.collect()} == apart == want
 
 
+def test_words_are_counted_without_an_array_of_them(spark):
+    from tillwork.llm.common import word_count, words_of
+    from tillwork.llm.mixing import mix_documents
+
+    rng = random.Random(5)
+    texts = ["".join(rng.choices(" \t\n\x0b\x0c\r\x1c\x85\u3000abé漢\\", k=rng.randrange(12))) for _ in range(400)]
+    rows = list(enumerate([None, "", " ", "\n \n", "a", " a", "a\n", "a  \t b", *texts]))
+    docs = spark.createDataFrame([(*row, "s") for row in rows], "doc_id long, text string, source string")
+    text = F.col("text")
+    assert docs.where(~word_count(text).eqNullSafe(F.size(words_of(text)).cast("long"))).count() == 0
+    want = {i: len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t in rows}
+    mix = mix_documents(docs)
+    assert {r.doc_id: r.size for r in mix.select("doc_id", "mix.size").collect()} == want
+    assert "split(" not in mix._jdf.queryExecution().analyzed().toString()
+
+
 def test_mix_meets_its_targets(docs, none):
     from tillwork.llm.mixing import mix_documents, mixed
 

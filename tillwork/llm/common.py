@@ -33,10 +33,24 @@ def words_of(text: Column) -> Column:
     One replacement per kind of white space and a split at a single character run several times
     faster than a split at a character class.
     """
+    return F.filter(F.split(_spaced(text), " "), lambda word: word != "")
+
+
+def _spaced(text: Column) -> Column:
+    """A text with a space for every kind of white space; empty for null."""
     spaced = F.coalesce(text, F.lit(""))
     for space in "\t\n\x0b\x0c\r":
         spaced = F.replace(spaced, F.lit(space), F.lit(" "))
-    return F.filter(F.split(spaced, " "), lambda word: word != "")
+    return spaced
+
+
+def word_count(text: Column) -> Column:
+    """How many words a text has, without the array of them: that would take a task some twenty times
+    the text. Every run of spaces becomes one space and one line feed, and these are counted."""
+    spaced = F.concat(F.lit(" "), _spaced(text), F.lit(" "))
+    marked = F.replace(F.replace(spaced, F.lit(" "), F.lit(" \n")), F.lit("\n "), F.lit(""))
+    bare = F.replace(spaced, F.lit(" "), F.lit(""))
+    return ((F.octet_length(marked) - F.octet_length(bare)) / 2 - 1).cast("long")
 
 
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:

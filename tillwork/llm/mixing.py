@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwork.llm.common import landed, read_table, set_aside, words_of
+from tillwork.llm.common import landed, read_table, set_aside, word_count
 from tillwork.llm.registry import query
 
 #: Of the first, second and third source by code point, and so on in turn.
@@ -102,7 +102,7 @@ def mix_documents(
         docs.withColumns(
             {
                 "_src": F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")),
-                "_size": F.size(words_of(F.col("text"))).cast("long"),
+                "_size": word_count(F.col("text")),
                 "_draw": F.md5(name),
             }
         )
