@@ -200,6 +200,53 @@ def test_suffixes_sort_alike_whether_packed_or_doubled():
     assert prefixes(_sorted_suffixes(text, 3)) == prefixes(_sorted_suffixes(big, 3))
 
 
+def test_phrases_cross_the_network_in_small_blocks():
+    import numpy as np
+
+    from tillwork.llm.phrase_mining import _blocks, _row_of, _unpacked
+
+    rng = np.random.default_rng(4)
+    rows = np.zeros(50_000, _row_of(2))
+    rows["word_0"] = np.repeat(rng.integers(0, 1 << 45, 500), 100)
+    rows["word_1"] = rng.zipf(1.3, len(rows)) % (1 << 20)
+    rows["lo"] = np.cumsum(rng.integers(1, 4, len(rows)))
+    rows["f"], rows["ends"] = rng.integers(1, 4, len(rows)), rng.integers(0, 2, len(rows))
+    blocks = _blocks(7, rows.copy(), 16)
+    assert set(blocks["shard"].to_pylist()) == {7} and blocks["part"].to_pylist() == list(range(16))
+    got, sizes = _unpacked(blocks["packed"].to_pylist(), 2)
+    assert (got[np.argsort(got["lo"])] == rows).all() and sizes.sum() == len(rows)
+    # A row of five numbers took some 16 bytes, compressed.
+    assert blocks["packed"].nbytes < 8 * len(rows)
+
+
+@pytest.mark.parametrize("hashes", ["apart", "equal"])
+def test_blocks_are_summed_exactly(monkeypatch, hashes):
+    import numpy as np
+
+    from tillwork.llm import phrase_mining
+
+    if hashes == "equal":
+        monkeypatch.setattr(phrase_mining, "_spread", lambda rows: np.zeros(len(rows), np.uint64))
+    random.seed(2)
+    counts, batches = collections.Counter(), []
+    for shard in range(6):
+        phrases = random.sample([(a, b) for a in range(9) for b in range(9)], 40)
+        rows = np.array([(*p, 10 * i, random.randrange(1, 5), 1, 0) for i, p in enumerate(phrases)], phrase_mining._row_of(2))
+        counts.update({(*p, "f"): int(row["f"]) for p, row in zip(phrases, rows)})
+        counts.update({(*p, "n"): 1 for p in phrases})
+        batches.append((phrases, phrase_mining._blocks(shard, rows, 1)))
+    got, returned = {}, 0
+    for batch in phrase_mining._summed(2, 8, True)([block for _, block in batches]):
+        for row in batch.to_pylist():
+            returned += len(row["place"])
+            for place, f, lefts, rights in zip(row["place"], row["f"], row["lefts"], row["rights"]):
+                if f:
+                    got[batches[row["shard"]][0][(place >> 32) // 10]] = (f, lefts, rights)
+    frequent = {k[:2]: n for k, n in counts.items() if k[2] == "f" and n >= 8}
+    assert got == {p: (n, n - counts[(*p, "n")], n) for p, n in frequent.items()}
+    assert returned == sum(counts[(*p, "n")] for p in frequent)
+
+
 def test_phrases_of_empty_tables(none):
     from tillwork.llm.phrase_mining import collocations
 

@@ -10,8 +10,10 @@ intervals of such phrases depend on.
 Counts are summed across shards, level by level. A phrase of k + 1 words is looked for only where its
 first and its last k words are frequent over all shards, so the many phrases met once are never spelled
 out. A frequent word gets a number (the place in the first shard that has it), which returns to all its
-shards; a longer phrase is known by the numbers of its words. Rows of numbers cross the network once a
-level and are summed as they stream by in order, and what is frequent returns to its shards as places.
+shards; a longer phrase is known by the numbers of its words. Words cross the network as rows and are
+summed as they stream by in order. Longer phrases cross it as blocks, one per shard and part of their
+hashes: columns of numbers in order of their places, differences where neighbours are alike, bytes of equal
+weight together and compressed. A task sums one part. What is frequent returns to its shards as places.
 One shard names a phrase for all. The indexes themselves stay where they are: they are bucketed by
 shard, and so is what returns to them.
 
@@ -39,7 +41,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwork.llm.common import landed, landed_by, map_batches, read_table, record_batch
+from tillwork.llm.hashing import mix
 from tillwork.llm.registry import query
+from tillwork.session import shuffle_partitions
 
 #: Words of a shard, and words a task holds of all languages together.
 SHARD = 1 << 21
@@ -49,6 +53,9 @@ STRETCH = 1 << 20
 ROWS = 1 << 16
 #: Occurrences extended together.
 STEP = 1 << 18
+#: Phrases of a shard packed together, and words of the input for each part that a task sums, at most.
+PACKED = 1 << 19
+SUMMED = 1 << 21
 
 # The characters that end a piece.
 ENDS = re.compile(rb"[.,;:!?\n-\r]")
@@ -69,6 +76,7 @@ PLACED = [("shard", pa.int64()), ("place", pa.int64()), ("edges", pa.int64())]
 WORDS = pa.schema([("lang", pa.string()), ("word", pa.string()), *PLACED])
 COLUMNS = ("place", "number", "f", "lefts", "rights")
 KEPT = pa.schema([("shard", pa.int64())] + [(c, pa.list_(pa.int64())) for c in COLUMNS])
+BLOCKS = pa.schema([("part", pa.int32()), ("shard", pa.int64()), ("packed", pa.binary())])
 GRAMS = pa.schema(
     [("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32())]
     + [(count, pa.int64()) for count in ("f", "lefts", "rights")]
@@ -249,8 +257,57 @@ class ShardIndex:
         return record_batch(schema, *keys, pa.repeat(self.shard, len(lo)), place, self.edges(lo, rlo, f))
 
 
-def _keyed(words: int) -> pa.Schema:
-    return pa.schema([(f"word_{k}", pa.int64()) for k in range(words)] + PLACED)
+def _row_of(words: int) -> np.dtype:
+    """A phrase in a block: the numbers of its words, its interval's begin and size, its edges."""
+    numbers = [(f"word_{k}", "<i8") for k in range(words)]
+    return np.dtype(numbers + [(name, "<i4") for name in ("lo", "f", "begins", "ends")])
+
+
+#: Neighbours in order of their places are alike in these: blocks have their differences.
+_ALIKE = ("word_0", "lo")
+
+
+def _spread(rows: np.ndarray) -> np.ndarray:
+    """A hash of the words of each phrase."""
+    out = np.zeros(len(rows), np.uint64)
+    for name in rows.dtype.names:
+        if name.startswith("word_"):
+            out = mix(out * np.uint64(0x9E3779B97F4A7C15) + rows[name].astype(np.uint64))
+    return out
+
+
+def _blocks(shard: int, rows: np.ndarray, parts: int) -> pa.RecordBatch:
+    """Phrases of a shard, in order of their places, as a block for each part."""
+    part = (_spread(rows) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+    part = part.astype(np.uint16 if parts <= 1 << 16 else np.uint32)
+    order = np.argsort(part, kind="stable")
+    rows, part = rows[order], part[order]
+    first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+    for name in _ALIKE:
+        whole = rows[name].copy()
+        rows[name][1:] -= whole[:-1]
+        rows[name][first] = whole[first]
+    raw = rows.view(np.uint8).reshape(len(rows), -1)
+    pack = zstandard.ZstdCompressor(level=1).compress
+    packed = [pack(raw[a:b].T.tobytes()) for a, b in zip(first, [*first[1:], len(rows)])]
+    return record_batch(BLOCKS, part[first].astype(np.int32), [shard] * len(first), packed)
+
+
+def _unpacked(blocks: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The phrases of blocks, and how many each block has."""
+    row, unpack = _row_of(words), zstandard.ZstdDecompressor().decompress
+    planes = [np.frombuffer(unpack(block), np.uint8).reshape(row.itemsize, -1) for block in blocks]
+    sizes = np.array([part.shape[1] for part in planes])
+    raw = np.empty((sizes.sum(), row.itemsize), np.uint8)
+    first = np.cumsum(sizes) - sizes
+    for begin, part in zip(first, planes):
+        raw[begin : begin + part.shape[1]] = part.T
+    rows = raw.view(row).ravel()
+    for name in _ALIKE:
+        step = rows[name].copy()
+        sums = np.cumsum(step, dtype=step.dtype)
+        rows[name] = sums - np.repeat(sums[first] - step[first], sizes)
+    return rows, sizes
 
 
 def shard_indexes(docs: DataFrame, max_words: int = 3, lang: str = "lang", text: str = "text") -> DataFrame:
@@ -323,35 +380,97 @@ def _names(max_words: int):
     return work
 
 
-def _longer(words: int):
-    """Phrases one word longer than the kept ones, where the last words are kept as well."""
+def _longer(words: int, parts: int):
+    """Phrases one word longer than the kept ones, where the last words are kept as well, in blocks."""
+    row = _row_of(words + 1)
+
+    def found_in(index: ShardIndex) -> Iterator[np.ndarray]:
+        single, kept = index.kept(1), index.kept(words)
+        numbers = np.zeros(len(index.words) + 1, np.int64)
+        numbers[single["at"]] = single["number"]
+        lo = kept["at"] if words > 1 else np.searchsorted(index.forward.first, kept["at"])
+        f = kept["place"] & _LOW
+        rlo = index.backward_rows(index.spelled(lo, words))
+        for found in index.to_the_right(lo, rlo, f):
+            # The row one word shorter lies in the interval of the last words.
+            shorter = index.forward.next[found[0]]
+            of = np.searchsorted(lo, shorter, "right") - 1
+            both = (of >= 0) & (shorter < lo[of] + f[of])
+            new_lo, new_rlo, count = (a[both] for a in found)
+            rows = np.empty(len(new_lo), row)
+            for k, spelled in enumerate(index.spelled(new_lo, words + 1).T):
+                rows[f"word_{k}"] = numbers[spelled]
+            edges = index.edges(new_lo, new_rlo, count)
+            rows["lo"], rows["f"], rows["begins"], rows["ends"] = new_lo, count, edges >> 32, edges & _LOW
+            yield rows
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for index in _opened(batches):
-            single, kept = index.kept(1), index.kept(words)
-            numbers = np.zeros(len(index.words) + 1, np.int64)
-            numbers[single["at"]] = single["number"]
-            lo = kept["at"] if words > 1 else np.searchsorted(index.forward.first, kept["at"])
-            f = kept["place"] & _LOW
-            rlo = index.backward_rows(index.spelled(lo, words))
-            for found in index.to_the_right(lo, rlo, f):
-                # The row one word shorter lies in the interval of the last words.
-                row = index.forward.next[found[0]]
-                of = np.searchsorted(lo, row, "right") - 1
-                both = (of >= 0) & (row < lo[of] + f[of])
-                new_lo, new_rlo, count = (a[both] for a in found)
-                for begin in range(0, len(new_lo), ROWS):
-                    part = slice(begin, begin + ROWS)
-                    keys = numbers[index.spelled(new_lo[part], words + 1)].T
-                    yield index.placed(
-                        _keyed(words + 1), list(keys), new_lo[part], new_rlo[part], count[part]
-                    )
+            held, size = [], 0
+            for rows in found_in(index):
+                held.append(rows)
+                size += len(rows)
+                if size >= PACKED:
+                    yield _blocks(index.shard, np.concatenate(held), parts)
+                    held, size = [], 0
+            if size:
+                yield _blocks(index.shard, np.concatenate(held), parts)
+
+    return work
+
+
+def _summed(words: int, least: int, returns: bool):
+    """The blocks of a part to its frequent phrases, as lists per shard; one shard of a phrase also gets
+    the sums. Without ``returns`` no other shard gets any."""
+
+    def changes(columns: list[np.ndarray]) -> np.ndarray:
+        new = np.zeros(len(columns[0]), bool)
+        new[:1] = True
+        for column in columns:
+            new[1:] |= column[1:] != column[:-1]
+        return new
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shards, blocks = [], []
+        for batch in batches:
+            shards += batch["shard"].to_pylist()
+            blocks += batch["packed"].to_pylist()
+        if not blocks:
+            return
+        rows, sizes = _unpacked(blocks, words)
+        shard = np.repeat(np.array(shards), sizes)
+        hashes = _spread(rows)
+        order = np.argsort(hashes)
+        keys = [rows[f"word_{k}"][order] for k in range(words)]
+        new = changes(keys)
+        if new.sum() > changes([hashes[order]]).sum():
+            # Phrases of one hash may alternate.
+            order = np.lexsort([rows[f"word_{k}"] for k in range(words)])
+            new = changes([rows[f"word_{k}"][order] for k in range(words)])
+        first = np.flatnonzero(new)
+        f, begins, ends = (
+            np.add.reduceat(rows[c][order], first, dtype=np.int64) for c in ("f", "begins", "ends")
+        )
+        of = np.cumsum(new) - 1
+        stays = np.flatnonzero((f >= least)[of] & (returns | new))
+        of, leads, at = of[stays], new[stays].astype(np.int64), order[stays]
+        place = rows["lo"][at].astype(np.int64) << 32 | rows["f"][at]
+        in_order = np.lexsort((place, shard[at]))
+        of, leads, place, shard = of[in_order], leads[in_order], place[in_order], shard[at][in_order]
+        counts = (count[of] * leads for count in (f, f - begins, f - ends))
+        cuts = np.flatnonzero(np.diff(shard, prepend=-1))
+        lists = pa.array(np.append(cuts, len(shard)), pa.int32())
+        columns = (pa.ListArray.from_arrays(lists, pa.array(c)) for c in (place, np.zeros_like(place), *counts))
+        batch = pa.RecordBatch.from_arrays([pa.array(shard[cuts]), *columns], schema=KEPT)
+        some = max(1, ROWS * len(cuts) // max(1, len(shard)))
+        for begin in range(0, len(cuts), some):
+            yield batch.slice(begin, some)
 
     return work
 
 
 def _merged(keys: list[str], least: int, returns: bool):
-    """Placed phrases in order of their hash to those that are frequent, as lists per shard; the first
+    """Placed words in order of their hash to those that are frequent, as lists per shard; the first
     shard of a phrase also gets the sums. Without ``returns`` no other shard gets any. Holds ROWS rows,
     or the rows of one hash: at most one a shard and phrase."""
 
@@ -403,33 +522,42 @@ def _merged(keys: list[str], least: int, returns: bool):
     return work
 
 
-def _frequent(placed: DataFrame, keys: list[str], least: int, words: int, returns: bool) -> DataFrame:
-    """shard, and its places of the frequent phrases. One exchange: a phrase has at most one row in a
-    shard."""
-    # A single number to sort by lets Spark sort by radix. The first shards number words: small numbers.
-    order = ["_hash", "shard"] if words == 1 else ["_hash"]
-    in_order = placed.repartition(*keys).withColumn("_hash", F.xxhash64(*keys)).sortWithinPartitions(*order)
-    kept = map_batches(in_order, _merged(keys, least, returns), _ddl(KEPT))
-    # Rows are narrow, and batches bounded in bytes anyway.
-    placed.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS))
+def _returned(kept: DataFrame, words: int) -> DataFrame:
+    """shard, and its places of the frequent phrases, in the buckets of the indexes."""
     columns = COLUMNS if words == 1 else [c for c in COLUMNS if c != "number"]
     name = f"kept_{words}"
     return landed_by(kept.groupBy("shard").agg(F.collect_list(F.struct(*columns)).alias(name)), "shard", name)
 
 
+def _frequent_words(placed: DataFrame, least: int, returns: bool) -> DataFrame:
+    """One exchange: a word has at most one row in a shard. A single number to sort by lets Spark sort by
+    radix. The first shards number words: small numbers."""
+    keys = ["lang", "word"]
+    in_order = placed.repartition(*keys).withColumn("_hash", F.xxhash64(*keys)).sortWithinPartitions("_hash", "shard")
+    kept = map_batches(in_order, _merged(keys, least, returns), _ddl(KEPT))
+    # Rows are narrow, and batches bounded in bytes anyway.
+    placed.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS))
+    return _returned(kept, 1)
+
+
+def _frequent_phrases(shards: DataFrame, words: int, parts: int, least: int, returns: bool) -> DataFrame:
+    """Phrases of ``words`` words that extend the kept ones. A part's blocks are those of one task."""
+    blocks = map_batches(shards, _longer(words - 1, parts), _ddl(BLOCKS)).repartitionById(parts, "part")
+    return _returned(map_batches(blocks, _summed(words, least, returns), _ddl(KEPT)), words)
+
+
 def phrase_counts(index: DataFrame, max_words: int = 3, least: int = 10) -> DataFrame:
     """lang, phrase, words, f, lefts, rights of every phrase of up to ``max_words`` words that occurs
     ``least`` times or more. ``lefts`` and ``rights`` count the occurrences with a word before and after
     them in their piece. ``index``: of ``shard_indexes`` for as many words, landed."""
-    placed, keys = map_batches(index, _word_places, _ddl(WORDS)), ["lang", "word"]
-    levels = []
-    for words in range(1, max_words + 1):
-        levels.append(_frequent(placed, keys, least, words, returns=words < max_words))
+    total = index.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
+    parts = max(shuffle_partitions(index.sparkSession), -(-total // SUMMED))
+    levels = [_frequent_words(map_batches(index, _word_places, _ddl(WORDS)), least, max_words > 1)]
+    for words in range(2, max_words + 1):
         shards = index
-        for level in {0, words - 1}:
+        for level in {0, words - 2}:
             shards = shards.join(levels[level], "shard")
-        schema = _keyed(words + 1)
-        placed, keys = map_batches(shards, _longer(words), _ddl(schema)), schema.names[: words + 1]
+        levels.append(_frequent_phrases(shards, words, parts, least, words < max_words))
     shards = index
     for level in levels:
         shards = shards.join(level, "shard", "left")
