@@ -589,6 +589,20 @@ def test_many_sources_are_ranked_in_ranges(spark):
     assert {r._src: r._target for r in targets.collect()} == apart == want
 
 
+def test_frames_are_counted_without_sorting_the_seeds(spark):
+    from tillwork.llm.suffix_dedup import counted_frames
+
+    rng = random.Random(8)
+    seeds = [(rng.choice([None, 1, 2]), i, 3 * i, rng.randrange(5), rng.randrange(4), 7 * i) for i in range(500)]
+    schema = "_id long, _row long, at long, gram long, frame long, room long"
+    frames = counted_frames(spark.createDataFrame(seeds, schema).repartition(5))
+    got, known = frames.collect(), {(s[3], s[4], s[1]): s for s in seeds}
+    assert {(r.gram, r.frame): r.n for r in got} == collections.Counter(s[3:5] for s in seeds)
+    # The place is that of one seed, not put together from several.
+    assert all((r._id, r._row, r.at, r.gram, r.frame, r.room) == known[r.gram, r.frame, r._row] for r in got)
+    assert "Sort" not in frames._jdf.queryExecution().executedPlan().toString()
+
+
 def test_words_are_counted_without_an_array_of_them(spark):
     from tillwork.llm.common import word_count, words_of
     from tillwork.llm.mixing import mix_documents

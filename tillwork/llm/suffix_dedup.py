@@ -281,17 +281,23 @@ def _cut_out():
     return work
 
 
+def counted_frames(seeds: DataFrame) -> DataFrame:
+    """Every different frame of an anchor, how often it occurs, and one of its places.
+
+    Any place will do: all are whole repeats where there are several. The first one needs fixed space in
+    a hash table; the least as a struct would sort all seeds twice.
+    """
+    one = (F.first(name).alias(name) for name in ("_id", "_row", "at", "room"))
+    return seeds.groupBy("gram", "frame").agg(F.count("*").alias("n"), *one)
+
+
 def repeated_spans(rows: DataFrame, winnowing: Winnowing = WINNOWING, crowd: int = CROWD) -> DataFrame:
     """Spans of bytes (_id, _row, start, end) that also start elsewhere."""
     anchors = landed(anchor_rows(rows, winnowing, _units), "suffix-anchors")
     shared = anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
     seeds = landed(anchors.join(landed(shared, "suffix-shared"), "gram"), "suffix-seeds")
 
-    place = F.struct("_id", "_row", "at")
-    frames = seeds.groupBy("gram", "frame").agg(
-        F.count("*").alias("n"), F.min(place).alias("one"), F.min("room").alias("room")
-    )
-    frames = landed(frames, "suffix-frames-counted")
+    frames = landed(counted_frames(seeds), "suffix-frames-counted")
     whole = seeds.join(frames.where("n > 1").select("gram", "frame"), ["gram", "frame"]).select(
         "_id",
         "_row",
@@ -302,7 +308,7 @@ def repeated_spans(rows: DataFrame, winnowing: Winnowing = WINNOWING, crowd: int
     several = frames.groupBy("gram").agg(F.count("*").alias("frames")).where("frames > 1")
     # Landed, so that the frames of a crowded anchor are split over tasks.
     ones = frames.join(landed(several, "suffix-several"), "gram").select(
-        "one.*", "gram", "room", F.ceil(F.col("frames") / crowd).alias("parts")
+        "_id", "_row", "at", "gram", "room", F.ceil(F.col("frames") / crowd).alias("parts")
     )
     spots = ones.groupBy("_id", "_row").agg(F.collect_list(F.struct("at", "gram", "room", "parts")).alias("_at"))
     found = rows.alias("d").join(spots.alias("p"), same_row("d", "p")).select("d.*", "p._at")
