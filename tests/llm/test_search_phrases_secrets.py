@@ -213,7 +213,7 @@ def test_phrases_cross_the_network_in_small_blocks():
     rows["f"], rows["ends"] = rng.integers(1, 4, len(rows)), rng.integers(0, 2, len(rows))
     blocks = _blocks(7, rows.copy(), 16)
     assert set(blocks["shard"].to_pylist()) == {7} and blocks["part"].to_pylist() == list(range(16))
-    got, sizes = _unpacked(blocks["packed"].to_pylist(), 2)
+    got, sizes = _unpacked(blocks["packed"].to_pylist(), _row_of(2))
     assert (got[np.argsort(got["lo"])] == rows).all() and sizes.sum() == len(rows)
     # A row of five numbers took some 16 bytes, compressed.
     assert blocks["packed"].nbytes < 8 * len(rows)
@@ -237,11 +237,13 @@ def test_blocks_are_summed_exactly(monkeypatch, hashes):
         batches.append((phrases, phrase_mining._blocks(shard, rows, 1)))
     got, returned = {}, 0
     for batch in phrase_mining._summed(2, 8, True)([block for _, block in batches]):
-        for row in batch.to_pylist():
-            returned += len(row["place"])
-            for place, f, lefts, rights in zip(row["place"], row["f"], row["lefts"], row["rights"]):
-                if f:
-                    got[batches[row["shard"]][0][(place >> 32) // 10]] = (f, lefts, rights)
+        for shard, packed in zip(*(column.to_pylist() for column in batch.columns)):
+            rows, _ = phrase_mining._unpacked([packed], phrase_mining.RETURNED)
+            returned += len(rows)
+            # A place and five numbers, in lists, took some 32 bytes in memory.
+            assert len(packed) < 12 * len(rows) + 40
+            for row in rows[rows["f"] > 0]:
+                got[batches[shard][0][row["at"] // 10]] = (row["f"], row["lefts"], row["rights"])
     frequent = {k[:2]: n for k, n in counts.items() if k[2] == "f" and n >= 8}
     assert got == {p: (n, n - counts[(*p, "n")], n) for p, n in frequent.items()}
     assert returned == sum(counts[(*p, "n")] for p in frequent)

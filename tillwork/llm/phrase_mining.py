@@ -74,8 +74,7 @@ INDEX = pa.schema(
 )
 PLACED = [("shard", pa.int64()), ("place", pa.int64()), ("edges", pa.int64())]
 WORDS = pa.schema([("lang", pa.string()), ("word", pa.string()), *PLACED])
-COLUMNS = ("place", "number", "f", "lefts", "rights")
-KEPT = pa.schema([("shard", pa.int64())] + [(c, pa.list_(pa.int64())) for c in COLUMNS])
+KEPT = pa.schema([("shard", pa.int64()), ("packed", pa.binary())])
 BLOCKS = pa.schema([("part", pa.int32()), ("shard", pa.int64()), ("packed", pa.binary())])
 GRAMS = pa.schema(
     [("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32())]
@@ -84,7 +83,7 @@ GRAMS = pa.schema(
 
 
 def _ddl(schema: pa.Schema) -> str:
-    names = {"int64": "long", "int32": "int", "list<item: int64>": "array<long>"}
+    names = {"int64": "long", "int32": "int"}
     return ", ".join(f"{f.name} {names.get(str(f.type), str(f.type))}" for f in schema)
 
 
@@ -190,13 +189,12 @@ class ShardIndex:
 
     def kept(self, words: int) -> dict[str, np.ndarray]:
         """What the row brings of frequent phrases, by place. A word's place is its own number."""
-        lists = self._row[f"kept_{words}"][0].values
-        if lists is None:
+        blocks = self._row[f"kept_{words}"][0].as_py()
+        if not blocks:
             return {}
-        kept = {c.name: lists.field(c.name).flatten().to_numpy() for c in lists.type}
-        order = np.argsort(kept["place"])
-        kept = {name: values[order] for name, values in kept.items()}
-        return kept | {"at": kept["place"] >> 32}
+        rows, _ = _unpacked(blocks, RETURNED)
+        rows = rows[np.argsort(rows["at"])]
+        return {name: rows[name].astype(np.int64) for name in RETURNED.names}
 
     def spelled(self, lo: np.ndarray, words: int) -> np.ndarray:
         """Word numbers of the phrases whose intervals begin at ``lo``."""
@@ -263,8 +261,13 @@ def _row_of(words: int) -> np.dtype:
     return np.dtype(numbers + [(name, "<i4") for name in ("lo", "f", "begins", "ends")])
 
 
+#: What returns to a shard of a frequent phrase: where it is and how often there, and for all shards, its
+#: number if it is a word, and its sums if this shard names it.
+RETURNED = np.dtype(
+    [("at", "<i4"), ("own", "<i4")] + [(name, "<i8") for name in ("number", "f", "lefts", "rights")]
+)
 #: Neighbours in order of their places are alike in these: blocks have their differences.
-_ALIKE = ("word_0", "lo")
+_ALIKE = {"word_0", "lo", "at"}
 
 
 def _spread(rows: np.ndarray) -> np.ndarray:
@@ -276,26 +279,20 @@ def _spread(rows: np.ndarray) -> np.ndarray:
     return out
 
 
-def _blocks(shard: int, rows: np.ndarray, parts: int) -> pa.RecordBatch:
-    """Phrases of a shard, in order of their places, as a block for each part."""
-    part = (_spread(rows) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
-    part = part.astype(np.uint16 if parts <= 1 << 16 else np.uint32)
-    order = np.argsort(part, kind="stable")
-    rows, part = rows[order], part[order]
-    first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-    for name in _ALIKE:
+def _packed(rows: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """Rows, which this changes, as blocks that begin at ``first``."""
+    for name in _ALIKE.intersection(rows.dtype.names):
         whole = rows[name].copy()
         rows[name][1:] -= whole[:-1]
         rows[name][first] = whole[first]
-    raw = rows.view(np.uint8).reshape(len(rows), -1)
+    raw = rows.view(np.uint8).reshape(len(rows), rows.dtype.itemsize)
     pack = zstandard.ZstdCompressor(level=1).compress
-    packed = [pack(raw[a:b].T.tobytes()) for a, b in zip(first, [*first[1:], len(rows)])]
-    return record_batch(BLOCKS, part[first].astype(np.int32), [shard] * len(first), packed)
+    return [pack(raw[a:b].T.tobytes()) for a, b in zip(first, [*first[1:], len(rows)])]
 
 
-def _unpacked(blocks: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
-    """The phrases of blocks, and how many each block has."""
-    row, unpack = _row_of(words), zstandard.ZstdDecompressor().decompress
+def _unpacked(blocks: list[bytes], row: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of blocks, and how many each block has."""
+    unpack = zstandard.ZstdDecompressor().decompress
     planes = [np.frombuffer(unpack(block), np.uint8).reshape(row.itemsize, -1) for block in blocks]
     sizes = np.array([part.shape[1] for part in planes])
     raw = np.empty((sizes.sum(), row.itemsize), np.uint8)
@@ -303,13 +300,33 @@ def _unpacked(blocks: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
     for begin, part in zip(first, planes):
         raw[begin : begin + part.shape[1]] = part.T
     rows = raw.view(row).ravel()
-    for name in _ALIKE:
+    for name in _ALIKE.intersection(row.names):
         step = rows[name].copy()
         sums = np.cumsum(step, dtype=step.dtype)
         rows[name] = sums - np.repeat(sums[first] - step[first], sizes)
     return rows, sizes
 
 
+def _blocks(shard: int, rows: np.ndarray, parts: int) -> pa.RecordBatch:
+    """Phrases of a shard, in order of their places, as a block for each part."""
+    part = (_spread(rows) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+    part = part.astype(np.uint16 if parts <= 1 << 16 else np.uint32)
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    first = np.flatnonzero(np.diff(part.astype(np.int64), prepend=-1))
+    return record_batch(BLOCKS, part[first].astype(np.int32), [shard] * len(first), _packed(rows[order], first))
+
+
+def _returns(shard: np.ndarray, **columns: np.ndarray) -> pa.RecordBatch:
+    """What returns to each shard, as a block."""
+    order = np.lexsort((columns["at"], shard))
+    rows = np.empty(len(shard), RETURNED)
+    for name in RETURNED.names:
+        rows[name] = columns[name][order]
+    first = np.flatnonzero(np.diff(shard[order], prepend=-1))
+    return record_batch(KEPT, shard[order][first], _packed(rows, first))
+
+
 def shard_indexes(docs: DataFrame, max_words: int = 3, lang: str = "lang", text: str = "text") -> DataFrame:
     """The index of every shard: number, language, and compressed, its words and both transforms."""
     rows = docs.select(
@@ -389,7 +406,7 @@ def _longer(words: int, parts: int):
         numbers = np.zeros(len(index.words) + 1, np.int64)
         numbers[single["at"]] = single["number"]
         lo = kept["at"] if words > 1 else np.searchsorted(index.forward.first, kept["at"])
-        f = kept["place"] & _LOW
+        f = kept["own"]
         rlo = index.backward_rows(index.spelled(lo, words))
         for found in index.to_the_right(lo, rlo, f):
             # The row one word shorter lies in the interval of the last words.
@@ -420,7 +437,7 @@ def _longer(words: int, parts: int):
 
 
 def _summed(words: int, least: int, returns: bool):
-    """The blocks of a part to its frequent phrases, as lists per shard; one shard of a phrase also gets
+    """The blocks of a part to its frequent phrases, as a block per shard; one shard of a phrase also gets
     the sums. Without ``returns`` no other shard gets any."""
 
     def changes(columns: list[np.ndarray]) -> np.ndarray:
@@ -437,7 +454,7 @@ def _summed(words: int, least: int, returns: bool):
             blocks += batch["packed"].to_pylist()
         if not blocks:
             return
-        rows, sizes = _unpacked(blocks, words)
+        rows, sizes = _unpacked(blocks, _row_of(words))
         shard = np.repeat(np.array(shards), sizes)
         hashes = _spread(rows)
         order = np.argsort(hashes)
@@ -454,23 +471,14 @@ def _summed(words: int, least: int, returns: bool):
         of = np.cumsum(new) - 1
         stays = np.flatnonzero((f >= least)[of] & (returns | new))
         of, leads, at = of[stays], new[stays].astype(np.int64), order[stays]
-        place = rows["lo"][at].astype(np.int64) << 32 | rows["f"][at]
-        in_order = np.lexsort((place, shard[at]))
-        of, leads, place, shard = of[in_order], leads[in_order], place[in_order], shard[at][in_order]
-        counts = (count[of] * leads for count in (f, f - begins, f - ends))
-        cuts = np.flatnonzero(np.diff(shard, prepend=-1))
-        lists = pa.array(np.append(cuts, len(shard)), pa.int32())
-        columns = (pa.ListArray.from_arrays(lists, pa.array(c)) for c in (place, np.zeros_like(place), *counts))
-        batch = pa.RecordBatch.from_arrays([pa.array(shard[cuts]), *columns], schema=KEPT)
-        some = max(1, ROWS * len(cuts) // max(1, len(shard)))
-        for begin in range(0, len(cuts), some):
-            yield batch.slice(begin, some)
+        counts = {name: count[of] * leads for name, count in (("f", f), ("lefts", f - begins), ("rights", f - ends))}
+        yield _returns(shard[at], at=rows["lo"][at], own=rows["f"][at], number=np.zeros(len(at)), **counts)
 
     return work
 
 
 def _merged(keys: list[str], least: int, returns: bool):
-    """Placed words in order of their hash to those that are frequent, as lists per shard; the first
+    """Placed words in order of their hash to those that are frequent, as a block per shard; the first
     shard of a phrase also gets the sums. Without ``returns`` no other shard gets any. Holds ROWS rows,
     or the rows of one hash: at most one a shard and phrase."""
 
@@ -495,14 +503,10 @@ def _merged(keys: list[str], least: int, returns: bool):
         of = np.cumsum(new) - 1
         leads = new.astype(np.int64)
         stays = np.flatnonzero((f >= least)[of] & (returns | new))
-        stays = stays[np.argsort(shard[stays], kind="stable")]
         of, leads, shard = of[stays], leads[stays], shard[stays]
         number = (rows["shard"].to_numpy()[first] << _PLACES | place[first] >> 32)[of]
-        counts = (count[of] * leads for count in (f, f - begins, f - ends))
-        cuts = np.flatnonzero(np.diff(shard, prepend=-1))
-        lists = pa.array(np.append(cuts, len(shard)), pa.int32())
-        columns = (pa.ListArray.from_arrays(lists, pa.array(c)) for c in (place[stays], number, *counts))
-        return pa.RecordBatch.from_arrays([pa.array(shard[cuts]), *columns], schema=KEPT)
+        counts = {name: count[of] * leads for name, count in (("f", f), ("lefts", f - begins), ("rights", f - ends))}
+        return _returns(shard, at=place[stays] >> 32, own=place[stays] & _LOW, number=number, **counts)
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -523,10 +527,9 @@ def _merged(keys: list[str], least: int, returns: bool):
 
 
 def _returned(kept: DataFrame, words: int) -> DataFrame:
-    """shard, and its places of the frequent phrases, in the buckets of the indexes."""
-    columns = COLUMNS if words == 1 else [c for c in COLUMNS if c != "number"]
+    """shard, and the blocks of its frequent phrases, in the buckets of the indexes."""
     name = f"kept_{words}"
-    return landed_by(kept.groupBy("shard").agg(F.collect_list(F.struct(*columns)).alias(name)), "shard", name)
+    return landed_by(kept.groupBy("shard").agg(F.collect_list("packed").alias(name)), "shard", name)
 
 
 def _frequent_words(placed: DataFrame, least: int, returns: bool) -> DataFrame:
